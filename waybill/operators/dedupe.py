@@ -5,55 +5,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import DEFAULT, SkewPolicy, heavy_keys
 
-
-def mark_duplicates(events: DataFrame, history: DataFrame | None = None,
-                    policy: SkewPolicy = DEFAULT) -> DataFrame:
+def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
+                    heavy: DataFrame | None = None) -> DataFrame:
     """Adds ``is_duplicate``: a valid event whose id was stored before.
 
     Expects ``valid`` (decoded and validated) and ``storable`` (would be stored if it is no
     duplicate). Only a storable row stores its id, so an earlier *failed* delivery does not count.
 
-    One shuffle by event id. Two kinds of rows would pile up there and are spread by arrival
-    instead: rows that cannot be duplicates (NULL ids, invalid bodies), and ids with a heavy pile
-    of copies, whose first storable arrival comes from a map-side combined aggregate.
+    One shuffle by event id. Rows that cannot be duplicates (NULL ids, invalid bodies) would pile up
+    there and are spread by arrival. So are the copies of a heavy id: its first storable arrival
+    comes from a map-side combined aggregate instead. ``heavy`` names such ids (see ``find_heavy``).
     """
-    heavy = heavy_keys(events, "event_id", policy).select("event_id")
-    heavy_first = (
-        events.join(F.broadcast(heavy), "event_id")
-        .groupBy("event_id")
-        .agg(F.min(F.when(F.col("storable"), F.col("arrival"))).alias("_heavy_first"))
-        .withColumn("_heavy", F.lit(True))
-    )
-    if history is not None:
-        stored_ids = history.select("event_id", F.lit(True).alias("_heavy_known"))
-        heavy_first = heavy_first.join(stored_ids, "event_id", "left")
-
     can_repeat = F.col("valid") & F.col("event_id").isNotNull()
-    marked = (
-        events.join(F.broadcast(heavy_first), "event_id", "left")
-        .withColumn("_lane", F.when(can_repeat & F.col("_heavy").isNull(), F.lit(0).cast("long"))
-                    .otherwise(F.xxhash64("arrival")))
-    )
-    known = F.lit(False)
+    marked, together = events, can_repeat
+    if heavy is not None:
+        if "heavy_id" not in events.columns:
+            marked = tag_heavy_ids(events, heavy)
+        firsts = (marked.where("heavy_id").groupBy("event_id")
+                  .agg(F.min(F.when(F.col("storable"), F.col("arrival"))).alias("_heavy_first")))
+        if history is not None:
+            firsts = firsts.join(history.select("event_id", F.lit(True).alias("_heavy_known")),
+                                 "event_id", "left")
+        marked = marked.join(F.broadcast(firsts), "event_id", "left")
+        together = can_repeat & ~F.col("heavy_id")
+    marked = marked.withColumn("_lane", F.when(together, F.lit(0).cast("long"))
+                               .otherwise(F.xxhash64("arrival")))
     if history is not None:
         marked = marked.join(
             history.select("event_id", F.lit(0).cast("long").alias("_lane"), F.lit(True).alias("_known")),
             ["event_id", "_lane"], "left")
-        known = F.coalesce("_known", "_heavy_known", F.lit(False))
 
-    together = Window.partitionBy("event_id", "_lane")
-    first = F.when(F.col("_heavy").isNotNull(), F.col("_heavy_first")).otherwise(
-        F.min(F.when(F.col("storable"), F.col("arrival"))).over(together))
+    first = F.min(F.when(F.col("storable"), F.col("arrival"))).over(Window.partitionBy("event_id", "_lane"))
+    known = [c for c in ("_known", "_heavy_known") if c in marked.columns]
+    if heavy is not None:
+        first = F.when(F.col("heavy_id"), F.col("_heavy_first")).otherwise(first)
     return (
         marked.withColumn("_first", first)
         .withColumn("is_duplicate", can_repeat & (
-            known | F.coalesce(F.col("arrival") > F.col("_first"), F.lit(False))))
-        .drop("_lane", "_first", "_heavy", "_heavy_first", "_heavy_known", "_known")
+            F.coalesce(*known, F.lit(False))
+            | F.coalesce(F.col("arrival") > F.col("_first"), F.lit(False))))
+        .drop("_lane", "_first", "heavy_id", "_heavy_first", "_heavy_known", "_known")
     )
 
 
+def tag_heavy_ids(events: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Adds ``heavy_id``. Done on the raw events, the tag lets Catalyst push the restriction to
+    heavy ids below the lookups that follow."""
+    ids = heavy.select("event_id", F.lit(True).alias("heavy_id"))
+    return (events.join(F.broadcast(ids), "event_id", "left")
+            .withColumn("heavy_id", F.coalesce("heavy_id", F.lit(False))))
+
+
 def duplicates_semi(events: DataFrame, history: DataFrame) -> DataFrame:
     """Events whose id is already in history."""
     return events.join(history.select("event_id"), "event_id", "left_semi")

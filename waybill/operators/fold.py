@@ -19,18 +19,19 @@ from pyspark.sql import functions as F
 
 from .. import model as M
 from ..functions import chunk_axis
-from .skew import DEFAULT, SkewPolicy, heavy_keys
+from .skew import cut_lineage
 
 HELD = ("held_status", "held_event_time", "held_sequence_number", "held_received_at")
 
 
 def ordering_fold(stored: DataFrame, seed: DataFrame | None = None, *,
-                  heavy: DataFrame | None = None, policy: SkewPolicy = DEFAULT) -> DataFrame:
+                  heavy: DataFrame | None = None) -> DataFrame:
     """Adds ``applied``: true where the event advanced its shipment.
 
     Rows may carry a ``stored`` flag; rows without it take no part (masked, not filtered, so one
     pass serves all outcomes). State held before this batch comes from ``seed`` (a shipments
-    table) or from ``held_*`` columns an earlier join has brought along.
+    table) or from ``held_*`` columns an earlier join has brought along. ``heavy`` names shipments
+    to scan in chunks (see ``find_heavy``); only then the input is checkpointed, for it is read twice.
     """
     df = stored
     if seed is not None:
@@ -38,38 +39,40 @@ def ordering_fold(stored: DataFrame, seed: DataFrame | None = None, *,
             "shipment_id", F.col("current_status").alias(HELD[0]), F.col("last_event_time").alias(HELD[1]),
             F.col("last_sequence_number").alias(HELD[2]), F.col("last_received_at").alias(HELD[3])),
             "shipment_id", "left")
-    chunked = _chunk(df, heavy, policy)
-    local = chunked.withColumn(
+    local = _chunk(df if heavy is None else cut_lineage(df), heavy).withColumn(
         "_earlier", F.max(F.when(_takes_part(df), _key())).over(_before()))
-
-    carry = _carry(local, df)
-    folded = local.join(carry, ["shipment_id", "_chunk"], "left")
-    best = F.greatest(F.col("_earlier"), F.col("_carried"), _held_key(df))
+    folded, carried = local, [F.col("_earlier"), _held_key(df)]
+    frozen = F.lit(False)
+    if heavy is not None:
+        folded = local.join(_carry(local, df), ["shipment_id", "_chunk"], "left")
+        carried.append(F.col("_carried"))
+        frozen = F.coalesce(F.col("_frozen"), F.lit(False))
+    best = F.greatest(*carried)
     folded = folded.withColumn("_wins", _takes_part(df) & (best.isNull() | (_key() >= best)))
-    frozen = (F.coalesce(F.col("_frozen"), F.lit(False))
-              | F.coalesce(F.max(F.col("_wins") & _delivers()).over(_before()), F.lit(False)))
+    frozen = frozen | F.coalesce(F.max(F.col("_wins") & _delivers()).over(_before()), F.lit(False))
     if HELD[0] in df.columns:
         frozen = frozen | F.coalesce(F.col(HELD[0]) == M.TERMINAL_STATUS, F.lit(False))
     return (folded.withColumn("applied", F.col("_wins") & ~frozen)
             .drop("_earlier", "_carried", "_frozen", "_wins", "_chunk", "_heavy"))
 
 
-def applied_timeline(folded: DataFrame, *, heavy: DataFrame | None = None,
-                     policy: SkewPolicy = DEFAULT) -> DataFrame:
+def applied_timeline(folded: DataFrame, *, heavy: DataFrame | None = None) -> DataFrame:
     """Adds ``status_before`` and ``status_after``: the shipment's status around each event."""
-    chunked = _chunk(folded, heavy, policy)
     status = F.when(F.col("applied"), F.col("normalized_event_type"))
-    local = chunked.withColumn("_earlier", F.last(status, ignorenulls=True).over(_before()))
-
-    per_chunk = (local.where(F.col("_heavy"))
-                 .groupBy("shipment_id", "_chunk")
-                 .agg(F.max_by(status, F.when(F.col("applied"), F.col("arrival"))).alias("_last")))
-    carry = per_chunk.select("shipment_id", "_chunk", F.last("_last", ignorenulls=True)
-                             .over(_chunks_before()).alias("_carried"))
-    before = F.coalesce("_earlier", "_carried",
-                        *([HELD[0]] if HELD[0] in folded.columns else []), F.lit(M.INITIAL_STATUS))
-    return (local.join(carry, ["shipment_id", "_chunk"], "left")
-            .withColumn("status_before", before)
+    local = _chunk(folded if heavy is None else cut_lineage(folded), heavy).withColumn(
+        "_earlier", F.last(status, ignorenulls=True).over(_before()))
+    known = [F.col("_earlier")]
+    if heavy is not None:
+        per_chunk = (local.where(F.col("_heavy"))
+                     .groupBy("shipment_id", "_chunk")
+                     .agg(F.max_by(status, F.when(F.col("applied"), F.col("arrival"))).alias("_last")))
+        carry = per_chunk.select("shipment_id", "_chunk", F.last("_last", ignorenulls=True)
+                                 .over(_chunks_before()).alias("_carried"))
+        local = local.join(carry, ["shipment_id", "_chunk"], "left")
+        known.append(F.col("_carried"))
+    if HELD[0] in folded.columns:
+        known.append(F.col(HELD[0]))
+    return (local.withColumn("status_before", F.coalesce(*known, F.lit(M.INITIAL_STATUS)))
             .withColumn("status_after", F.coalesce(status, F.col("status_before")))
             .drop("_earlier", "_carried", "_chunk", "_heavy"))
 
@@ -104,15 +107,15 @@ def _chunks_before():
             .rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _chunk(df: DataFrame, heavy: DataFrame | None, policy: SkewPolicy) -> DataFrame:
-    """Adds ``_heavy`` and ``_chunk``: 0 for ordinary shipments, the consecutive piece for heavy
-    ones, and a spread of negative values for rows that take no part."""
+def _chunk(df: DataFrame, heavy: DataFrame | None) -> DataFrame:
+    """Adds ``_chunk``: 0 for ordinary shipments, the consecutive piece for heavy ones, and a
+    spread of negative values for rows that take no part."""
+    aside = -1 - F.pmod(F.xxhash64("arrival"), F.lit(1 << 30))
     if heavy is None:
-        heavy = heavy_keys(df, "shipment_id", policy)
+        return df.withColumn("_chunk", F.when(_takes_part(df), F.lit(0)).otherwise(aside).cast("long"))
     piece = F.coalesce(
         F.width_bucket(chunk_axis(df.schema), F.col("axis_low"), F.col("axis_high"), F.col("chunks")),
         F.lit(0)) + 1
-    aside = -1 - F.pmod(F.xxhash64("arrival"), F.lit(1 << 30))
     return (df.join(F.broadcast(heavy), "shipment_id", "left")
             .withColumn("_heavy", _takes_part(df) & F.col("chunks").isNotNull())
             .withColumn("_chunk", F.when(~_takes_part(df), aside)

@@ -7,12 +7,16 @@ operators therefore treat heavy keys apart, with the same result.
 Heavy keys are *estimated* from a hash sample of the arrivals. The estimate only decides which
 exact path a key takes; no row is ever dropped because of it. A key is heavy above ``heavy_rows``
 rows, so there are at most rows / heavy_rows of them: a few hundred thousand for 10^12 rows, which
-bounds what gets broadcast. The sample is a function of the data, so every evaluation of the
-branch, also after a lost executor, picks the same keys.
+bounds what gets broadcast. The sample is a function of the data, so every evaluation, also after
+a lost executor, picks the same keys.
+
+Detection is one job over the key columns. Without heavy keys the plain plan is built, with no
+trace of the other path in it.
 """
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -31,16 +35,41 @@ class SkewPolicy:
 DEFAULT = SkewPolicy()
 
 
-def heavy_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """``key, chunks, axis_low, axis_high`` for every key above ``policy.heavy_rows`` rows."""
-    rows = F.count("*") * policy.sample_every
-    return (
-        df.where(F.col(key).isNotNull())
-        .select(key, F.xxhash64("arrival").alias("_h"), chunk_axis(df.schema).alias("_axis"))
+def find_heavy(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) -> dict[str, DataFrame]:
+    """For each of ``keys`` with heavy values: ``key, chunks, axis_low, axis_high`` of those values.
+
+    One scan serves all keys (grouping sets over the sample). A key without heavy values is absent
+    from the result.
+    """
+    sampled = (
+        df.select(*keys, F.xxhash64("arrival").alias("_h"), chunk_axis(df.schema).alias("_axis"))
         .where(F.pmod("_h", F.lit(policy.sample_every)) == 0)
-        .groupBy(key)
-        .agg(rows.alias("_rows"), F.min("_axis").alias("axis_low"), F.max("_axis").alias("axis_high"))
+    )
+    heavy = (
+        sampled.groupingSets([[k] for k in keys], *keys)
+        .agg(F.concat_ws("", *[F.grouping(k).cast("string") for k in keys]).alias("_set"),
+             (F.count("*") * policy.sample_every).alias("_rows"),
+             F.min("_axis").alias("axis_low"), F.max("_axis").alias("axis_high"))
         .where(F.col("_rows") > policy.heavy_rows)
-        .select(key, F.ceil(F.col("_rows") / policy.chunk_rows).cast("int").alias("chunks"),
-                "axis_low", "axis_high")
+        .withColumn("chunks", F.ceil(F.col("_rows") / policy.chunk_rows).cast("int"))
     )
+    of_key = {k: "".join("0" if k == other else "1" for other in keys) for k in keys}
+    present = {row["_set"] for row in                       # at most one row per key column
+               heavy.where(F.coalesce(*keys).isNotNull() if len(keys) > 1 else F.col(keys[0]).isNotNull())
+               .select("_set").distinct().collect()}
+    return {k: heavy.where((F.col("_set") == of_key[k]) & F.col(k).isNotNull())
+            .select(k, "chunks", "axis_low", "axis_high") for k in keys if of_key[k] in present}
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the cluster's shared folder, for a result two branches read."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+            shared = tempfile.mkdtemp(prefix="waybill-checkpoint-")
+        context.setCheckpointDir(shared)
+    return df.checkpoint()

@@ -27,8 +27,9 @@ def validate_events(parsed: DataFrame) -> DataFrame:
                 # a string of at most limit/2 characters cannot be over the limit
                 (F.length(name) > limit // 2) & (code_units(F.col(name)) > limit))
                for name, limit in M.MAX_LENGTHS]
-    broken = F.array_sort(F.array_compact(F.array(*[
-        F.when(failed, F.lit(f"{_WIRE[name]} {text}")) for name, text, failed in checks])))
+    # sort_array and array_join (which skips NULLs) compile; lambda-based array functions do not
+    broken = F.sort_array(F.array(*[
+        F.when(failed, F.lit(f"{_WIRE[name]} {text}")) for name, text, failed in checks]))
 
     version = F.col("schema_version")
     violation = (

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import mark_duplicates
+from ..operators.dedupe import mark_duplicates, tag_heavy_ids
 from ..operators.fold import ordering_fold
 from ..operators.lookup import normalize_events, resolve_shipments
 from ..operators.outcome import add_storable, classify_outcome
-from ..operators.skew import DEFAULT, SkewPolicy, heavy_keys
+from ..operators.skew import DEFAULT, SkewPolicy, find_heavy
 from ..operators.validate import validate_events
 
 
@@ -26,11 +26,13 @@ def outcome_stream(events: DataFrame, shipments: DataFrame, vocab: DataFrame,
     the whole pass costs one shuffle by event id and one by shipment id. ``shipments`` is the state
     before the batch (it seeds the fold), ``history`` the ids stored before it.
     """
-    # the raw events are enough to find heavy shipments, and only two columns of them are read
-    heavy = heavy_keys(events, "shipment_id", policy)
-    marked = mark_duplicates(assess(events, shipments, vocab), history, policy)
+    # the raw events are enough to find heavy keys, and few columns of them are read
+    heavy = find_heavy(events, ["event_id", "shipment_id"], policy)
+    if "event_id" in heavy:
+        events = tag_heavy_ids(events, heavy["event_id"])
+    marked = mark_duplicates(assess(events, shipments, vocab), history, heavy=heavy.get("event_id"))
     masked = marked.withColumn("stored", F.col("storable") & ~F.col("is_duplicate"))
-    return classify_outcome(ordering_fold(masked, heavy=heavy, policy=policy))
+    return classify_outcome(ordering_fold(masked, heavy=heavy.get("shipment_id")))
 
 
 def history_of(outcomes: DataFrame) -> DataFrame:
