@@ -6,7 +6,7 @@ The constants below define the test data; their SQL twin is in ``oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -229,3 +229,44 @@ def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 KEY_TYPE = T.LongType()
+
+
+def feed_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed A with broken fields of every kind, chosen by the event time's microseconds."""
+    kind = F.pmod(F.unix_micros("event_time"), F.lit(40))
+
+    def text(n):
+        return F.repeat(F.lit("x"), n)
+
+    null = F.lit(None)
+    broken = {
+        "event_id": {0: null}, "shipment_id": {7: null}, "event_time": {7: null},
+        "tracking_number": {1: F.lit("   "), 2: text(129), 12: F.lit("")},
+        "event_type": {3: F.lit("\t"), 13: text(65), 12: null}, "location": {5: text(256), 14: text(255)},
+        "description": {6: text(513)}, "correlation_id": {4: text(65), 12: F.lit(" ")},
+        "sequence_number": {8: F.lit(0), 12: null}, "carrier_code": {9: null},
+        "schema_version": {10: null, 11: F.lit(0)},
+    }
+    feed = feed_a(spark, sf_dir).withColumn("_kind", kind)
+    for name, cases in broken.items():
+        c = F.col(name)
+        for k, value in cases.items():
+            c = F.when(F.col("_kind") == k, value).otherwise(c)
+        feed = feed.withColumn(name, c)
+    return feed.drop("_kind")
+
+
+def gauges(outcomes: DataFrame, consumer_delay: int) -> DataFrame:
+    """Gauge readings per minute: open failed events, and the lag of a consumer that is
+    ``consumer_delay`` seconds behind. Runs over one row per minute."""
+    minute = F.window("received_at", "60 seconds").getField("end").alias("window_end")
+    per_minute = outcomes.groupBy(minute).agg(
+        F.count_if(F.col("error_category").isNotNull()).alias("failed"), F.max("offset").alias("produced"))
+    running = Window.orderBy("window_end").rowsBetween(Window.unboundedPreceding, 0)
+    behind = Window.orderBy(F.unix_timestamp("window_end")).rangeBetween(
+        Window.unboundedPreceding, -consumer_delay)
+    readings = per_minute.select(
+        "window_end", F.sum("failed").over(running).cast("double").alias("review_backlog"),
+        (F.max("produced").over(running) - F.coalesce(F.max("produced").over(behind), F.lit(0)))
+        .cast("double").alias("consumer_lag"))
+    return readings.unpivot(["window_end"], ["review_backlog", "consumer_lag"], "gauge", "value")
