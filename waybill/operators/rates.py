@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio_floor
-from .reports import bucket_index, counters, cumulative_histogram, lag_quantiles, lag_seconds
+from .reports import bucket_counts, bucket_index, counters, histogram_rows, lag_quantiles, lag_seconds
+from .skew import cut_lineage
 
 _METRICS = ("received", "processed", "applied", "out_of_order", "duplicate", "failed", "dead_lettered")
 
@@ -67,8 +68,12 @@ def failure_ratio(outcomes: DataFrame, width: int = 300, floor: float = 0.001) -
 
 def time_spine(outcomes: DataFrame, step: int, extra: int = 0) -> DataFrame:
     """Every evaluation time from the first to the last reception, ``extra`` seconds longer."""
-    end = F.window("received_at", f"{step} seconds").getField("end")
-    span = outcomes.agg(F.min(end).alias("_low"), F.max(end).alias("_high"))
+    return _spine(outcomes.select(F.window("received_at", f"{step} seconds").getField("end").alias("_step")),
+                  step, extra)
+
+
+def _spine(steps: DataFrame, step: int, extra: int) -> DataFrame:
+    span = steps.agg(F.min("_step").alias("_low"), F.max("_step").alias("_high"))
     return span.where(F.col("_low").isNotNull()).select(F.explode(F.sequence(
         "_low", F.col("_high") + F.make_dt_interval(secs=F.lit(extra)),
         F.make_dt_interval(secs=F.lit(step)))).alias("window_end"))
@@ -132,9 +137,11 @@ def alerts(outcomes: DataFrame, gauges: DataFrame, lag_edges: list[float], rules
     ``gauges`` has (gauge, window_end, value) rows for ``consumer_lag`` and ``review_backlog``.
     Latency is the ingest lag of stored events.
     """
-    spine = time_spine(outcomes, step, extra)
-    counts = _step_counts(outcomes, step, ("received", "failed", "dead_lettered"))
     r = rules
+    # the only pass over the outcomes; one row per step is left, read by all branches below
+    steps = cut_lineage(_steps(outcomes, step, lag_edges))
+    spine = _spine(steps, step, extra)
+    counts = steps.select("_step", "received", "failed", "dead_lettered")
     short = _lookback(counts, r.short_lookback, step)
     ratio = _filled(spine, short, ratio_floor(
         _per_second(F.coalesce("failed", F.lit(0)), r.short_lookback),
@@ -143,7 +150,8 @@ def alerts(outcomes: DataFrame, gauges: DataFrame, lag_edges: list[float], rules
                    _per_second(F.coalesce("dead_lettered", F.lit(0)), r.dead_letter_lookback))
     quiet = _filled(spine, _lookback(counts, r.silence_lookback, step),
                     _per_second(F.coalesce("received", F.lit(0)), r.silence_lookback))
-    latency = _filled(spine, _sliding_quantile(outcomes, lag_edges, 0.99, r.short_lookback, step), F.col("seconds"))
+    recent_lag = _lookback(histogram_rows(steps, ["_step"], lag_edges), r.short_lookback, step, by=("le",))
+    latency = _filled(spine, lag_quantiles(recent_lag, [0.99], by=["window_end"]), F.col("seconds"))
     gauge = {name: _filled(spine, gauges.where(F.col("gauge") == name), F.col("value"))
              for name in ("consumer_lag", "review_backlog")}
 
@@ -179,14 +187,13 @@ def _lookback(counts: DataFrame, width: int, step: int, by: tuple[str, ...] = ()
             .groupBy("window_end", *by).agg(*[F.sum(m).alias(m) for m in metrics]))
 
 
-def _sliding_quantile(outcomes: DataFrame, edges: list[float], q: float, width: int, step: int) -> DataFrame:
-    """Quantile of the ingest lag over a lookback, from bucket counts per step."""
-    stored = outcomes.where(F.col("outcome").isin("APPLIED", "SUPERSEDED")).select(
-        F.window("received_at", f"{step} seconds").getField("end").alias("_step"),
-        bucket_index(lag_seconds(), edges).alias("_bucket"))
-    steps = cumulative_histogram(stored, ["_step"], edges)
-    summed = _lookback(steps, width, step, by=("le",))
-    return lag_quantiles(summed, [q], by=["window_end"])
+def _steps(outcomes: DataFrame, step: int, edges: list[float]) -> DataFrame:
+    """Counters and lag buckets of the stored events, per step."""
+    bucket = F.when(F.col("outcome").isin("APPLIED", "SUPERSEDED"), bucket_index(lag_seconds(), edges))
+    return (outcomes.withColumn("_bucket", bucket)
+            .groupBy(F.window("received_at", f"{step} seconds").getField("end").alias("_step"))
+            .agg(*[counters()[m].alias(m) for m in ("received", "failed", "dead_lettered")],
+                 *bucket_counts(edges)))
 
 
 def _filled(spine: DataFrame, values: DataFrame, value: Column) -> DataFrame:

@@ -95,25 +95,24 @@ def bucket_index(value: Column, edges: list[float]) -> Column:
     return index
 
 
-def cumulative_histogram(df: DataFrame, by: list[str], edges: list[float]) -> DataFrame:
-    """``by, le, cumulative`` rows from a ``_bucket`` column; ``le`` is NULL for +infinity.
+def bucket_counts(edges: list[float]) -> list[Column]:
+    """Cumulative counts up to each edge, and overall, from a ``_bucket`` column."""
+    return [F.count_if(F.col("_bucket") <= i).alias(f"_le{i}") for i in range(len(edges) + 1)]
 
-    Rows collapse to counts per (group, bucket) before the shuffle; the cumulative sum then runs
-    over len(edges) + 1 rows per group.
-    """
+
+def histogram_rows(counted: DataFrame, by: list[str], edges: list[float]) -> DataFrame:
+    """``bucket_counts`` columns as ``by, le, cumulative`` rows; ``le`` is NULL for +infinity."""
     bounds = F.array(*[F.lit(float(e)) for e in edges], F.lit(None).cast("double"))
-    per_group = df.groupBy(*by).agg(*[F.count_if(F.col("_bucket") <= i).alias(f"_le{i}")
-                                      for i in range(len(edges) + 1)])
     values = F.array(*[F.col(f"_le{i}") for i in range(len(edges) + 1)])
-    return (per_group.select(*by, F.explode(F.arrays_zip(bounds.alias("le"), values.alias("cumulative"))).alias("_b"))
+    return (counted.select(*by, F.explode(F.arrays_zip(bounds.alias("le"), values.alias("cumulative"))).alias("_b"))
             .select(*by, F.col("_b.le").alias("le"), F.col("_b.cumulative").alias("cumulative")))
 
 
 def lag_histogram(history: DataFrame, edges: list[float]) -> DataFrame:
     """Cumulative buckets of the ingest lag by processing outcome."""
-    return cumulative_histogram(
-        history.select("processing_status", bucket_index(lag_seconds(), edges).alias("_bucket")),
-        ["processing_status"], edges)
+    counted = (history.select("processing_status", bucket_index(lag_seconds(), edges).alias("_bucket"))
+               .groupBy("processing_status").agg(*bucket_counts(edges)))
+    return histogram_rows(counted, ["processing_status"], edges)
 
 
 def lag_quantiles(histogram: DataFrame, qs: list[float], by: list[str] | None = None) -> DataFrame:

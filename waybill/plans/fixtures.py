@@ -117,13 +117,14 @@ def feed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
         ))
 
 
-def feed_a_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Feed A as two successive batches, cut in the middle of its arrival order."""
+def feed_a_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Feed A as two successive batches. The first ends in the middle of the arrival order; the
+    second starts a quarter earlier, as after a restart that lost its last offsets."""
     feed = feed_a(spark, sf_dir)
     middle = feed.agg(F.floor((F.min("arrival") + F.max("arrival")) / 2)).scalar()
     cut = feed.withColumn("_middle", middle)
     return (cut.where(F.col("arrival") <= F.col("_middle")).drop("_middle"),
-            cut.where(F.col("arrival") > F.col("_middle")).drop("_middle"))
+            cut.where(F.col("arrival") > F.floor(F.col("_middle") / 2)).drop("_middle"))
 
 
 def feed_json(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:

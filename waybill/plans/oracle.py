@@ -318,13 +318,16 @@ add("resolve_shipments", """SELECT f.event_id, f.arrival, f.shipment_id, f.carri
   coalesce(s.carrier_code = f.carrier_code, FALSE) AS carrier_matches
   FROM feed f LEFT JOIN shipments s ON s.shipment_id = f.shipment_id""", "customers", "shipments", "feed")
 for _name, _not in (("duplicates_semi", ""), ("new_events_anti", "NOT ")):
-    add_a(_name, f"""SELECT event_id, arrival FROM feed WHERE arrival > (SELECT cut FROM middle) AND event_id {_not}IN (
+    add_a(_name, f"""SELECT event_id, arrival FROM feed WHERE arrival > (SELECT floor(cut / 2) FROM middle) AND event_id {_not}IN (
   SELECT event_id FROM outcomes WHERE stored AND arrival <= (SELECT cut FROM middle))""", "middle")
 add_a("duplicate_report", """SELECT o.event_id, o.arrival, h.shipment_id, h.normalized_event_type AS stored_event_type,
   s.current_status, h.processing_status AS stored_processing_status, TRUE AS duplicate
   FROM outcomes o JOIN history h ON h.event_id = o.event_id LEFT JOIN state s ON s.shipment_id = h.shipment_id
   WHERE o.outcome = 'DUPLICATE'""", "history", "state")
-add_a("incremental_outcomes", f"SELECT {_OUT} FROM outcomes WHERE arrival > (SELECT cut FROM middle)", "middle")
+# what the first batch stored comes again as a duplicate; the rest is as in one pass
+add_a("incremental_outcomes", f"""SELECT event_id, arrival, shipment_id, carrier_code, normalized_event_type,
+  CASE WHEN stored AND arrival <= cut THEN 'DUPLICATE' ELSE outcome END AS outcome, error_category, received_at
+  FROM outcomes, middle WHERE arrival > floor(cut / 2)""", "middle")
 add_a("incremental_state", "SELECT * FROM state", "state")
 _NOTE = "notification_id, shipment_id, source_event_id, notification_type, channel, status, created_at"
 add_a("notifications_new", f"SELECT {_NOTE} FROM notifications WHERE arrival > (SELECT cut FROM middle)",
@@ -366,7 +369,10 @@ add_a("applied_timeline", """SELECT event_id, shipment_id, arrival, applied,
   FROM outcomes WHERE stored""")
 
 # --- failures ------------------------------------------------------------------------------------
-add_a("failed_events_upsert", "SELECT * FROM failed", "failures", "failed")
+# a failure delivered in both batches updates its row twice
+add_a("failed_events_upsert", """SELECT failed.* EXCLUDE (version), version + again AS version FROM failed JOIN (
+  SELECT event_id, count(*) FILTER (arrival > floor(cut / 2) AND arrival <= cut) AS again
+  FROM failures, middle GROUP BY event_id) USING (event_id)""", "failures", "failed", "middle")
 add_a("dead_letters", """SELECT CAST(shipment_id AS VARCHAR) AS "key", payload AS "value", topic AS original_topic,
   part AS original_partition, off AS original_offset, error_category, error_type AS exception_type,
   error_message AS exception_message, failed_at AS dead_lettered_at FROM failures""", "failures")

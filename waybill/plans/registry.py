@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from .. import model as M
 from ..operators import dedupe, failures, fold, lookup, notify, outcome, pages, rates, reconcile, reports, state
-from ..operators.skew import find_heavy
+from ..operators.skew import cut_lineage, find_heavy
 from ..operators.validate import validate_events
 from ..sources import flatten_batches, parse_feed
 from . import fixtures as X
@@ -41,21 +41,22 @@ def query(build: Query) -> Query:
 
 
 class Feed:
-    """Feed A and what the pipeline makes of it; every attribute is a lazy DataFrame."""
+    """Feed A and what the pipeline makes of it.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``written`` stands for outcomes that ingestion has stored: a checkpoint, for queries that read
+    them more than once. Everything else is lazy.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, written: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
         self.vocab = M.vocabulary(spark)
         self.categories = M.error_categories(spark)
         self.rules = M.notification_rules(spark)
         self.shipments = X.shipments(spark, sf_dir)
         self.events = X.feed_a(spark, sf_dir)
-
-    @property
-    def outcomes(self) -> DataFrame:
-        if not hasattr(self, "_outcomes"):
-            self._outcomes = outcome_stream(self.events, self.shipments, self.vocab)
-        return self._outcomes
+        self.outcomes = outcome_stream(self.events, self.shipments, self.vocab)
+        if written:
+            self.outcomes = cut_lineage(self.outcomes)
 
     @property
     def history(self) -> DataFrame:
@@ -150,78 +151,81 @@ def resolve_shipments(spark, sf):
         "carrier_matches")
 
 
-class Halves(Feed):
-    """Feed A as two batches: what the first one stored is the history of the second."""
+class Batches:
+    """Feed A as two overlapping batches; ``past`` is what ingesting the first one stored."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.vocab, self.rules = M.vocabulary(spark), M.notification_rules(spark)
+        self.shipments, self.events = X.shipments(spark, sf_dir), X.feed_a(spark, sf_dir)
+        first, self.second = X.feed_a_batches(spark, sf_dir)
+        self.past = cut_lineage(outcome_stream(first, self.shipments, self.vocab))
+        self.history = history_of(self.past)
+        self.state = state.current_state(self.past, self.shipments)
 
-    def __init__(self, spark, sf):
-        super().__init__(spark, sf)
-        self.first, self.second = X.feed_a_halves(spark, sf)
-        self.past = outcome_stream(self.first, self.shipments, self.vocab)
-        self.past_history = history_of(self.past)
-        self.past_state = state.current_state(self.past, self.shipments)
+    def outcomes(self) -> DataFrame:
+        return outcome_stream(self.second, self.state, self.vocab, self.history)
 
 
 @query
 def duplicates_semi(spark, sf):
-    h = Halves(spark, sf)
-    return dedupe.duplicates_semi(h.second, h.past_history).select("event_id", "arrival")
+    b = Batches(spark, sf)
+    return dedupe.duplicates_semi(b.second, b.history).select("event_id", "arrival")
 
 
 @query
 def new_events_anti(spark, sf):
-    h = Halves(spark, sf)
-    return dedupe.new_events_anti(h.second, h.past_history).select("event_id", "arrival")
+    b = Batches(spark, sf)
+    return dedupe.new_events_anti(b.second, b.history).select("event_id", "arrival")
 
 
 @query
 def duplicate_report(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     repeated = f.outcomes.where(F.col("outcome") == "DUPLICATE")
     return dedupe.duplicate_report(repeated, f.history, f.state)
 
 
 @query
 def incremental_outcomes(spark, sf):
-    """The second half of the feed against the tables the first half left behind."""
-    h = Halves(spark, sf)
-    return outcome_stream(h.second, h.past_state, h.vocab, h.past_history).select(*_OUTCOME)
+    """The second batch against the tables the first one left behind."""
+    return Batches(spark, sf).outcomes().select(*_OUTCOME)
 
 
 @query
 def incremental_state(spark, sf):
-    h = Halves(spark, sf)
-    second = outcome_stream(h.second, h.past_state, h.vocab, h.past_history)
-    return state.current_state(second, h.past_state)
+    b = Batches(spark, sf)
+    return state.current_state(b.outcomes(), b.state)
 
 
 @query
 def notifications_new(spark, sf):
-    """Second batch, anti-joined with the notifications of the whole feed's first batch."""
-    h = Halves(spark, sf)
-    return notify.notifications_new(h.outcomes, h.rules, notify.notifications_new(h.past, h.rules))
+    """All applied events, against the notifications the first batch made."""
+    b = Batches(spark, sf)
+    everything = outcome_stream(b.events, b.shipments, b.vocab)
+    return notify.notifications_new(everything, b.rules, notify.notifications_new(b.past, b.rules))
 
 
 @query
 def notification_cause(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     return notify.notification_cause(f.notifications, f.history)
 
 
 @query
 def history_existence(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     return pages.history_existence(f.events, f.shipments, f.history)
 
 
 @query
 def shipment_consistency(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     return reports.shipment_consistency(f.state, f.history)
 
 
 @query
 def backfill_last_received(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     before = f.state.withColumn("last_received_at", F.lit(None).cast("timestamp"))
     return state.backfill_last_received(before, f.history).select("shipment_id", "last_event_time", "last_received_at")
 
@@ -258,9 +262,9 @@ def current_state(spark, sf):
 
 @query
 def shipments_upsert(spark, sf):
-    """Deltas of the first half applied to a snapshot."""
-    h = Halves(spark, sf)
-    return state.shipments_upsert(h.shipments, state.state_deltas(h.past)).select(
+    """Deltas of the first batch applied to a snapshot."""
+    b = Batches(spark, sf)
+    return state.shipments_upsert(b.shipments, state.state_deltas(b.past)).select(
         "shipment_id", "current_status", "last_event_time", "last_sequence_number", "last_received_at",
         "version", "updated_at")
 
@@ -277,11 +281,10 @@ def applied_timeline(spark, sf):
 
 @query
 def failed_events_upsert(spark, sf):
-    """Failures of the second half upserted into the table the first half left."""
-    h = Halves(spark, sf)
-    second = outcome_stream(h.second, h.past_state, h.vocab, h.past_history)
-    snapshot = failures.failed_events_upsert(None, outcome.failures_of(h.past))
-    return failures.failed_events_upsert(snapshot, outcome.failures_of(second))
+    """Failures of the second batch upserted into the table the first one left."""
+    b = Batches(spark, sf)
+    snapshot = failures.failed_events_upsert(None, outcome.failures_of(b.past))
+    return failures.failed_events_upsert(snapshot, outcome.failures_of(b.outcomes()))
 
 
 @query
@@ -305,7 +308,7 @@ def replay_eligible(spark, sf):
 @query
 def replay_result(spark, sf):
     """Replay after the missing shipments were registered."""
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     eligible = failures.replay_eligible(f.failed, f.categories)
     again = parse_feed(eligible.select(
         "failed_event_id", F.col("payload").alias("value"), F.col("original_topic").alias("topic"),
@@ -346,24 +349,24 @@ def revise_estimates(spark, sf):
 
 @query
 def history_page(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     return pages.history_page(f.history, f.shipments, page=1, size=15)
 
 
 @query
 def notifications_page(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     return pages.notifications_page(f.notifications, f.shipments, page=0, size=10)
 
 
 @query
 def retailer_page(spark, sf):
-    return pages.retailer_page(Feed(spark, sf).state, page=0, size=20)
+    return pages.retailer_page(Feed(spark, sf, written=True).state, page=0, size=20)
 
 
 @query
 def failed_events_page(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     return pages.failed_events_page(f.failed, f.categories, status="FAILED", page=1, size=100)
 
 
@@ -399,14 +402,15 @@ def notification_counts(spark, sf):
 
 @query
 def notification_skips(spark, sf):
-    h = Halves(spark, sf)
-    return notify.notification_skips(h.outcomes, h.rules, M.skip_reasons(spark),
-                                     notify.notifications_new(h.past, h.rules))
+    b = Batches(spark, sf)
+    everything = outcome_stream(b.events, b.shipments, b.vocab)
+    return notify.notification_skips(everything, b.rules, M.skip_reasons(spark),
+                                     notify.notifications_new(b.past, b.rules))
 
 
 @query
 def backlog_gauges(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     return reports.backlog_gauges(f.state, f.failed)
 
 
@@ -417,7 +421,7 @@ def status_distribution(spark, sf):
 
 @query
 def version_invariant(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     return reports.version_invariant(f.state, f.history)
 
 
@@ -433,7 +437,7 @@ def lag_quantiles(spark, sf):
 
 @query
 def partition_lag(spark, sf):
-    first, _ = X.feed_a_halves(spark, sf)
+    first, _ = X.feed_a_batches(spark, sf)
     ends = X.feed_a(spark, sf).groupBy("topic", "partition").agg(F.max("offset").alias("end_offset"))
     committed = first.groupBy("topic", "partition").agg(F.max("offset").alias("committed_offset"))
     return reports.partition_lag(ends, committed)
@@ -441,7 +445,7 @@ def partition_lag(spark, sf):
 
 @query
 def reconciliation(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     sent = f.events.agg(F.count("*").alias("events"),
                         (F.count("*") - F.count_distinct("event_id")).alias("duplicates"),
                         F.lit(None).cast("long").alias("out_of_order"))
@@ -450,15 +454,16 @@ def reconciliation(spark, sf):
 
 @query
 def reconcile_except(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     return reconcile.reconcile_except(f.events, f.history)
 
 
 @query
 def counter_deltas(spark, sf):
-    h = Halves(spark, sf)
-    span = h.events.agg(F.count("*").alias("n")).select((F.col("n") / 2.0)).scalar()
-    return reconcile.counter_deltas(reports.counter_rows(h.past), reports.counter_rows(h.outcomes), span)
+    b = Batches(spark, sf)
+    everything = outcome_stream(b.events, b.shipments, b.vocab)
+    span = b.events.agg(F.count("*").alias("n")).select((F.col("n") / 2.0)).scalar()
+    return reconcile.counter_deltas(reports.counter_rows(b.past), reports.counter_rows(everything), span)
 
 
 # --- rates and alerts ----------------------------------------------------------------------------
@@ -490,13 +495,13 @@ def failure_ratio(spark, sf):
 
 @query
 def silence(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     return rates.silence(f.outcomes, rates.time_spine(f.outcomes, 60, extra=3600))
 
 
 @query
 def alerts(spark, sf):
-    f = Feed(spark, sf)
+    f = Feed(spark, sf, written=True)
     rules = rates.AlertRules(latency=LATENCY_ALERT)
     return rates.alerts(f.outcomes, X.gauges(f.outcomes, CONSUMER_DELAY), LAG_EDGES, rules, extra=3600)
 
