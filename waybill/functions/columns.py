@@ -33,8 +33,10 @@ def bounded(c: Column, limit: int) -> Column:
 
 
 def digest(*parts: Column) -> Column:
-    """Deterministic surrogate id, so a rerun of a batch produces the same rows."""
-    return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]).cast("binary"))
+    """Deterministic surrogate id in UUID form, so a rerun of a batch produces the same rows."""
+    hashed = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]).cast("binary"))
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat_ws("-", *[F.substring(hashed, start, length) for start, length in cuts])
 
 
 def ratio_floor(numerator: Column, denominator: Column, floor: float) -> Column:

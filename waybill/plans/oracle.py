@@ -6,6 +6,8 @@ redeliveries are found row by row, pages are numbered in full.
 
 from __future__ import annotations
 
+import re
+
 from .. import model as M
 
 ORACLE: dict[str, str] = {}
@@ -133,7 +135,7 @@ CTE["state"] = """state AS (
     FROM outcomes WHERE applied GROUP BY shipment_id) d USING (shipment_id))"""
 
 CTE["notifications"] = """notifications AS (
-  SELECT md5(concat(shipment_id, '|', event_id)) AS notification_id, shipment_id, event_id AS source_event_id,
+  SELECT uuid_of(concat(shipment_id, '|', event_id)) AS notification_id, shipment_id, event_id AS source_event_id,
     normalized_event_type AS notification_type, 'EMAIL' AS channel, 'PENDING' AS status, received_at AS created_at,
     arrival
   FROM outcomes WHERE applied AND normalized_event_type IN (SELECT notification_type FROM rules))"""
@@ -155,7 +157,7 @@ CTE["failures"] = f"""failures AS (
   FROM outcomes WHERE error_category IS NOT NULL)"""
 
 CTE["failed"] = """failed AS (
-  SELECT md5(CAST(event_id AS VARCHAR)) AS failed_event_id, event_id,
+  SELECT uuid_of(CAST(event_id AS VARCHAR)) AS failed_event_id, event_id,
     arg_min(shipment_id, arrival) AS shipment_id, arg_min(payload, arrival) AS payload,
     arg_max(error_category, arrival) AS error_category, arg_max(error_type, arrival) AS error_type,
     arg_max(error_message, arrival) AS error_message, CAST(0 AS INTEGER) AS retry_count, 'FAILED' AS status,
@@ -411,7 +413,7 @@ add_a("replay_result", """SELECT f.failed_event_id, f.event_id,
 
 # --- commands ------------------------------------------------------------------------------------
 _R = ["customers", "shipments", "requests"]
-add("register_shipments", """SELECT md5(concat(carrier_code, '|', tracking_number)) AS shipment_id, request_id, retailer_id,
+add("register_shipments", """SELECT uuid_of(concat(carrier_code, '|', tracking_number)) AS shipment_id, request_id, retailer_id,
   customer_id, tracking_number, carrier_code, 'LABEL_CREATED' AS current_status, estimated_delivery_date,
   CAST(0 AS BIGINT) AS version, requested_at AS created_at
   FROM numbered WHERE problem IS NULL AND rn = 1 AND NOT taken""", *_R)
@@ -608,3 +610,9 @@ add("status_distribution_volume", "SELECT current_status, count(*) AS shipments
     *_B, "shipments_b", "state")
 add("notifications_volume", f"SELECT {_NOTE} FROM notifications", *_B, "rules", "notifications")
 add("outcome_counts_volume", f"SELECT {_COUNTS} FROM outcomes", *_B)
+
+# surrogate ids are digests in UUID form
+_UUID_OF = re.compile(r"uuid_of\(((?:[^()]|\([^()]*\))*)\)")
+for _name, _sql in ORACLE.items():
+    ORACLE[_name] = _UUID_OF.sub(
+        r"regexp_replace(md5(\1), '(.{8})(.{4})(.{4})(.{4})(.{12})', '\\1-\\2-\\3-\\4-\\5')", _sql)
