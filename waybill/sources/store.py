@@ -47,6 +47,22 @@ _DEAD_LETTERS = T.StructType([
     T.StructField("dead_lettered_at", T.TimestampType())])
 
 
+class Log:
+    """Last batch and commit per source. Batches of a source are numbered upwards."""
+
+    def __init__(self, sources: dict[str, tuple[int, int]]):
+        self._sources = sources
+        self.last = max(commit for _, commit in sources.values())
+        self.last_feed = max(commit for source, (_, commit) in sources.items() if source.startswith(FEED))
+
+    def has(self, source: str, batch: int) -> bool:
+        return source in self._sources and batch <= self._sources[source][0]
+
+    def base(self, table: str) -> int:
+        """The newest base of a versioned table: its number is that of the commit that marked it."""
+        return self._sources.get(f"compact:{table}", (0, 0))[1]
+
+
 class Store:
     """The tables under ``path``. One writer at a time; any number of readers."""
 
@@ -75,13 +91,18 @@ class Store:
     def _commits(self) -> DataFrame:
         return self.spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
 
+    def log(self) -> "Log":
+        """Where the store stands: one small job. Pass it on to read several tables of one state."""
+        rows = (self._commits().groupBy("source")      # a handful of sources, whatever the history
+                .agg(F.max("source_batch").alias("batch"), F.max("commit_id").alias("commit")).collect())
+        return Log({r["source"]: (r["batch"], r["commit"]) for r in rows})
+
     def last_commit(self) -> int:
-        return self._commits().agg(F.max("commit_id")).first()[0]
+        return self.log().last
 
     def has_batch(self, source: str, source_batch: int) -> bool:
-        """Was this batch of this source committed before? Batches of a source are numbered upwards."""
-        last = self._commits().where(F.col("source") == source).agg(F.max("source_batch")).first()[0]
-        return last is not None and source_batch <= last
+        """Was this batch of this source committed before?"""
+        return self.log().has(source, source_batch)
 
     def commit(self, commit_id: int, source: str, source_batch: int) -> None:
         marker = self.spark.range(1).select(
@@ -106,19 +127,19 @@ class Store:
 
     def staged(self, table: str, commit_id: int) -> DataFrame:
         """Rows of a commit in progress, for its own later steps."""
-        return self._load(table, self.schemas[table]).where(F.col("batch_id") == commit_id).drop("batch_id")
+        return self.spark.read.schema(self.schemas[table]).parquet(f"{self.path}/{table}/batch_id={commit_id}")
 
-    def read(self, table: str, keys: DataFrame | None = None) -> DataFrame:
+    def read(self, table: str, keys: DataFrame | None = None, log: Log | None = None) -> DataFrame:
         """The committed table. For a versioned one the newest row per key; with ``keys`` (a
         DataFrame holding key values) old versions of all other keys are not even grouped."""
-        last = self.last_commit()
+        log = log or self.log()
+        last = log.last
         if table not in VERSIONED:
             rows = self._load(table, self.schemas[table]).where(F.col("batch_id") <= last).drop("batch_id")
             return rows.where(~F.col("parked")) if table == "outcomes" else rows
         key, schema = VERSIONED[table], self.schemas[table]
-        bases = self._load(f"{table}_base", schema).where(F.col("batch_id") <= last)
-        base_id = self._base_of(table, last)
-        rows = (bases.where(F.col("batch_id") == base_id)
+        base_id = log.base(table)
+        rows = (self._load(f"{table}_base", schema).where(F.col("batch_id") == base_id)
                 .unionByName(self._load(table, schema).where(
                     (F.col("batch_id") > base_id) & (F.col("batch_id") <= last))))
         if keys is not None:
@@ -127,20 +148,15 @@ class Store:
             F.struct(*[c for c in schema.fieldNames() if c != key]), "batch_id").alias("_row"))
         return newest.select(*[F.col(c) if c == key else F.col("_row")[c].alias(c) for c in schema.fieldNames()])
 
-    def parked(self) -> DataFrame:
+    def parked(self, log: Log | None = None) -> DataFrame:
         """Events waiting for their shipment. Each feed commit takes all of them up and writes those
         that still wait, so they are in the last one."""
-        last = self._commits().where(F.col("source").startswith(FEED)).agg(F.max("commit_id")).first()[0]
-        return self.staged("outcomes", last).where("parked")
-
-    def _base_of(self, table: str, last: int) -> int:
-        """The newest complete base: its number is that of the commit that marked it."""
-        compacted = self._commits().where((F.col("source") == f"compact:{table}") & (F.col("commit_id") <= last))
-        return compacted.agg(F.coalesce(F.max("commit_id"), F.lit(0))).first()[0]
+        return self.staged("outcomes", (log or self.log()).last_feed).where("parked")
 
     def compact(self, table: str) -> int:
         """Folds all versions into a new base, as a commit of its own."""
-        commit_id = self.last_commit() + 1
-        self._save(self.read(table).sortWithinPartitions(VERSIONED[table]), f"{table}_base", commit_id)
+        log = self.log()
+        commit_id = log.last + 1
+        self._save(self.read(table, log=log).sortWithinPartitions(VERSIONED[table]), f"{table}_base", commit_id)
         self.commit(commit_id, f"compact:{table}", commit_id)
         return commit_id

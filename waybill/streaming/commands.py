@@ -17,20 +17,22 @@ from .ingest import IngestConfig, publish, stored_for
 
 def register(store: Store, requests: DataFrame, batch: int) -> None:
     """Registers shipments; rerunning a committed ``batch`` does nothing."""
-    if store.has_batch("register", batch):
+    log = store.log()
+    if log.has("register", batch):
         return
-    commit_id = store.last_commit() + 1
+    commit_id = log.last + 1
     numbers = requests.select("carrier_code", "tracking_number")
-    store.write(register_shipments(requests, store.read("shipments", numbers.distinct())), "shipments", commit_id)
+    store.write(register_shipments(requests, store.read("shipments", numbers.distinct(), log)), "shipments", commit_id)
     store.commit(commit_id, "register", batch)
 
 
 def revise(store: Store, revisions: DataFrame, batch: int) -> None:
     """Replaces delivery estimates."""
-    if store.has_batch("revise", batch):
+    log = store.log()
+    if log.has("revise", batch):
         return
-    commit_id = store.last_commit() + 1
-    touched = store.read("shipments", revisions.select("shipment_id").distinct())
+    commit_id = log.last + 1
+    touched = store.read("shipments", revisions.select("shipment_id").distinct(), log)
     store.write(revise_estimates(revisions, touched), "shipments", commit_id)
     store.commit(commit_id, "revise", batch)
 
@@ -42,10 +44,11 @@ def replay(store: Store, batch: int, clock, ids: DataFrame | None = None,
     They take the normal pass against the tables as they are now, received at ``clock``. One that
     is stored meanwhile counts as done. What fails again stays open with one more retry.
     """
-    if store.has_batch("replay", batch):
+    log = store.log()
+    if log.has("replay", batch):
         return
-    commit_id = store.last_commit() + 1
-    failed = store.read("failed_events")
+    commit_id = log.last + 1
+    failed = store.read("failed_events", log=log)
     eligible = replay_eligible(failed, M.error_categories(store.spark), ids).persist()
     try:
         feed = eligible.select(
@@ -55,8 +58,8 @@ def replay(store: Store, batch: int, clock, ids: DataFrame | None = None,
         events = (parse_feed(feed, config.key_type).withColumn("received_at", F.lit(clock))
                   .withColumn("first_failed_at", F.lit(None).cast("timestamp")))
         fits = eligible.count() <= config.broadcast_rows
-        shipments = stored_for(store, "shipments", events.select("shipment_id"), fits)
-        history = stored_for(store, "tracking_events", events.select("event_id"), fits).select("event_id")
+        shipments = stored_for(store, log, "shipments", events.select("shipment_id"), fits)
+        history = stored_for(store, log, "tracking_events", events.select("event_id"), fits).select("event_id")
         outcomes = outcome_stream(events, shipments, M.vocabulary(store.spark), history, policy=config.policy)
         store.write(outcomes.withColumn("parked", F.lit(False)), "outcomes", commit_id)
         written = store.staged("outcomes", commit_id)
@@ -67,7 +70,7 @@ def replay(store: Store, batch: int, clock, ids: DataFrame | None = None,
         origin = ["original_topic", "original_partition", "original_offset"]
         attempts = eligible.select("failed_event_id", *origin).join(
             again.select(*origin, "error_category", "error_type", "error_message", "failed_at"), origin, "left")
-        publish(store, written, shipments, commit_id, fits, replay_result(eligible, attempts))
+        publish(store, log, written, shipments, commit_id, fits, replay_result(eligible, attempts))
         store.commit(commit_id, "replay", batch)
     finally:
         eligible.unpersist()

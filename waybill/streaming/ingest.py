@@ -16,7 +16,7 @@ from ..operators.skew import DEFAULT, SkewPolicy
 from ..operators.state import shipments_upsert, state_deltas
 from ..plans.pipeline import history_of, outcome_stream
 from ..sources.feed import parse_feed
-from ..sources.store import FEED, Store
+from ..sources.store import FEED, Log, Store
 
 
 @dataclass(frozen=True)
@@ -52,9 +52,10 @@ def ingest(feed: DataFrame, batch_id: int, store: Store, config: IngestConfig =
     reception in the batch) decides what is due, never the wall clock.
     """
     source = FEED + config.source
-    if store.has_batch(source, batch_id):
+    log = store.log()
+    if log.has(source, batch_id):
         return
-    commit_id = store.last_commit() + 1
+    commit_id = log.last + 1
     events = (parse_feed(feed, config.key_type)
               .withColumn("first_failed_at", F.lit(None).cast("timestamp")).persist())
     try:
@@ -66,10 +67,10 @@ def ingest(feed: DataFrame, batch_id: int, store: Store, config: IngestConfig =
         begin = F.timestamp_micros(F.lit(begin)) if rows else now
         batch = events
         if config.retries:
-            parked = store.parked()
+            parked = store.parked(log)
             rows += parked.count()
             batch = events.unionByName(_released(parked, begin, events))
-        _process(batch, rows, now, commit_id, store, config)
+        _process(batch, rows, now, commit_id, store, log, config)
         store.commit(commit_id, source, batch_id)
     finally:
         events.unpersist()
@@ -84,24 +85,25 @@ def _released(parked: DataFrame, begin: Column, events: DataFrame) -> DataFrame:
         else F.col(c) for c in events.columns])
 
 
-def stored_for(store: Store, table: str, keys: DataFrame, broadcast: bool) -> DataFrame:
+def stored_for(store: Store, log: Log, table: str, keys: DataFrame, broadcast: bool) -> DataFrame:
     """The stored rows with one of ``keys``. ``broadcast`` says the keys were counted and fit: then
     the big table is filtered where it is read and only what is left gets shuffled."""
     keys = keys.distinct()
     if broadcast:
         keys = F.broadcast(keys)
     if table in ("shipments", "failed_events"):
-        return store.read(table, keys)
-    return store.read(table).join(keys, keys.columns, "left_semi")
+        return store.read(table, keys, log)
+    return store.read(table, log=log).join(keys, keys.columns, "left_semi")
 
 
-def _process(events: DataFrame, rows: int, now: Column, commit_id: int, store: Store, config: IngestConfig) -> None:
+def _process(events: DataFrame, rows: int, now: Column, commit_id: int, store: Store, log: Log,
+             config: IngestConfig) -> None:
     spark = store.spark
     fits = rows <= config.broadcast_rows
     known = events.where(F.col("event_id").isNotNull()).select("event_id")
     touched = events.where(F.col("shipment_id").isNotNull()).select("shipment_id")
-    shipments = stored_for(store, "shipments", touched, fits)
-    history = stored_for(store, "tracking_events", known, fits).select("event_id")
+    shipments = stored_for(store, log, "shipments", touched, fits)
+    history = stored_for(store, log, "tracking_events", known, fits).select("event_id")
 
     outcomes = outcome_stream(events, shipments, M.vocabulary(spark), history, policy=config.policy)
     first = F.coalesce("first_failed_at", "received_at")
@@ -115,10 +117,10 @@ def _process(events: DataFrame, rows: int, now: Column, commit_id: int, store: S
                           .otherwise(F.col("received_at"))))
     # written once, then every table is derived from the written rows
     store.write(staged, "outcomes", commit_id)
-    publish(store, store.staged("outcomes", commit_id).where(~F.col("parked")), shipments, commit_id, fits)
+    publish(store, log, store.staged("outcomes", commit_id).where(~F.col("parked")), shipments, commit_id, fits)
 
 
-def publish(store: Store, outcomes: DataFrame, shipments: DataFrame, commit_id: int, fits: bool,
+def publish(store: Store, log: Log, outcomes: DataFrame, shipments: DataFrame, commit_id: int, fits: bool,
             failed_delta: DataFrame | None = None) -> None:
     """History, notifications, state, failed events and dead letters of a commit, in this order.
 
@@ -133,7 +135,7 @@ def publish(store: Store, outcomes: DataFrame, shipments: DataFrame, commit_id:
     if failed_delta is None:
         failures = failures_of(outcomes)
         ids = failures.where(F.col("event_id").isNotNull()).select("event_id")
-        failed_delta = failed_events_upsert(stored_for(store, "failed_events", ids, fits), failures)
+        failed_delta = failed_events_upsert(stored_for(store, log, "failed_events", ids, fits), failures)
         # row first, stream second
         store.write(failed_delta, "failed_events", commit_id)
         store.write(dead_letters(failures), "dead_letters", commit_id)
