@@ -40,13 +40,10 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
     known = [c for c in ("_known", "_heavy_known") if c in marked.columns]
     if heavy is not None:
         first = F.when(F.col("heavy_id"), F.col("_heavy_first")).otherwise(first)
-    return (
-        marked.withColumn("_first", first)
-        .withColumn("is_duplicate", can_repeat & (
-            F.coalesce(*known, F.lit(False))
-            | F.coalesce(F.col("arrival") > F.col("_first"), F.lit(False))))
-        .drop("_lane", "_first", "heavy_id", "_heavy_first", "_heavy_known", "_known")
-    )
+    return marked.withColumn("_first", first).select(
+        *[c for c in events.columns if c != "heavy_id"],
+        (can_repeat & (F.coalesce(*known, F.lit(False))
+                       | F.coalesce(F.col("arrival") > F.col("_first"), F.lit(False)))).alias("is_duplicate"))
 
 
 def tag_heavy_ids(events: DataFrame, heavy: DataFrame) -> DataFrame:

@@ -52,8 +52,7 @@ def ordering_fold(stored: DataFrame, seed: DataFrame | None = None, *,
     frozen = frozen | F.coalesce(F.max(F.col("_wins") & _delivers()).over(_before()), F.lit(False))
     if HELD[0] in df.columns:
         frozen = frozen | F.coalesce(F.col(HELD[0]) == M.TERMINAL_STATUS, F.lit(False))
-    return (folded.withColumn("applied", F.col("_wins") & ~frozen)
-            .drop("_earlier", "_carried", "_frozen", "_wins", "_chunk", "_heavy"))
+    return folded.select(*df.columns, (F.col("_wins") & ~frozen).alias("applied"))
 
 
 def applied_timeline(folded: DataFrame, *, heavy: DataFrame | None = None) -> DataFrame:

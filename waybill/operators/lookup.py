@@ -22,10 +22,9 @@ def resolve_shipments(events: DataFrame, shipments: DataFrame) -> DataFrame:
         F.col("last_sequence_number").alias("held_sequence_number"),
         F.col("last_received_at").alias("held_received_at"),
     )
-    return (events.join(registered, "shipment_id", "left")
-            .withColumn("shipment_found", F.col("registered_carrier").isNotNull())
-            .withColumn("carrier_matches",
-                        F.coalesce(F.col("registered_carrier") == F.col("carrier_code"), F.lit(False))))
+    return events.join(registered, "shipment_id", "left").withColumns({
+        "shipment_found": F.col("registered_carrier").isNotNull(),
+        "carrier_matches": F.coalesce(F.col("registered_carrier") == F.col("carrier_code"), F.lit(False))})
 
 
 def normalize_events(events: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -36,11 +35,9 @@ def normalize_events(events: DataFrame, vocab: DataFrame) -> DataFrame:
     """
     per_carrier = vocab.groupBy("carrier_code").agg(
         F.map_from_entries(F.collect_list(F.struct("code", "status"))).alias("_codes"))
-    return (events.join(per_carrier, "carrier_code", "left")
-            .withColumn("carrier_supported", F.col("_codes").isNotNull())
-            .withColumn("normalized_event_type",
-                        F.try_element_at("_codes", normalized_code(F.col("event_type"))))
-            .drop("_codes"))
+    return events.join(per_carrier, "carrier_code", "left").select(
+        *events.columns, F.col("_codes").isNotNull().alias("carrier_supported"),
+        F.try_element_at("_codes", normalized_code(F.col("event_type"))).alias("normalized_event_type"))
 
 
 def vocabulary_conflicts(vocab: DataFrame) -> DataFrame:

@@ -16,9 +16,10 @@ def _flag(df: DataFrame, name: str) -> Column:
 def add_storable(events: DataFrame) -> DataFrame:
     """Adds ``valid`` and ``storable``: everything but the redelivery check."""
     valid = ~_flag(events, "malformed") & F.col("violation").isNull()
-    return (events.withColumn("valid", valid)
-            .withColumn("storable", F.col("valid") & F.col("shipment_found") & F.col("carrier_matches")
-                        & F.col("carrier_supported") & F.col("normalized_event_type").isNotNull()))
+    return events.withColumns({
+        "valid": valid,
+        "storable": valid & F.col("shipment_found") & F.col("carrier_matches") & F.col("carrier_supported")
+        & F.col("normalized_event_type").isNotNull()})
 
 
 def classify_outcome(events: DataFrame) -> DataFrame:

@@ -17,9 +17,10 @@ trace of the other path in it.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import chunk_axis
@@ -62,14 +63,18 @@ def find_heavy(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) ->
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the cluster's shared folder, for a result two branches read."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-            shared = tempfile.mkdtemp(prefix="waybill-checkpoint-")
-        context.setCheckpointDir(shared)
-    return df.checkpoint()
+    """Writes ``df`` to the cluster's shared folder and reads it back, for a result that several
+    branches read. A Parquet table rather than ``checkpoint()``: each branch reads only its columns."""
+    folder = f"{_shared_folder(df.sparkSession)}/waybill-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        shared = tempfile.mkdtemp(prefix="waybill-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")

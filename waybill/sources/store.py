@@ -79,7 +79,7 @@ class Store:
             self.last_commit()
         except AnalysisException:      # no commits folder
             for table, schema in self.schemas.items():
-                empty = self.spark.createDataFrame([], schema)
+                empty = self.spark.createDataFrame([], schema).coalesce(1)
                 self.write(empty, table, 0)
                 if table in VERSIONED:
                     self._save(empty, f"{table}_base", 0)

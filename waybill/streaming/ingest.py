@@ -141,7 +141,7 @@ def publish(store: Store, log: Log, outcomes: DataFrame, shipments: DataFrame, c
         store.write(dead_letters(failures), "dead_letters", commit_id)
     else:
         store.write(failed_delta, "failed_events", commit_id)
-        store.write(store.spark.createDataFrame([], store.schemas["dead_letters"]), "dead_letters", commit_id)
+        store.write(store.spark.createDataFrame([], store.schemas["dead_letters"]).coalesce(1), "dead_letters", commit_id)
 
 
 def start(feed: DataFrame, store: Store, checkpoint: str, config: IngestConfig = IngestConfig(), *,
