@@ -15,3 +15,13 @@ def spark():
                .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     return session
+
+
+@pytest.fixture(autouse=True)
+def interpreted(spark, request):
+    """Unit cases hold a few rows: compiling their plans would take longer than running them. The
+    query comparison (test_queries) runs compiled."""
+    compiled = request.module.__name__.endswith("test_queries")
+    spark.conf.set("spark.sql.codegen.wholeStage", str(compiled).lower())
+    spark.conf.set("spark.sql.codegen.factoryMode", "FALLBACK" if compiled else "NO_CODEGEN")
+    yield

@@ -1,3 +1,4 @@
+import shutil
 from datetime import timedelta, timezone
 
 import pytest
@@ -31,29 +32,40 @@ def messages():
     return out
 
 
+@pytest.fixture(scope="module")
+def template(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("template") / "store"
+    s = Store(spark, str(path)).create()
+    s.write(shipments(spark, [uuid_of(i) for i in (1, 2, 3)]).coalesce(1), "shipments", 1)
+    s.commit(1, "register", 0)
+    return path
+
+
 @pytest.fixture()
-def store(spark, tmp_path):
-    return seeded(spark, tmp_path / "store")
+def fresh(spark, template, tmp_path):
+    """Makes stores with three registered shipments."""
+    def make(name="store"):
+        shutil.copytree(template, tmp_path / name)
+        return Store(spark, str(tmp_path / name))
+    return make
 
 
-def seeded(spark, path):
-    s = Store(spark, str(path)).create()
-    s.write(shipments(spark, [uuid_of(i) for i in (1, 2, 3)]), "shipments", 1)
-    s.commit(1, "register", 0)
-    return s
+@pytest.fixture()
+def store(fresh):
+    return fresh()
 
 
 def contents(store):
     return {t: table(store.read(t), *c) for t, c in TABLES.items()}
 
 
-def test_batches_equal_one_pass(spark, tmp_path):
-    once, split = seeded(spark, tmp_path / "a"), seeded(spark, tmp_path / "b")
+def test_batches_equal_one_pass(spark, fresh):
+    once, split = fresh("a"), fresh("b")
     now = IngestConfig(retries=0)
     everything = messages()
     ingest(feed(spark, everything), 0, once, now)
-    for n, at in enumerate(range(0, len(everything), 17)):
-        ingest(feed(spark, everything[at:at + 17], start=at), n, split, now)
+    for n, at in enumerate(range(0, len(everything), 27)):
+        ingest(feed(spark, everything[at:at + 27], start=at), n, split, now)
     assert contents(once) == contents(split)
     counts = outcome_counts(once.read("outcomes")).first().asDict()
     assert counts["processed"] == counts["applied"] + counts["out_of_order"] + counts["duplicate"]
@@ -83,12 +95,12 @@ def test_a_batch_without_marker_is_invisible_and_redone(spark, store, monkeypatc
     assert len(contents(store)["tracking_events"]) == 40
 
 
-def test_structured_streaming_equals_batch(spark, tmp_path):
-    once, streamed = seeded(spark, tmp_path / "a"), seeded(spark, tmp_path / "b")
+def test_structured_streaming_equals_batch(spark, fresh, tmp_path):
+    once, streamed = fresh("a"), fresh("b")
     everything = messages()
     ingest(feed(spark, everything), 0, once, IngestConfig(retries=0))
-    for at in range(0, len(everything), 20):
-        feed(spark, everything[at:at + 20], start=at).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+    for at in range(0, len(everything), 30):
+        feed(spark, everything[at:at + 30], start=at).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
     source = read_feed(spark, str(tmp_path / "feed"), stream=True)
     query = start(source, streamed, str(tmp_path / "checkpoint"), IngestConfig(retries=0))
     query.awaitTermination(120)
