@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import HeavyKeys
+
 
 def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
-                    heavy: DataFrame | None = None) -> DataFrame:
+                    heavy: HeavyKeys | None = None) -> DataFrame:
     """Adds ``is_duplicate``: a valid event whose id was stored before.
 
     Expects ``valid`` (decoded and validated) and ``storable`` (would be stored if it is no
@@ -27,7 +29,7 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
         if history is not None:
             firsts = firsts.join(history.select("event_id", F.lit(True).alias("_heavy_known")),
                                  "event_id", "left")
-        marked = marked.join(F.broadcast(firsts), "event_id", "left")
+        marked = marked.join(heavy.side(firsts), "event_id", "left")
         together = can_repeat & ~F.col("heavy_id")
     marked = marked.withColumn("_lane", F.when(together, F.lit(0).cast("long"))
                                .otherwise(F.xxhash64("arrival")))
@@ -46,11 +48,11 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
                        | F.coalesce(F.col("arrival") > F.col("_first"), F.lit(False)))).alias("is_duplicate"))
 
 
-def tag_heavy_ids(events: DataFrame, heavy: DataFrame) -> DataFrame:
+def tag_heavy_ids(events: DataFrame, heavy: HeavyKeys) -> DataFrame:
     """Adds ``heavy_id``. Done on the raw events, the tag lets Catalyst push the restriction to
     heavy ids below the lookups that follow."""
-    ids = heavy.select("event_id", F.lit(True).alias("heavy_id"))
-    return (events.join(F.broadcast(ids), "event_id", "left")
+    ids = heavy.rows.select("event_id", F.lit(True).alias("heavy_id"))
+    return (events.join(heavy.side(ids), "event_id", "left")
             .withColumn("heavy_id", F.coalesce("heavy_id", F.lit(False))))
 
 

@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 
 from .. import model as M
 from ..functions import chunk_axis
-from .skew import cut_lineage
+from .skew import HeavyKeys, cut_lineage
 
 HELD = ("held_status", "held_event_time", "held_sequence_number", "held_received_at")
 
 
 def ordering_fold(stored: DataFrame, seed: DataFrame | None = None, *,
-                  heavy: DataFrame | None = None) -> DataFrame:
+                  heavy: HeavyKeys | None = None) -> DataFrame:
     """Adds ``applied``: true where the event advanced its shipment.
 
     Rows may carry a ``stored`` flag; rows without it take no part (masked, not filtered, so one
@@ -55,7 +55,7 @@ def ordering_fold(stored: DataFrame, seed: DataFrame | None = None, *,
     return folded.select(*df.columns, (F.col("_wins") & ~frozen).alias("applied"))
 
 
-def applied_timeline(folded: DataFrame, *, heavy: DataFrame | None = None) -> DataFrame:
+def applied_timeline(folded: DataFrame, *, heavy: HeavyKeys | None = None) -> DataFrame:
     """Adds ``status_before`` and ``status_after``: the shipment's status around each event."""
     status = F.when(F.col("applied"), F.col("normalized_event_type"))
     local = _chunk(folded if heavy is None else cut_lineage(folded), heavy).withColumn(
@@ -106,7 +106,7 @@ def _chunks_before():
             .rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _chunk(df: DataFrame, heavy: DataFrame | None) -> DataFrame:
+def _chunk(df: DataFrame, heavy: HeavyKeys | None) -> DataFrame:
     """Adds ``_chunk``: 0 for ordinary shipments, the consecutive piece for heavy ones, and a
     spread of negative values for rows that take no part."""
     aside = -1 - F.pmod(F.xxhash64("arrival"), F.lit(1 << 30))
@@ -115,7 +115,7 @@ def _chunk(df: DataFrame, heavy: DataFrame | None) -> DataFrame:
     piece = F.coalesce(
         F.width_bucket(chunk_axis(df.schema), F.col("axis_low"), F.col("axis_high"), F.col("chunks")),
         F.lit(0)) + 1
-    return (df.join(F.broadcast(heavy), "shipment_id", "left")
+    return (df.join(heavy.side(heavy.rows), "shipment_id", "left")
             .withColumn("_heavy", _takes_part(df) & F.col("chunks").isNotNull())
             .withColumn("_chunk", F.when(~_takes_part(df), aside)
                         .when(F.col("_heavy"), piece).otherwise(F.lit(0)).cast("long"))

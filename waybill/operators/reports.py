@@ -29,6 +29,22 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(*[c.alias(name) for name, c in counters().items()])
 
 
+def attempt_counts(outcomes: DataFrame, categories: DataFrame, retries: int = M.RETRY_LIMIT) -> DataFrame:
+    """The counters by attempt: a failure of an automatically retryable category was tried
+    ``retries`` more times before it was dead-lettered, and each try is received and fails."""
+    auto = outcomes.join(categories.select("error_category", "retryable_automatically"), "error_category", "left")
+    tries = F.when(F.col("retryable_automatically"), retries + 1).otherwise(1)
+    failed = F.col("error_category").isNotNull()
+
+    def total(condition, amount):
+        return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0))
+
+    return auto.agg(
+        total(F.col("outcome") != "MALFORMED_PAYLOAD", tries).alias("received"),
+        F.count_if(~failed).alias("processed"), total(failed, tries).alias("failed"),
+        F.count_if(failed).alias("dead_lettered"))
+
+
 def counter_rows(outcomes: DataFrame) -> DataFrame:
     """``outcome_counts`` as (metric, value) rows."""
     names = list(counters())

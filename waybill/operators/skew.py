@@ -6,8 +6,9 @@ operators therefore treat heavy keys apart, with the same result.
 
 Heavy keys are *estimated* from a hash sample of the arrivals. The estimate only decides which
 exact path a key takes; no row is ever dropped because of it. A key is heavy above ``heavy_rows``
-rows, so there are at most rows / heavy_rows of them: a few hundred thousand for 10^12 rows, which
-bounds what gets broadcast. The sample is a function of the data, so every evaluation, also after
+rows, so there are at most rows / heavy_rows of them: a few hundred thousand for 10^12 rows. They
+are counted before they are broadcast; beyond ``broadcast_keys`` the joins with them stay sort-merge
+joins, which AQE splits where they are skewed. The sample is a function of the data, so every evaluation, also after
 a lost executor, picks the same keys.
 
 Detection is one job over the key columns. Without heavy keys the plain plan is built, with no
@@ -16,6 +17,7 @@ trace of the other path in it.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -31,13 +33,26 @@ class SkewPolicy:
     heavy_rows: int = 4_000_000   # one task sorts and scans this many rows comfortably
     sample_every: int = 64        # the estimate looks at one arrival in this many
     chunk_rows: int = 1_000_000   # aim for heavy groups cut into pieces of this size
+    broadcast_keys: int = 1_000_000
 
 
 DEFAULT = SkewPolicy()
 
 
-def find_heavy(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) -> dict[str, DataFrame]:
-    """For each of ``keys`` with heavy values: ``key, chunks, axis_low, axis_high`` of those values.
+@dataclass(frozen=True)
+class HeavyKeys:
+    """Heavy values of one key: ``rows`` holds ``key, chunks, axis_low, axis_high``."""
+
+    rows: DataFrame
+    fits: bool
+
+    def side(self, df: DataFrame) -> DataFrame:
+        """``df``, which has one row per heavy value, as the small side of a join."""
+        return F.broadcast(df) if self.fits else df
+
+
+def find_heavy(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) -> dict[str, HeavyKeys]:
+    """The heavy values of each of ``keys``.
 
     One scan serves all keys (grouping sets over the sample). A key without heavy values is absent
     from the result.
@@ -55,11 +70,12 @@ def find_heavy(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) ->
         .withColumn("chunks", F.ceil(F.col("_rows") / policy.chunk_rows).cast("int"))
     )
     of_key = {k: "".join("0" if k == other else "1" for other in keys) for k in keys}
-    present = {row["_set"] for row in                       # at most one row per key column
-               heavy.where(F.coalesce(*keys).isNotNull() if len(keys) > 1 else F.col(keys[0]).isNotNull())
-               .select("_set").distinct().collect()}
-    return {k: heavy.where((F.col("_set") == of_key[k]) & F.col(k).isNotNull())
-            .select(k, "chunks", "axis_low", "axis_high") for k in keys if of_key[k] in present}
+    named = heavy.where(F.coalesce(*[F.col(k).cast("string") for k in keys], F.lit(None)).isNotNull())
+    counts = {row["_set"]: row["count"]                     # at most one row per key column
+              for row in named.groupBy("_set").count().collect()}
+    return {k: HeavyKeys(
+        heavy.where((F.col("_set") == of_key[k]) & F.col(k).isNotNull()).select(k, "chunks", "axis_low", "axis_high"),
+        counts[of_key[k]] <= policy.broadcast_keys) for k in keys if of_key[k] in counts}
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -71,10 +87,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="waybill-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder(context.applicationId)
     return shared.rstrip("/")
+
+
+@functools.cache
+def _local_folder(application: str) -> str:
+    """Stands in for the shared folder where driver and executors are one process."""
+    return tempfile.mkdtemp(prefix=f"waybill-{application}-")

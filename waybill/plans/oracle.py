@@ -452,6 +452,11 @@ add_a("retailer_page", _page(
     "state", "retailer_id", """retailer_id, shipment_id, tracking_number, carrier_code, current_status,
   estimated_delivery_date, last_event_time, version, created_at, updated_at, "position\"""",
     "created_at DESC, shipment_id", 0, 20), "state")
+add_a("retailer_status_page", _page(
+    "(SELECT * FROM state WHERE current_status = 'LABEL_CREATED') q", "retailer_id",
+    """retailer_id, shipment_id, tracking_number, carrier_code, current_status,
+  estimated_delivery_date, last_event_time, version, created_at, updated_at, "position\"""",
+    "created_at DESC, shipment_id", 1, 7), "state")
 add_a("failed_events_page", _page(
     "(SELECT * FROM failed JOIN categories USING (error_category)) q", "",
     """failed_event_id, event_id, shipment_id, error_category, auto_retry AS retryable_automatically,
@@ -465,6 +470,10 @@ add_a("recent_ingest", """SELECT received_at, event_id, shipment_id, carrier_eve
 # --- reports -------------------------------------------------------------------------------------
 _COUNTS = ", ".join(f"{sql} AS {name}" for name, sql in _METRICS.items())
 add_a("outcome_counts", f"SELECT {_COUNTS} FROM outcomes")
+add_a("attempt_counts", """SELECT CAST(sum(tries) AS BIGINT) AS received, count(*) FILTER (error_category IS NULL) AS processed,
+  CAST(sum(tries) FILTER (error_category IS NOT NULL) AS BIGINT) AS failed,
+  count(*) FILTER (error_category IS NOT NULL) AS dead_lettered
+  FROM (SELECT *, CASE WHEN error_category = 'SHIPMENT_NOT_FOUND' THEN 6 ELSE 1 END AS tries FROM outcomes)""")
 add_a("failures_by_category", """SELECT error_category, auto_retry AS retryable,
   (SELECT count(*) FROM outcomes o WHERE o.error_category = categories.error_category) AS failures FROM categories""",
       "categories")

@@ -364,6 +364,11 @@ def retailer_page(spark, sf):
     return pages.retailer_page(Feed(spark, sf, written=True).state, page=0, size=20)
 
 
+@query
+def retailer_status_page(spark, sf):
+    return pages.retailer_page(Feed(spark, sf, written=True).state, status="LABEL_CREATED", page=1, size=7)
+
+
 @query
 def failed_events_page(spark, sf):
     f = Feed(spark, sf, written=True)
@@ -388,6 +393,12 @@ def outcome_counts(spark, sf):
     return reports.outcome_counts(Feed(spark, sf).outcomes)
 
 
+@query
+def attempt_counts(spark, sf):
+    f = Feed(spark, sf)
+    return reports.attempt_counts(f.outcomes, f.categories)
+
+
 @query
 def failures_by_category(spark, sf):
     f = Feed(spark, sf)

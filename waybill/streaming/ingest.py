@@ -16,6 +16,7 @@ from ..operators.skew import DEFAULT, SkewPolicy
 from ..operators.state import shipments_upsert, state_deltas
 from ..plans.pipeline import history_of, outcome_stream
 from ..sources.feed import parse_feed
+from ..sources.sinks import publish_dead_letters
 from ..sources.store import FEED, Log, Store
 
 
@@ -31,6 +32,9 @@ class IngestConfig:
     # a batch of at most this many rows has its keys broadcast to the stored tables
     broadcast_rows: int = 1_000_000
     policy: SkewPolicy = DEFAULT
+    # brokers and topic that get a copy of the dead letters, after their rows are written
+    dead_letter_brokers: str | None = None
+    dead_letter_topic: str = "carrier-tracking-events-dlt"
 
     @property
     def patience_ms(self) -> int:
@@ -71,6 +75,10 @@ def ingest(feed: DataFrame, batch_id: int, store: Store, config: IngestConfig =
             rows += parked.count()
             batch = events.unionByName(_released(parked, begin, events))
         _process(batch, rows, now, commit_id, store, log, config)
+        if config.dead_letter_brokers:
+            # before the marker: a batch that dies here is redone and sends again, none gets lost
+            publish_dead_letters(store.staged("dead_letters", commit_id), config.dead_letter_brokers,
+                                 config.dead_letter_topic)
         store.commit(commit_id, source, batch_id)
     finally:
         events.unpersist()
