@@ -146,7 +146,7 @@ def test_precedence(spark):
         event(8, shipment_id="n1", carrier_code="NORDEX"), event(9, shipment_id="s2", event_id="a"),
     ]
     parcels = shipments(spark, ["s1", "s2"]).union(shipments(spark, ["n1"], carrier_code="NORDEX"))
-    got = outcome_stream(events(spark, rows), parcels, M.vocabulary(spark))
+    got = outcome_stream(events(spark, rows), parcels)
     assert [o for _, o in table(got, "arrival", "outcome")] == [
         "APPLIED", "DUPLICATE", "VALIDATION", "SHIPMENT_NOT_FOUND", "APPLIED", "CARRIER_MISMATCH",
         "UNKNOWN_EVENT_TYPE", "UNSUPPORTED_CARRIER", "DUPLICATE"]
@@ -180,8 +180,9 @@ def test_every_code_in_any_case_and_space(spark):
                  event(3 * n + 1, carrier_code=other, event_type=code),
                  event(3 * n + 2, carrier_code="METROLINK", event_type=code)]
         want += [(3 * n, True, status), (3 * n + 1, True, None), (3 * n + 2, False, None)]
-    got = lookup.normalize_events(events(spark, rows), M.vocabulary(spark))
-    assert table(got, "arrival", "carrier_supported", "normalized_event_type") == want
+    for vocab in (None, M.vocabulary(spark)):
+        got = lookup.normalize_events(events(spark, rows), vocab)
+        assert table(got, "arrival", "carrier_supported", "normalized_event_type") == want
 
 
 def test_a_code_declared_twice_is_an_error(spark):

@@ -13,12 +13,12 @@ from ..operators.skew import DEFAULT, SkewPolicy, find_heavy
 from ..operators.validate import validate_events
 
 
-def assess(events: DataFrame, shipments: DataFrame, vocab: DataFrame) -> DataFrame:
+def assess(events: DataFrame, shipments: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
     """Everything that can be said about a delivery by itself: validation, lookups, flags."""
     return add_storable(normalize_events(resolve_shipments(validate_events(events), shipments), vocab))
 
 
-def outcome_stream(events: DataFrame, shipments: DataFrame, vocab: DataFrame,
+def outcome_stream(events: DataFrame, shipments: DataFrame, vocab: DataFrame | None = None,
                    history: DataFrame | None = None, *, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Every delivery with its outcome: APPLIED, SUPERSEDED, DUPLICATE, or an error category.
 

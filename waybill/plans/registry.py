@@ -49,7 +49,7 @@ class Feed:
 
     def __init__(self, spark: SparkSession, sf_dir: str, written: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
-        self.vocab = M.vocabulary(spark)
+        self.vocab = None      # the built-in one
         self.categories = M.error_categories(spark)
         self.rules = M.notification_rules(spark)
         self.shipments = X.shipments(spark, sf_dir)
@@ -113,7 +113,7 @@ def validate_events_query(spark, sf):
 @query
 def normalize_events_query(spark, sf):
     f = Feed(spark, sf)
-    return lookup.normalize_events(f.events, f.vocab).select(
+    return lookup.normalize_events(f.events, M.vocabulary(spark)).select(
         "event_id", "arrival", "carrier_code", "event_type", "carrier_supported", "normalized_event_type")
 
 
@@ -155,7 +155,7 @@ class Batches:
     """Feed A as two overlapping batches; ``past`` is what ingesting the first one stored."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.vocab, self.rules = M.vocabulary(spark), M.notification_rules(spark)
+        self.vocab, self.rules = None, M.notification_rules(spark)
         self.shipments, self.events = X.shipments(spark, sf_dir), X.feed_a(spark, sf_dir)
         first, self.second = X.feed_a_batches(spark, sf_dir)
         self.past = cut_lineage(outcome_stream(first, self.shipments, self.vocab))
@@ -243,7 +243,7 @@ def mark_duplicates(spark, sf):
 @query
 def ordering_fold(spark, sf):
     """The fold alone, over every line item as a stored scan of its order."""
-    scans = lookup.normalize_events(X.feed_b(spark, sf), M.vocabulary(spark))
+    scans = lookup.normalize_events(X.feed_b(spark, sf))
     heavy = find_heavy(scans, ["shipment_id"])
     folded = fold.ordering_fold(scans, heavy=heavy.get("shipment_id"))
     return folded.select("event_id", "shipment_id", "offset", "event_time", "sequence_number",
@@ -520,7 +520,7 @@ def alerts(spark, sf):
 # --- volume --------------------------------------------------------------------------------------
 
 def _volume(spark, sf):
-    return outcome_stream(X.feed_b(spark, sf), X.feed_b_shipments(spark, sf), M.vocabulary(spark))
+    return outcome_stream(X.feed_b(spark, sf), X.feed_b_shipments(spark, sf))
 
 
 @query

@@ -60,7 +60,7 @@ def replay(store: Store, batch: int, clock, ids: DataFrame | None = None,
         fits = eligible.count() <= config.broadcast_rows
         shipments = stored_for(store, log, "shipments", events.select("shipment_id"), fits)
         history = stored_for(store, log, "tracking_events", events.select("event_id"), fits).select("event_id")
-        outcomes = outcome_stream(events, shipments, M.vocabulary(store.spark), history, policy=config.policy)
+        outcomes = outcome_stream(events, shipments, config.vocabulary, history, policy=config.policy)
         store.write(outcomes.withColumn("parked", F.lit(False)), "outcomes", commit_id)
         written = store.staged("outcomes", commit_id)
 

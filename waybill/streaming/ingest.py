@@ -32,6 +32,7 @@ class IngestConfig:
     # a batch of at most this many rows has its keys broadcast to the stored tables
     broadcast_rows: int = 1_000_000
     policy: SkewPolicy = DEFAULT
+    vocabulary: DataFrame | None = None      # the built-in one
     # brokers and topic that get a copy of the dead letters, after their rows are written
     dead_letter_brokers: str | None = None
     dead_letter_topic: str = "carrier-tracking-events-dlt"
@@ -106,14 +107,13 @@ def stored_for(store: Store, log: Log, table: str, keys: DataFrame, broadcast: b
 
 def _process(events: DataFrame, rows: int, now: Column, commit_id: int, store: Store, log: Log,
              config: IngestConfig) -> None:
-    spark = store.spark
     fits = rows <= config.broadcast_rows
     known = events.where(F.col("event_id").isNotNull()).select("event_id")
     touched = events.where(F.col("shipment_id").isNotNull()).select("shipment_id")
     shipments = stored_for(store, log, "shipments", touched, fits)
     history = stored_for(store, log, "tracking_events", known, fits).select("event_id")
 
-    outcomes = outcome_stream(events, shipments, M.vocabulary(spark), history, policy=config.policy)
+    outcomes = outcome_stream(events, shipments, config.vocabulary, history, policy=config.policy)
     first = F.coalesce("first_failed_at", "received_at")
     patience = F.make_dt_interval(secs=F.lit(config.patience_ms / 1000.0))
     parked = (F.lit(config.retries > 0) & (F.col("outcome") == "SHIPMENT_NOT_FOUND")
