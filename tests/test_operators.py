@@ -10,7 +10,7 @@ from waybill.operators import dedupe, failures, fold, lookup, notify, pages, rat
 from waybill.operators.skew import SkewPolicy, find_heavy
 from waybill.operators.validate import validate_events
 from waybill.plans.pipeline import assess, outcome_stream
-from waybill.sources import flatten_batches, parse_feed
+from waybill.sources import dead_letter_records, flatten_batches, parse_feed
 
 EAGER = SkewPolicy(heavy_rows=3, sample_every=1, chunk_rows=2)   # nearly everything counts as heavy
 CODE = {s: c for carrier, c, s in M.VOCABULARY if carrier == "SWIFTPOST"}
@@ -108,7 +108,7 @@ def test_windows_equal_the_sequential_fold(spark, journeys):
     heavy = find_heavy(df, ["shipment_id"], EAGER).get("shipment_id")
     folded = fold.ordering_fold(df, heavy=heavy)
     assert applied(folded) == want
-    plain = table(fold.applied_timeline(folded), "shipment_id", "arrival", "status_before", "status_after")
+    plain = table(fold.applied_timeline(folded, heavy=None), "shipment_id", "arrival", "status_before", "status_after")
     assert table(fold.applied_timeline(folded, heavy=heavy),
                  "shipment_id", "arrival", "status_before", "status_after") == plain
 
@@ -285,3 +285,23 @@ def test_page_limits(spark):
         pages.history_page(shipments(spark), size=201)
     with pytest.raises(ValueError):
         pages.retailer_page(shipments(spark), page=-1)
+
+
+def test_dead_letter_records_carry_their_origin(spark):
+    letters = failures.dead_letters(spark.createDataFrame([failure(7, "a", 1)], FAILURE))
+    row = dead_letter_records(letters).first()
+    assert (row["key"], row["value"]) == ("s", "payload7")
+    headers = {h["key"]: bytes(h["value"]).decode() for h in row["headers"]}
+    assert headers["original-topic"] == "t" and headers["original-offset"] == "7"
+    assert headers["exception-message"] == "m"
+
+
+def test_detection_is_the_default(spark, monkeypatch):
+    """A feed with one crowded shipment takes the chunked path without being told."""
+    from waybill.operators import skew
+    monkeypatch.setattr(skew, "find_heavy", lambda df, keys, policy=None, real=skew.find_heavy: real(df, keys, EAGER))
+    journeys = {"big": [(i % 7 + 1, i % 3, i, "IN_TRANSIT") for i in range(40)], "small": [(1, 1, 0, "DELAYED")]}
+    folded = fold.ordering_fold(stored(spark, journeys))
+    assert "_chunk" in folded._jdf.queryExecution().analyzed().toString()
+    assert "_carried" in folded._jdf.queryExecution().analyzed().toString()
+    assert applied(folded) == {name: sequential(steps) for name, steps in journeys.items()}

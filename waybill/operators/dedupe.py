@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import HeavyKeys
+from .skew import DETECT, HeavyKeys, resolve_heavy
 
 
 def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
-                    heavy: HeavyKeys | None = None) -> DataFrame:
+                    heavy: HeavyKeys | None = DETECT) -> DataFrame:
     """Adds ``is_duplicate``: a valid event whose id was stored before.
 
     Expects ``valid`` (decoded and validated) and ``storable`` (would be stored if it is no
@@ -17,8 +17,10 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
 
     One shuffle by event id. Rows that cannot be duplicates (NULL ids, invalid bodies) would pile up
     there and are spread by arrival. So are the copies of a heavy id: its first storable arrival
-    comes from a map-side combined aggregate instead. ``heavy`` names such ids (see ``find_heavy``).
+    comes from a map-side combined aggregate instead. ``heavy`` names such ids, if they are known
+    already (None: there are none).
     """
+    heavy = resolve_heavy(heavy, events, "event_id")
     can_repeat = F.col("valid") & F.col("event_id").isNotNull()
     marked, together = events, can_repeat
     if heavy is not None:

@@ -19,20 +19,22 @@ from pyspark.sql import functions as F
 
 from .. import model as M
 from ..functions import chunk_axis
-from .skew import HeavyKeys, cut_lineage
+from .skew import DETECT, HeavyKeys, cut_lineage, resolve_heavy
 
 HELD = ("held_status", "held_event_time", "held_sequence_number", "held_received_at")
 
 
 def ordering_fold(stored: DataFrame, seed: DataFrame | None = None, *,
-                  heavy: HeavyKeys | None = None) -> DataFrame:
+                  heavy: HeavyKeys | None = DETECT) -> DataFrame:
     """Adds ``applied``: true where the event advanced its shipment.
 
     Rows may carry a ``stored`` flag; rows without it take no part (masked, not filtered, so one
     pass serves all outcomes). State held before this batch comes from ``seed`` (a shipments
-    table) or from ``held_*`` columns an earlier join has brought along. ``heavy`` names shipments
-    to scan in chunks (see ``find_heavy``); only then the input is checkpointed, for it is read twice.
+    table) or from ``held_*`` columns an earlier join has brought along. ``heavy`` names the
+    shipments to scan in chunks, if they are known already (None: there are none); only with such
+    shipments the input is written out, for it is read twice.
     """
+    heavy = resolve_heavy(heavy, stored, "shipment_id")
     df = stored
     if seed is not None:
         df = df.join(seed.select(
@@ -55,8 +57,9 @@ def ordering_fold(stored: DataFrame, seed: DataFrame | None = None, *,
     return folded.select(*df.columns, (F.col("_wins") & ~frozen).alias("applied"))
 
 
-def applied_timeline(folded: DataFrame, *, heavy: HeavyKeys | None = None) -> DataFrame:
+def applied_timeline(folded: DataFrame, *, heavy: HeavyKeys | None = DETECT) -> DataFrame:
     """Adds ``status_before`` and ``status_after``: the shipment's status around each event."""
+    heavy = resolve_heavy(heavy, folded, "shipment_id")
     status = F.when(F.col("applied"), F.col("normalized_event_type"))
     local = _chunk(folded if heavy is None else cut_lineage(folded), heavy).withColumn(
         "_earlier", F.last(status, ignorenulls=True).over(_before()))

@@ -78,6 +78,18 @@ def find_heavy(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) ->
         counts[of_key[k]] <= policy.broadcast_keys) for k in keys if of_key[k] in counts}
 
 
+class _Detect:
+    """Default of the operators' ``heavy`` argument: look for heavy keys first."""
+
+
+DETECT = _Detect()
+
+
+def resolve_heavy(heavy, df: DataFrame, key: str) -> HeavyKeys | None:
+    """What the caller found (or ruled out with None), else the result of a detection on ``df``."""
+    return find_heavy(df, [key]).get(key) if heavy is DETECT else heavy
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the cluster's shared folder and reads it back, for a result that several
     branches read. A Parquet table rather than ``checkpoint()``: each branch reads only its columns."""

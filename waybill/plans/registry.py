@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,9 +55,12 @@ class Feed:
         self.rules = M.notification_rules(spark)
         self.shipments = X.shipments(spark, sf_dir)
         self.events = X.feed_a(spark, sf_dir)
-        self.outcomes = outcome_stream(self.events, self.shipments, self.vocab)
-        if written:
-            self.outcomes = cut_lineage(self.outcomes)
+        self.written = written
+
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        outcomes = outcome_stream(self.events, self.shipments, self.vocab)
+        return cut_lineage(outcomes) if self.written else outcomes
 
     @property
     def history(self) -> DataFrame:
@@ -125,7 +129,8 @@ def vocabulary_conflicts(spark, sf):
 @query
 def classify_outcome(spark, sf):
     f = Feed(spark, sf)
-    flagged = dedupe.mark_duplicates(assess(f.events, f.shipments, f.vocab))
+    heavy = find_heavy(f.events, ["event_id"]).get("event_id")
+    flagged = dedupe.mark_duplicates(assess(f.events, f.shipments, f.vocab), heavy=heavy)
     return outcome.classify_outcome(flagged).select("event_id", "arrival", "outcome", "error_category")
 
 
@@ -235,18 +240,15 @@ def backfill_last_received(spark, sf):
 @query
 def mark_duplicates(spark, sf):
     f = Feed(spark, sf)
-    assessed = assess(f.events, f.shipments, f.vocab)
-    heavy = find_heavy(f.events, ["event_id"])
-    return dedupe.mark_duplicates(assessed, heavy=heavy.get("event_id")).select("event_id", "arrival", "is_duplicate")
+    heavy = find_heavy(f.events, ["event_id"]).get("event_id")   # cheaper on the raw events
+    return dedupe.mark_duplicates(assess(f.events, f.shipments, f.vocab), heavy=heavy).select("event_id", "arrival", "is_duplicate")
 
 
 @query
 def ordering_fold(spark, sf):
     """The fold alone, over every line item as a stored scan of its order."""
     scans = lookup.normalize_events(X.feed_b(spark, sf))
-    heavy = find_heavy(scans, ["shipment_id"])
-    folded = fold.ordering_fold(scans, heavy=heavy.get("shipment_id"))
-    return folded.select("event_id", "shipment_id", "offset", "event_time", "sequence_number",
+    return fold.ordering_fold(scans).select("event_id", "shipment_id", "offset", "event_time", "sequence_number",
                          "normalized_event_type", "applied")
 
 
@@ -272,8 +274,8 @@ def shipments_upsert(spark, sf):
 @query
 def applied_timeline(spark, sf):
     f = Feed(spark, sf)
-    stored = f.outcomes.where("stored")
-    return fold.applied_timeline(stored).select(
+    heavy = find_heavy(f.events, ["shipment_id"]).get("shipment_id")
+    return fold.applied_timeline(f.outcomes.where("stored"), heavy=heavy).select(
         "event_id", "shipment_id", "arrival", "applied", "status_before", "status_after")
 
 
