@@ -73,4 +73,3 @@ def table(df, *columns, sort=None):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-__all__ = ["F", "M", "T0", "event", "events", "feed", "outcomes_of", "shipments", "table", "uuid_of", "wire"]

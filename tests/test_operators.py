@@ -5,11 +5,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from helpers import F, M, T0, event, events, feed, shipments, table, uuid_of, wire
-from waybill.operators import dedupe, failures, fold, lookup, notify, pages, rates, reports
+from helpers import F, M, T0, event, events, feed, shipments, table, wire
+from waybill.operators import failures, fold, lookup, notify, pages, rates, reports
 from waybill.operators.skew import SkewPolicy, find_heavy
 from waybill.operators.validate import validate_events
-from waybill.plans.pipeline import assess, outcome_stream
+from waybill.plans.pipeline import outcome_stream
 from waybill.sources import dead_letter_records, flatten_batches, parse_feed
 
 EAGER = SkewPolicy(heavy_rows=3, sample_every=1, chunk_rows=2)   # nearly everything counts as heavy

@@ -3,7 +3,7 @@ from datetime import timedelta, timezone
 
 import pytest
 
-from helpers import F, M, T0, feed, shipments, table, uuid_of, wire
+from helpers import F, T0, feed, shipments, table, uuid_of, wire
 from waybill.operators.reports import outcome_counts
 from waybill.sources.feed import read_feed
 from waybill.sources.store import Store

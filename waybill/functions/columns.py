@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from ..model import WIRE_NAMES
 
-_EDGE_SPACE = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# what counts as white space at the edges of a text: space and all control characters below it
+_SPACE = "".join(map(chr, range(0x21)))
 _INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -19,7 +20,7 @@ def blank(c: Column) -> Column:
 
 def normalized_code(c: Column) -> Column:
     """Carrier codes compare without surrounding white space and case."""
-    return F.upper(F.regexp_replace(c, _EDGE_SPACE, ""))
+    return F.upper(F.btrim(c, F.lit(_SPACE)))
 
 
 def code_units(c: Column) -> Column:

@@ -113,7 +113,7 @@ def sustained(conditions: DataFrame, step: int) -> DataFrame:
 class AlertRules:
     """Thresholds, lookbacks and hold times in seconds."""
 
-    # The reference operating points
+    # Alert thresholds, hold times and lookbacks
     failure_ratio: float = 0.05
     failure_ratio_hold: int = 300
     dead_letter_hold: int = 600

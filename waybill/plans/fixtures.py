@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import wire_json
+from ..functions import normalized_code, wire_json
 
 TOPIC = "carrier-tracking-events"
 PARTITIONS = 6
@@ -130,8 +130,8 @@ def feed_a_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 def feed_json(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
     """Feed A as it comes off the wire: JSON text in a broker envelope.
 
-    With ``corrupt``, the rows with k in 60..66 (by event time microseconds) carry broken payloads:
-    no JSON, empty, NULL, text for a number, an unknown carrier, a JSON null, an array.
+    With ``corrupt``, rows chosen by their event time's microseconds carry broken payloads: no
+    JSON, empty, NULL, text for a number, an unknown carrier, a JSON null, an array.
     """
     feed = feed_a(spark, sf_dir)
     value = wire_json(feed)
@@ -179,7 +179,7 @@ def feed_b(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("corr-"), F.col("l_orderkey").cast("string")).alias("correlation_id"),
         F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity",
                  "l_discount", "l_tax").alias("arrival"),
-        # reception follows the arrival order; one hour per step keeps it after every event time
+        # reception follows the arrival order, after every event time
         F.timestamp_seconds(F.lit(4_000_000_000) + F.col("l_partkey")).alias("received_at"),
         F.lit(TOPIC).alias("topic"),
         F.pmod(F.col("l_orderkey"), F.lit(PARTITIONS)).cast("int").alias("partition"),
@@ -223,7 +223,6 @@ def request_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vocabulary rows as the feed's two message versions would declare them."""
-    from ..functions import normalized_code
     return (feed_a(spark, sf_dir)
             .select("carrier_code", normalized_code(F.col("event_type")).alias("code"), "schema_version")
             .distinct().select("carrier_code", "code", F.col("schema_version").cast("string").alias("status")))
