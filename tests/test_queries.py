@@ -21,5 +21,6 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_its_sql():
-    from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    from waybill.plans.oracle import ORACLE
+    from waybill.plans.registry import QUERIES
+    assert set(QUERIES) == set(ORACLE)
