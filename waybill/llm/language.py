@@ -30,7 +30,7 @@ class LanguageConfig:
     centroids: int = 3
     rounds: int = 10              # of k-means
     reject_factor: float = 0.5    # of the least ordinary cosine of the centroid's own documents
-    reject_bytes: int = 64        # shorter texts are rejected only if they share no n-gram at all
+    reject_bytes: int = 160        # shorter texts are rejected only if they share no n-gram at all
 
 
 def gram_index(data: np.ndarray, off: np.ndarray, n: int, bits: int):
