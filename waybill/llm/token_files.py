@@ -20,6 +20,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,15 +100,18 @@ def write(encoded: DataFrame, ids: DataFrame, folder: str, dtype: str, part_docs
     spark = encoded.sparkSession
     C.ship(spark)
     width = np.dtype(dtype).itemsize
-    n = ids.count()
-    parts = max(1, -(-n // part_docs))
-    key = F.coalesce(F.col("doc_id"), F.lit(NULL_ID))
-    cuts = sorted(set(ids.select(key.alias("k")).approxQuantile("k", [i / parts for i in range(1, parts)], 0.1 / parts))) \
-        if parts > 1 else []
-    part = F.lit(0)
-    if cuts:  # one cut for each part: the place of the id among the cuts
-        part = F.expr(f"aggregate(array({','.join(str(int(c)) + 'L' for c in cuts)}), 0, (s, c) -> s + int(doc_id > c))")
-    part = F.coalesce(part, F.lit(0))
+    parts = max(1, -(-ids.count() // part_docs))
+    cuts = np.array([])
+    if parts > 1:
+        key = F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).alias("k")
+        at = [i / parts for i in range(1, parts)]
+        cuts = np.unique(ids.select(key).approxQuantile("k", at, max(0.1 / parts, 1e-6)))
+
+    def number(batches):
+        for batch in batches:
+            ids_ = pc.fill_null(batch.column(0), NULL_ID).to_numpy(zero_copy_only=False)
+            part = np.searchsorted(cuts, ids_.astype(float)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], names=["part", "doc_id", "ids"])
 
     def run(batches):
         disk, root = _store(folder)
@@ -139,9 +143,10 @@ def write(encoded: DataFrame, ids: DataFrame, folder: str, dtype: str, part_docs
 
     disk, root = _store(folder)
     disk.create_dir(root, recursive=True)
-    rows = (encoded.withColumn("part", part).repartition(parts, "part")
+    rows = (encoded.select("doc_id", "ids").mapInArrow(number, "part int, doc_id long, ids binary")
+            .repartition(parts, "part")
             .sortWithinPartitions("part", F.col("doc_id").asc_nulls_first())
-            .select("part", "doc_id", "ids").mapInArrow(run, "part int, path string, n_docs long, n_tokens long"))
+            .mapInArrow(run, "part int, path string, n_docs long, n_tokens long"))
     found = C.written(rows, "token-parts").orderBy("part").collect()  # one row for each part
     bases = np.cumsum([0, *(r["n_tokens"] for r in found)])
     table = [(r["part"], r["path"], r["n_docs"], r["n_tokens"], int(b)) for r, b in zip(found, bases)]
