@@ -107,9 +107,13 @@ def _cluster(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
 def learn(docs: DataFrame, config: LanguageConfig = LanguageConfig()) -> LanguageModel | None:
     """A model from at most ``per_language`` documents of each language, chosen by a hash of the id."""
     C.ship(docs.sparkSession)
+    known = docs.filter("lang is not null and text is not null")
+    # a share of each language that leaves some four times the bound, before any row is moved
+    share = known.groupBy("lang").agg((4.0 * config.per_language / F.count("*")).alias("share"))
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = (docs.filter("lang is not null and text is not null")
-              .select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    chosen = (known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+              .join(F.broadcast(share), "lang")  # one row for each language
+              .filter((F.col("h") / F.lit(2.0 ** 64) + 0.5) < F.col("share"))
               .withColumn("r", F.row_number().over(order))
               .filter(F.col("r") <= config.per_language).select("doc_id").distinct())
 
@@ -119,7 +123,7 @@ def learn(docs: DataFrame, config: LanguageConfig = LanguageConfig()) -> Languag
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["lang", "v"])
 
     # bounded: per_language rows of each language, one vector of 2**bits numbers each
-    sample = (docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text")
+    sample = (known.select("doc_id", "lang", "text")
               .join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
               .mapInArrow(vectors, "lang string, v binary").toPandas())
     if not len(sample):

@@ -1,10 +1,13 @@
 """Queries of this subpackage, by name, and their SQL where SQL can express them."""
 
+from waybill.llm import decontaminate
 from waybill.llm.bpe import op1_bpe
+from waybill.llm.decontaminate import op5_decontaminate
 from waybill.llm.language import op4_language_id
 from waybill.llm.quality import op6_quality
 from waybill.llm.token_files import op8_token_files
 from waybill.llm.toxicity import op7_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op4_language_id, op6_quality, op7_toxicity, op8_token_files)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op4_language_id, op5_decontaminate, op6_quality, op7_toxicity, op8_token_files)}
+ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.SQL}
