@@ -82,7 +82,7 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     """``df`` as a table in the shared folder: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    writer = df.write.option("compression", "zstd")
+    writer = df.write.option("compression", "snappy")  # zstd holds native memory for every open column
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
