@@ -5,6 +5,7 @@ from waybill.llm.bpe import op1_bpe
 from waybill.llm.decontaminate import op5_decontaminate
 from waybill.llm.jaccard import op9_jaccard_join
 from waybill.llm.language import op4_language_id
+from waybill.llm.lm import op3_lm_score
 from waybill.llm.pii import op2_pii
 from waybill.llm.quality import op6_quality
 from waybill.llm.suffixes import op10_suffix_dedup
@@ -12,6 +13,6 @@ from waybill.llm.token_files import op8_token_files
 from waybill.llm.toxicity import op7_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op2_pii, op4_language_id, op5_decontaminate, op6_quality, op7_toxicity, op8_token_files,
-    op9_jaccard_join, op10_suffix_dedup)}
+    op1_bpe, op2_pii, op3_lm_score, op4_language_id, op5_decontaminate, op6_quality, op7_toxicity,
+    op8_token_files, op9_jaccard_join, op10_suffix_dedup)}
 ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.SQL}
