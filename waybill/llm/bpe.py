@@ -32,6 +32,7 @@ from waybill.llm import common as C
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space that the unit-wise cut does not cover: such pieces are cut by the pattern alone.
 ODD_SPACE = re.compile(r"[^\S\n ]|\s\s|\A\s|\s\Z|\x00")
+MARKS = frozenset(".,;:!?)\"")
 PIECE = 1 << 20  # characters of a text that are cut at once
 
 
@@ -63,31 +64,71 @@ class Transducer:
         for b, i in self.id.items():
             self.ends.add_word(b.decode("latin-1"), (len(b), i))
         self.ends.make_automaton()
+        #: When a token appears, and of which two it is made; single bytes are there from the start.
+        self.born = {t: -1 for t in self.bytes}
+        self.halves: dict[int, tuple[int, int]] = {}
+        for pair, r in self.rank.items():
+            token = self.joined[pair]
+            if token not in self.halves or r < self.born[token]:
+                self.born[token], self.halves[token] = r, pair
         self.pairs: dict[tuple[int, int], bool] = {}
-
-    def merge(self, data: bytes) -> list[int]:
-        """Plain merging by rank; used on the bytes of two tokens only."""
-        out = [self.id[data[i:i + 1]] for i in range(len(data))]
-        while len(out) > 1:
-            best = min(((self.rank.get(p, 1 << 60), i) for i, p in enumerate(zip(out, out[1:]))))
-            if best[0] == 1 << 60:
-                break
-            i = best[1]
-            out[i:i + 2] = [self.joined[out[i], out[i + 1]]]
-        return out
+        self.states: dict[bytes, tuple[int, bytes]] = {}
+
+    def _apart(self, left: int, right: int) -> bool:
+        """Whether no merge ever crosses the border of two tokens: undo their merges, the latest first, and
+        look for a merge of the two tokens at the border that would have come before."""
+        before = 1 << 60  # merges from this rank on are undone already
+        while True:
+            r = self.rank.get((left, right))
+            if r is not None and r < before:
+                return False
+            a, b = self.born[left], self.born[right]
+            if a < 0 and b < 0:
+                return True
+            if a > b:
+                before, left = a, self.halves[left][1]
+            else:  # of two equal merges the left one comes first, so the right one is undone first
+                before, right = b + (a == b or b >= 0), self.halves[right][0]
 
     def fits(self, left: int, token: int) -> bool:
-        """``left`` and ``token`` stay apart side by side; left = -1: ``token`` stays whole at the start."""
+        """``left`` and ``token`` stay apart side by side; left = -1: ``token`` is at the start."""
         known = self.pairs.get((left, token))
         if known is None:
-            head = [] if left < 0 else [left]
-            known = self.merge(b"".join(self.bytes[t] for t in [*head, token])) == [*head, token]
-            if len(self.pairs) > 1_000_000:
+            known = left < 0 or self._apart(left, token)
+            if len(self.pairs) > 500_000:
                 self.pairs.clear()
             self.pairs[left, token] = known
         return known
 
+    def short(self, data: bytes) -> list[int]:
+        """Tokens of a short unit. The last token of a prefix is a state of the transducer; states are kept
+        (and dropped when there are many), as units share most of their prefixes."""
+        return np.frombuffer(self.packed(data), "<u4").tolist()
+
+    def packed(self, data: bytes) -> bytes:
+        states, ids, fits = self.states, self.id, self.fits
+        found = states.get(data)
+        if found is not None:
+            return found[1]
+        if len(states) > 400_000:
+            states.clear()
+        n = known = len(data)
+        while known and data[:known] not in states:
+            known -= 1
+        far = self.lookahead + 1
+        for p in range(known + 1, n + 1):
+            for a in range(p - far if p > far else 0, p):
+                token = ids.get(data[a:p])
+                if token is not None:
+                    before, head = states[data[:a]] if a else (-1, b"")
+                    if fits(before, token):
+                        states[data[:p]] = token, head + token.to_bytes(4, "little")
+                        break
+        return states[data][1] if n else b""
+
     def encode(self, data: bytes) -> list[int]:
+        if len(data) <= 32:
+            return self.short(data)
         out: list[int] = []
         for part in self.stream([data]):
             out += part
@@ -150,21 +191,27 @@ class Units(dict):
     Keys: a word stands for the word after one space; with NUL before it, for the word at the start of a
     line; a newline for itself."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         import regex
         super().__init__()
         self.cut, self.transducer, self.most = regex.compile(PATTERN), Transducer(path), most
         self.special = sorted(self.transducer.special, key=len, reverse=True)
 
     def ids_of(self, text: str) -> bytes:
-        encode = self.transducer.encode
-        return b"".join(np.array(encode(m.group().encode("utf-8", "surrogatepass")), "<u4").tobytes()
-                        for m in self.cut.finditer(text))
+        return b"".join(self.unit(m.group()) for m in self.cut.finditer(text))
+
+    def unit(self, text: str) -> bytes:
+        data = text.encode("utf-8")
+        if len(data) <= 32:
+            return self.transducer.packed(data)
+        return b"".join(np.array(part, "<u4").tobytes() for part in self.transducer.stream([data]))
 
     def __missing__(self, key: str) -> bytes:
         text = key if key == "\n" else key[1:] if key[:1] == "\x00" else " " + key
         if text.isalpha() or key.isalpha():
-            ids = np.array(self.transducer.encode(text.encode("utf-8")), "<u4").tobytes()
+            ids = self.unit(text)
+        elif key[-1:] in MARKS and key[key[:1] == "\x00":-1].isalpha():
+            ids = self[key[:-1]] + self.unit(key[-1])  # a word and one mark are two units
         else:
             ids = self.ids_of(text)
         if len(key) <= 64:
