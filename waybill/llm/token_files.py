@@ -25,16 +25,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm import common as C
+from waybill.llm.bpe import byte_letters
 
 #: Characters of texts that are cut at white space; texts with others are encoded whole.
 PLAIN = re.compile(r"[^\x09-\x0d\x20-\x7e\xa1-ɏ]|<\|")
 NULL_ID = -(1 << 63)
 
 
+MARKS = frozenset(".,;:!?")
+
+
 class Words(dict):
-    """Run of non-space characters -> packed ids, by the tokenizers library. Bounded: emptied when full."""
+    """Run of non-space characters -> packed ids, by the tokenizers library. Bounded: emptied when full.
+
+    The vocabulary file's steps cut a run at the border of letters and marks, so a word with a mark behind
+    it is the word and the mark; plain words go to the library's model at once, in lower case and in the
+    file's letters for bytes, everything else through all its steps."""
 
-    def __init__(self, path: str, dtype: str, most: int = 400_000):
+    def __init__(self, path: str, dtype: str, most: int = 300_000):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -42,31 +50,43 @@ class Words(dict):
         self.tokenizer, self.dtype, self.most = Tokenizer.from_file(path), np.dtype(dtype), most
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model, self.plain = self.tokenizer.model, {}
+        self.letter = {b: c for c, b in byte_letters().items()}
 
     def pack(self, ids) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
-    def learn(self, texts) -> None:
-        """Encodes the words that are new in ``texts`` in one call."""
-        words: set = set()
-        for t in texts:
-            words.update(t)
-        new = [w for w in words if w not in self and len(w) <= 64]
-        if len(self) + len(new) > self.most:
-            self.clear()
-            new = [w for w in words if len(w) <= 64]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[w] = self.pack(e.ids)
+    def whole(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word of lower-case letters."""
+        ids = self.plain.get(word)
+        if ids is None:
+            bytes_ = word if word.isascii() else word.encode().decode("latin-1").translate(self.letter)
+            ids = self.pack([t.id for t in self.model.tokenize(bytes_)])
+            if len(self.plain) >= self.most:
+                self.plain.clear()
+            self.plain[word] = ids
+        return ids
 
     def __missing__(self, word: str) -> bytes:
-        return self.pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        low = word.lower()
+        if low.isalpha():
+            ids = self.word(low)
+        elif low[-1] in MARKS and low[:-1].isalpha():
+            ids = self.word(low[:-1]) + self[low[-1]]
+        else:
+            ids = self.whole(word)
+        if len(word) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = ids
+        return ids
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
-        cut = [None if PLAIN.search(t) else t.split() for t in texts]
-        self.learn(c for c in cut if c is not None)
         stop = self.pack([end])
-        return [(self.pack(self.tokenizer.encode(t, add_special_tokens=False).ids) if c is None
-                 else b"".join(map(self.__getitem__, c))) + stop for t, c in zip(texts, cut)]
+        return [(self.whole(t) if PLAIN.search(t) else b"".join(map(self.__getitem__, t.split()))) + stop for t in texts]
 
 
 _WORDS: dict = {}
@@ -80,7 +100,7 @@ def encode(docs: DataFrame, path: str, end: int, dtype: str) -> DataFrame:
         words = _WORDS[path, dtype]
         for batch in batches:
             text = C.as_text(batch.column(1)).to_pylist()
-            ids = [x for a in range(0, len(text), 500) for x in words.encode(text[a:a + 500], end)]
+            ids = words.encode(text, end)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     C.ship(docs.sparkSession)
