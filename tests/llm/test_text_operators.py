@@ -367,17 +367,17 @@ def plain_removal(rows, length):
     return out
 
 
-def test_suffix_order_by_columns():
-    rng = np.random.default_rng(3)
-    for _ in range(20):
-        parts = [bytes(rng.choice(list(b"ab"), rng.integers(1, 40)).tolist()) for _ in range(rng.integers(1, 12))]
-        places, shared = suffixes.build(parts, 20)
-        begin = np.cumsum([0, *map(len, parts)])
-        every = sorted(((p[j:], i, begin[i] + j) for i, p in enumerate(parts) for j in range(len(p))), key=lambda x: x[:2])
-        assert [x[2] for x in every] == places.tolist()
-        for i, n in enumerate(shared.tolist()):
-            a, b = every[i - 1][0] if i else b"", every[i][0]
-            assert n == min(20, next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))))
+def test_aligned_collection_by_columns():
+    rng, config = np.random.default_rng(3), suffixes.SuffixConfig(length=6, anchor=2)
+    for _ in range(60):
+        places = rng.integers(0, 8, rng.integers(1, 12)).tolist()
+        parts = [bytes(rng.choice(list(b"aab"), p).tolist()) + b"zz" + bytes(rng.choice(list(b"aab"), rng.integers(4, 10)).tolist())
+                 for p in places]
+        found = suffixes.repeated(parts, places, config)
+        for i, (part, place) in enumerate(zip(parts, places)):
+            for a, hit in enumerate(found[i].tolist()):
+                others = [(q, a - place + b) for j, (q, b) in enumerate(zip(parts, places)) if j != i]
+                assert hit == any(b >= 0 and q[b:b + 6] == part[a:a + 6] for q, b in others)
 
 
 def test_repeated_passages(spark, edge, empty):

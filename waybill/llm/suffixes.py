@@ -1,15 +1,18 @@
-"""Removal of repeated passages with a suffix array built column by column.
+"""Removal of repeated passages with a suffix order built column by column.
 
 Every string of ``length`` bytes is filed under its anchor, the k-gram with the least hash in it; equal
-strings have equal anchors, and neighbouring strings share one, so a document falls into short fragments
-of consecutive strings with a common anchor. Anchors that occur once end there. Fragments of repeated
-anchors are collected by anchor, equal ones as one with a count, and the fragments of an anchor (or of
-several) form a collection whose suffix array is built column by column: each round puts one more symbol
-in front of every fragment, finds the new suffixes' places from the Burrows-Wheeler transform so far,
-and merges them, their symbols and their common prefixes into it in one pass from front to back. A
-string that shares ``length`` bytes with a neighbour in suffix order, or whose fragment occurs more than
-once, is repeated. The collections are bounded blocks; an anchor with more fragments than a block may
-hold is split by the strings themselves.
+strings have equal anchors at the same place, and neighbouring strings share one, so a document falls
+into short fragments of consecutive strings with a common anchor. Anchors that occur once end there.
+The fragments of repeated anchors, equal ones as one with a count, form collections of many small
+documents, aligned at their anchors. A collection's suffix order is built by columns from the right:
+each round puts one more symbol in front of every fragment; the symbols, listed in the order so far, are
+the column's Burrows-Wheeler transform, a stable sort by them is the next order, and the common prefixes
+follow from least values between old neighbours, in one pass from front to back. A string that shares
+``length`` bytes with a neighbour, or whose fragment occurs more than once, is repeated.
+
+Collections are blocks of bounded size in memory: the shuffle by anchor has done the external sorting,
+so a round needs no file of its own. An anchor with more fragments than a block may hold is split by the
+strings themselves.
 
 Bytes are those of the UTF-8 text. A repeated string is removed at all places, the first included.
 Nulls: a null text is an empty one and loses nothing; null ids are ids like others. Repeated rows are
@@ -23,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm import common as C
@@ -32,10 +35,11 @@ from waybill.llm import common as C
 @dataclass(frozen=True)
 class SuffixConfig:
     length: int = 200            # bytes of a repeated string
-    anchor: int = 32             # bytes of the k-gram that files it
+    anchor: int = 64             # bytes of the k-gram that files it
     chunk: int = 1 << 19         # bytes of text in one numpy pass
-    block: int = 1 << 17         # bytes of fragments in one collection, if anchors allow
+    block: int = 1 << 20         # bytes of fragments in one collection, if anchors allow
     most_fragments: int = 8192   # of one anchor in a collection; more are split
+    broadcast_rows: int = 1_000_000  # ids of documents to look at; more are not sent around
 
 
 def fragments(data: np.ndarray, off: np.ndarray, config: SuffixConfig):
@@ -75,174 +79,166 @@ def fragments(data: np.ndarray, off: np.ndarray, config: SuffixConfig):
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-END = 255  # never a byte of UTF-8
-
-
-def build(parts: list[bytes], cap: int):
-    """Suffix order of a collection, column by column from the right.
-
-    Returns (places, common): the start of each suffix in the concatenated parts, in suffix order, and
-    the common prefix with the suffix before it, at most ``cap``."""
-    size = np.array([len(x) for x in parts])
-    begin = np.cumsum(size) - size
-    data = np.frombuffer(b"".join(parts), np.uint8)
-    count = len(parts)
-    # the empty suffixes, in the order of the parts
-    symbol = np.where(size > 0, data[np.minimum(begin + size - 1, len(data) - 1)], END).astype(np.uint8)
-    common, places = np.zeros(count, np.uint8), np.full(count, -1, np.int64)
-    live, at = np.flatnonzero(size > 0), np.flatnonzero(size > 0)
-    for depth in range(1, int(size.max()) + 1 if count else 1):
-        # order[i]: the suffix whose extension by its symbol is the i-th of the new order
-        order = np.argsort(symbol, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        put = rank[at]                                     # of the new suffixes, empty ones not counted
-        total = len(symbol) + len(live) - count            # non-empty suffixes after this round
-        ask = np.unique(np.concatenate([put, put + 1]))
-        ask = ask[(ask > 0) & (ask < total)]
-        ask = ask[symbol[order[ask]] == symbol[order[ask - 1]]]
-        lo, hi = order[ask - 1] + 1, order[ask] + 1
-        shared = np.zeros(total + 1, np.uint8)
-        if len(ask):
-            by = np.argsort(lo, kind="stable")
-            pairs = np.empty(2 * len(ask), np.int64)
-            pairs[0::2], pairs[1::2] = lo[by], hi[by]
-            least = np.minimum.reduceat(np.append(common, 0), pairs)[0::2]
-            shared[ask[by]] = np.minimum(least.astype(np.int64) + 1, cap)
-        where = np.sort(put) + count
-        keep = np.ones(count + total, bool)
-        keep[where] = False
-        old = np.flatnonzero(keep)
-        merged_common = np.empty(count + total, np.uint8)
-        merged_common[old] = common
-        merged_common[where] = shared[where - count]
-        after = where + 1
-        after = after[(after < count + total)]
-        merged_common[after] = shared[after - count]
-        start = begin[live] + size[live] - depth
-        merged_symbol, merged_places = np.empty(count + total, np.uint8), np.empty(count + total, np.int64)
-        merged_symbol[old], merged_places[old] = symbol, places
-        at = put + count
-        more = depth < size[live]
-        merged_symbol[at] = np.where(more, data[np.maximum(start - 1, 0)], END)
-        merged_places[at] = start
-        symbol, common, places = merged_symbol, merged_common, merged_places
-        live, at = live[more], at[more]
-    return places[count:], common[count:]
-
-
-def repeated(parts: list[bytes], config: SuffixConfig) -> list[np.ndarray]:
-    """For each part, which of its strings occur elsewhere in the collection."""
+def repeated(parts: list[bytes], places: list[int], config: SuffixConfig) -> list[np.ndarray]:
+    """For each part, which of its strings occur in another part at the same distance from the anchor,
+    whose place in each part is given."""
     L = config.length
-    places, common = build(parts, L)
     size = np.array([len(x) for x in parts])
-    hit = np.zeros(int(size.sum()), bool)
-    same = np.flatnonzero(common >= L)
-    hit[places[same]] = True
-    hit[places[same - 1]] = True
     begin = np.cumsum(size) - size
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    hit = np.zeros(len(data), bool)
+    right = size - np.array(places)
+    enter = right.max() - right                 # the round in which a part's last column comes
+    by_round = np.argsort(enter, kind="stable")
+    joins = np.searchsorted(enter[by_round], np.arange(int((enter + size).max()) + 1))
+    at, done = begin + size - 1, np.zeros(len(parts), np.int64)
+    order, common = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    for t in range(len(joins) - 1):
+        over = done[order] == size[order]
+        if over.any():                          # parts that are complete leave; neighbours close up
+            stay = np.flatnonzero(~over)
+            if len(stay):
+                common = np.minimum.reduceat(common[:stay[-1] + 1], np.append(0, stay[:-1] + 1))
+            order = order[stay]
+            common = common[:len(order)]
+        new = by_round[joins[t]:joins[t + 1]]
+        if len(new):                            # empty suffixes come first and share nothing
+            order, common = np.append(new, order), np.append(np.zeros(len(new), np.uint8), common)
+            common[len(new):len(new) + 1] = 0
+        if not len(order):
+            continue
+        symbol = data[at[order]]                # the transform of this column
+        move = np.argsort(symbol, kind="stable")
+        common = _shared(symbol[move], move, common, L)
+        order = order[move]
+        done[order] += 1
+        same = np.flatnonzero(common >= L)
+        hit[at[order[same]]] = True
+        hit[at[order[same - 1]]] = True
+        at[order] -= 1
     return [hit[b:b + n - L + 1] for b, n in zip(begin, size)]
 
 
+def _shared(symbol: np.ndarray, move: np.ndarray, common: np.ndarray, cap: int) -> np.ndarray:
+    """Common prefixes with the neighbour before after one more symbol: for equal symbols one more than
+    the least between the old places."""
+    out = np.zeros(len(move), np.uint8)
+    ask = np.flatnonzero(symbol[1:] == symbol[:-1]) + 1
+    if len(ask):
+        lo, hi = move[ask - 1] + 1, move[ask] + 1
+        near = hi - lo == 1
+        least = np.empty(len(ask), np.uint8)
+        least[near] = common[lo[near]]
+        far = np.flatnonzero(~near)
+        if len(far):
+            pairs = np.empty(2 * len(far), np.int64)
+            by = far[np.argsort(lo[far], kind="stable")]
+            pairs[0::2], pairs[1::2] = lo[by], hi[by]
+            least[by] = np.minimum.reduceat(np.append(common, 0), pairs)[0::2]
+        out[ask] = np.minimum(least.astype(np.int16) + 1, cap)
+    return out
+
+
 def _runs(hit: np.ndarray) -> bytes:
     """Runs of hits as packed (offset, number) pairs."""
     edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
     return np.stack([edge[0::2], edge[1::2] - edge[0::2]], 1).astype("<i4").tobytes()
 
 
-OCCURRENCE = "doc_id long, th long, start long, n int, place int, anchor long"
-CUT = "kind int, doc_id long, th long, start long, n int, place int, anchor long, fid binary, bytes binary"
+OCCURRENCE = "doc_id long, th int, mark long, anchor long, lane long, times long"
+CUT = "kind int, doc_id long, th int, mark long, anchor long, place int, times long, fid binary, bytes binary"
 
 
 def _occurrences(docs: DataFrame, config: SuffixConfig) -> DataFrame:
+    """A row for each fragment: its place packed as ``mark`` (start, number of strings, anchor's place).
+
+    Lane 0 has one row of an anchor for each batch, with its number in the batch; other rows of the batch
+    are known to be repeated (times 2) and spread over lanes, so no anchor gathers them."""
     def run(batches):
         for batch in batches:
+            found = []
             for a, b, data, off in C.blocks(batch.column(2), config.chunk):
                 row, start, n, place, key = fragments(data, off, config)
-                where = pa.array(row + a)
+                found.append((row + a, start << 16 | n << 8 | place, key))
+            if not found:
+                continue
+            row, mark, key = (np.concatenate(x) for x in zip(*found))
+            _, first, at, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            lane = C.mix(mark.astype(np.uint64) + (row.astype(np.uint64) << np.uint64(40))).view(np.int64) | 1
+            lane[first] = 0
+            for c in range(0, len(row), 1 << 16):
+                part = slice(c, c + (1 << 16))
+                where = pa.array(row[part])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(where), batch.column(1).take(where), pa.array(start),
-                     pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(key)],
-                    names=["doc_id", "th", "start", "n", "place", "anchor"])
+                    [batch.column(0).take(where), batch.column(1).take(where), pa.array(mark[part]), pa.array(key[part]),
+                     pa.array(lane[part]), pa.array(count[at][part])], names=["doc_id", "th", "mark", "anchor", "lane", "times"])
 
     return docs.select("doc_id", "th", "text").mapInArrow(run, OCCURRENCE)
 
 
 def _cut(found: DataFrame, config: SuffixConfig) -> DataFrame:
-    """Texts (kind 0) and their fragments of repeated anchors (kind 1), bytes once for each batch."""
+    """Texts (kind 0), their fragments of repeated anchors (kind 1), and each distinct fragment of a batch
+    with its bytes and its number (kind 2)."""
     def run(batches):
         for batch in batches:
-            seen: set = set()
-            rows = []
+            rows, parts = [], {}
             for doc, th, text, marks in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                raw = (text or "").encode()
+                raw = text.encode()
                 rows.append((0, doc, th, None, None, None, None, None, raw))
                 for m in marks:
-                    part = raw[m["start"]:m["start"] + m["n"] + config.length - 1]
-                    fid = hashlib.blake2b(part, digest_size=16).digest()
-                    rows.append((1, doc, th, m["start"], m["n"], m["place"], m["anchor"], fid,
-                                 None if fid in seen else part))
-                    seen.add(fid)
+                    start, n = m["mark"] >> 16, m["mark"] >> 8 & 255
+                    part = raw[start:start + n + config.length - 1]
+                    known = parts.get(part)
+                    if known is None:
+                        fid = hashlib.blake2b(part, digest_size=16).digest()
+                        parts[part] = known = [fid, 0, m["anchor"], m["mark"] & 255]
+                    known[1] += 1
+                    rows.append((1, doc, th, m["mark"], None, None, None, known[0], None))
                 if len(rows) > 20_000:
                     yield _batch(rows)
                     rows = []
-            if rows:
-                yield _batch(rows)
+            rows += [(2, None, None, None, anchor, place, times, fid, part) for part, (fid, times, anchor, place) in parts.items()]
+            for c in range(0, len(rows), 20_000):
+                yield _batch(rows[c:c + 20_000])
 
     return found.select("doc_id", "th", "text", "marks").mapInArrow(run, CUT)
 
 
 def _batch(rows):
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-    names = ["kind", "doc_id", "th", "start", "n", "place", "anchor", "fid", "bytes"]
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    names = ["kind", "doc_id", "th", "mark", "anchor", "place", "times", "fid", "bytes"]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 def _judge(parts: DataFrame, config: SuffixConfig) -> DataFrame:
-    """fid, hits (packed runs of repeated strings), from distinct fragments sorted by anchor."""
-    L, k = config.length, config.anchor
-
-    def shares(group):
-        """Fragments that share half of the free bytes on one side of the anchor with another one: two
-        equal strings around one anchor share at least that much on one side."""
-        half = (L - k + 1) // 2
-        count: dict = {}
-        sides = []
-        for _, _, place, part in group:
-            left = part[place - half:place] if place >= half else None
-            right = part[place + k:place + k + half]
-            sides.append(((0, left), (1, right if len(right) == half else None)))
-            for s in sides[-1]:
-                if s[1] is not None:
-                    count[s] = count.get(s, 0) + 1
-        return [g for g, both in zip(group, sides) if any(s[1] is not None and count[s] > 1 for s in both)]
+    """fid, hits (packed runs of repeated strings), from fragments sorted by anchor and fid."""
+    L = config.length
 
     def run(batches):
-        block, held, out = [], 0, {}
-        group, anchor = [], None
+        block, held, out, group, anchor = [], 0, [], {}, None
 
         def flush():
             if block:
-                for (fid, times, _, part), hit in zip(block, repeated([g[3] for g in block], config)):
+                for (fid, times, _, _), hit in zip(block, repeated([g[3] for g in block], [g[2] for g in block], config)):
                     if times < 2 and hit.any():
-                        out[fid] = _runs(hit)
+                        out.append((fid, _runs(hit)))
                 block.clear()
 
         def close():
             nonlocal held
-            for fid, times, _, part in group:
+            for fid, (times, _, part) in group.items():
                 if times > 1:
-                    out[fid] = np.array([[0, len(part) - L + 1]], "<i4").tobytes()
-            chosen = shares(group) if len(group) > 1 else []
-            block.extend(chosen)
-            held += sum(len(g[3]) for g in chosen)
+                    out.append((fid, np.array([[0, len(part) - L + 1]], "<i4").tobytes()))
+            if len(group) > 1:
+                block.extend((fid, *g) for fid, g in group.items())
+                held += sum(len(g[2]) for g in group.values())
             group.clear()
             if held >= config.block:
                 flush()
                 held = 0
 
         def drain():
-            rows = list(out.items())
+            rows = list(out)
             out.clear()
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
                                                pa.array([r[1] for r in rows], pa.binary())], names=["fid", "hits"])
@@ -252,7 +248,8 @@ def _judge(parts: DataFrame, config: SuffixConfig) -> DataFrame:
                 if key != anchor:
                     close()
                     anchor = key
-                group.append((fid, times, place, part))
+                known = group.setdefault(fid, [0, place, part])
+                known[0] += times
             if out:
                 yield drain()
         close()
@@ -285,34 +282,42 @@ def _split(parts: DataFrame, config: SuffixConfig) -> DataFrame:
                 out.append(_runs(flags))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["fid", "hits"])
 
+    parts = parts.groupBy("fid").agg(F.sum("times").alias("times"), F.max("bytes").alias("bytes"))
     each = parts.select("fid", "times", "bytes").mapInArrow(strings, "fid binary, times long, i int, s binary")
     many = each.groupBy("s").agg(F.sum("times").alias("seen")).filter("seen > 1").select("s")
     return (each.join(many, "s").groupBy("fid").agg(F.collect_list("i").alias("i"))
             .mapInArrow(runs, "fid binary, hits binary"))
 
 
+def _text_hash():
+    """Tells apart rows that share an id."""
+    return F.hash("text").alias("th")
+
+
 def repeated_spans(docs: DataFrame, config: SuffixConfig = SuffixConfig()):
     """(spans, texts): (doc_id, th, start, end) of removed bytes, not merged; and the texts concerned."""
     spark = docs.sparkSession
     C.ship(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text") \
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(), "text") \
                .filter(F.octet_length("text") >= config.length)
-    occurrences = C.written(_occurrences(docs, config), "fragments")
-    again = occurrences.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    marks = (occurrences.join(again, "anchor")
-             .groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n", "place", "anchor")).alias("marks")))
-    marks = marks.withColumnRenamed("doc_id", "_doc").withColumnRenamed("th", "_th")
+    seen = F.sum("times").over(Window.partitionBy("anchor", "lane"))
+    again = _occurrences(docs, config).withColumn("seen", seen).filter("seen > 1")
+    marks = C.written(again.groupBy("doc_id", "th").agg(F.collect_set(F.struct("mark", "anchor")).alias("marks"))
+                      .withColumnRenamed("doc_id", "_doc").withColumnRenamed("th", "_th"), "marks")
+    ids = marks.select("_doc").distinct()
+    if ids.count() <= config.broadcast_rows:  # then only the documents concerned are shuffled
+        docs = docs.join(F.broadcast(ids), docs["doc_id"].eqNullSafe(F.col("_doc")), "left_semi")
     found = docs.join(marks, docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("th") == F.col("_th")))
     cut = C.written(_cut(found, config), "cut", "kind")
     texts = cut.filter("kind = 0").select("doc_id", "th", "bytes")
-    where = cut.filter("kind = 1").select("doc_id", "th", "start", "fid", "anchor", "place", "bytes")
-    parts = C.written(where.groupBy("anchor", "fid").agg(
-        F.count("*").alias("times"), F.first("place").alias("place"), F.max("bytes").alias("bytes")), "parts")
-    sizes = parts.groupBy("anchor").agg(F.count("*").alias("c"), F.max("times").alias("t")).filter("c > 1 or t > 1")
-    small = parts.join(sizes.filter(F.col("c") <= config.most_fragments).select("anchor"), "anchor", "left_semi")
+    where = cut.filter("kind = 1").select("doc_id", "th", (F.shiftright("mark", 16)).alias("start"), "fid")
+    parts = cut.filter("kind = 2").select("anchor", "fid", "place", "times", "bytes")
+    large = C.written(parts.groupBy("anchor").agg(F.count("*").alias("c"))
+                      .filter(F.col("c") > config.most_fragments).select("anchor"), "large")
+    split = not large.isEmpty()
+    small = parts.join(large, "anchor", "left_anti") if split else parts
     hits = _judge(small.repartition("anchor").sortWithinPartitions("anchor"), config)
-    large = C.written(sizes.filter(F.col("c") > config.most_fragments).select("anchor"), "large")
-    if not large.isEmpty():
+    if split:
         hits = hits.unionByName(_split(parts.join(large, "anchor", "left_semi"), config))
 
     def spans(batches):
@@ -328,7 +333,7 @@ def repeated_spans(docs: DataFrame, config: SuffixConfig = SuffixConfig()):
                  pa.array(start + pair[:, 1] - 1 + config.length)], names=["doc_id", "th", "start", "end"])
 
     out = where.join(hits, "fid").select("doc_id", "th", "start", "hits").mapInArrow(
-        spans, "doc_id long, th long, start long, end long")
+        spans, "doc_id long, th int, start long, end long")
     return out, texts
 
 
@@ -355,9 +360,10 @@ def deduplicate(docs: DataFrame, config: SuffixConfig = SuffixConfig()) -> DataF
                 [batch.column(0), batch.column(1), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.string())],
                 names=["_doc", "_th", "n_removed", "n_spans", "kept"])
 
-    done = (texts.distinct().join(per_doc, same).select("doc_id", texts["th"], "bytes", "spans")
-            .mapInArrow(remove, "_doc long, _th long, n_removed long, n_spans long, kept string"))
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"),
+    done = (texts.join(per_doc, same).select("doc_id", texts["th"], "bytes", "spans")
+            .mapInArrow(remove, "_doc long, _th int, n_removed long, n_spans long, kept string")
+            .dropDuplicates(["_doc", "_th"]))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(),
                        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole"))
     done = C.written(done, "removed")
