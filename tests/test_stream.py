@@ -6,7 +6,7 @@ import pytest
 from helpers import F, T0, feed, shipments, table, uuid_of, wire
 from waybill.operators.reports import outcome_counts
 from waybill.sources.feed import read_feed
-from waybill.sources.store import Store
+from waybill.sources.store import Conflict, Store
 from waybill.streaming import IngestConfig, ingest, live_rates, register, replay, revise, start
 
 CLOCK = (T0 + timedelta(days=60)).replace(tzinfo=timezone.utc)
@@ -36,11 +36,16 @@ def messages():
 def template(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("template") / "store"
     s = Store(spark, str(path)).create()
-    s.write(shipments(spark, [uuid_of(i) for i in (1, 2, 3)]).coalesce(1), "shipments", 1)
-    s.commit(1, "register", 0)
+    put(s, shipments(spark, [uuid_of(i) for i in (1, 2, 3)]).coalesce(1))
     return path
 
 
+def put(store, rows, table="shipments"):
+    attempt = store.begin()
+    store.write(rows, table, attempt)
+    return store.commit(attempt, "register", 0)
+
+
 @pytest.fixture()
 def fresh(spark, template, tmp_path):
     """Makes stores with three registered shipments."""
@@ -73,9 +78,10 @@ def test_batches_equal_one_pass(spark, fresh):
 
 
 def test_rerun_of_a_batch_changes_nothing(spark, store):
-    ingest(feed(spark, messages()), 0, store, IngestConfig(retries=0))
+    mine = IngestConfig(retries=0, run="one")
+    ingest(feed(spark, messages()), 0, store, mine)
     before, last = contents(store), store.last_commit()
-    ingest(feed(spark, messages()), 0, store, IngestConfig(retries=0))
+    ingest(feed(spark, messages()), 0, store, mine)
     assert store.last_commit() == last and contents(store) == before
     # the same records under a new batch number are redeliveries
     ingest(feed(spark, messages()), 1, store, IngestConfig(retries=0))
@@ -95,6 +101,91 @@ def test_a_batch_without_marker_is_invisible_and_redone(spark, store, monkeypatc
     assert len(contents(store)["tracking_events"]) == 40
 
 
+def test_a_dead_batch_stays_invisible_when_another_writer_commits(spark, fresh, monkeypatch):
+    plain, hurt = fresh("a"), fresh("b")
+    early = [wire(1, shipment=1, sequence=1, code="SP_CREATED"), wire(2, shipment=1, sequence=2, code="SP_PICKUP")]
+    requests = spark.createDataFrame([(1, "r", "c", "N-1", "SWIFTPOST", None, T0)], REQUESTS)
+    with monkeypatch.context() as broken:
+        broken.setattr(Store, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost driver")))
+        with pytest.raises(RuntimeError):
+            ingest(feed(spark, early), 0, hurt)
+    for s in (plain, hurt):
+        register(s, requests, 1)
+        assert s.read("tracking_events").count() == 0
+        ingest(feed(spark, early), 0, s)
+    assert contents(plain) == contents(hurt)
+    assert hurt.read("shipments").where(F.col("shipment_id") == uuid_of(1)).first()["version"] == 2
+
+
+def test_a_used_batch_number_drops_nothing(spark, store, tmp_path):
+    ingest(feed(spark, [wire(1)]), 0, store, IngestConfig(retries=0))
+    ingest(feed(spark, [wire(2), wire(3)], start=1), 0, store, IngestConfig(retries=0))
+    assert store.read("tracking_events").count() == 3
+    for n, checkpoint in ((4, "one"), (5, "two")):     # a new checkpoint counts from 0 again
+        folder = str(tmp_path / f"feed-{n}")
+        feed(spark, [wire(n)], start=n).coalesce(1).write.parquet(folder)
+        start(read_feed(spark, folder, stream=True), store, str(tmp_path / checkpoint), IngestConfig(retries=0)).awaitTermination(120)
+    assert store.read("tracking_events").count() == 5
+    requests = [spark.createDataFrame([(1, "r", "c", number, "SWIFTPOST", None, T0)], REQUESTS) for number in ("N-1", "N-2")]
+    for r in requests:
+        register(store, r, 1)
+    assert store.read("shipments").where(F.col("tracking_number").startswith("N-")).count() == 2
+
+
+def test_writers_never_overwrite_each_other(spark, store, monkeypatch):
+    late, quick = store.begin(), store.begin()
+    for n, attempt in ((8, quick), (9, late)):
+        store.write(shipments(spark, [uuid_of(n)]), "shipments", attempt)
+    store.commit(quick, "register", 1)
+    with pytest.raises(Conflict):
+        store.commit(late, "register", 2)
+    assert store.read("shipments").count() == 4
+    # a command that meets another writer starts over on the new state
+    real, calls = Store.commit, []
+
+    def busy(self, attempt, *rest):
+        if not calls:
+            calls.append(put_quick(self))
+        return real(self, attempt, *rest)
+
+    def put_quick(self):
+        other = self.begin()
+        self.write(shipments(spark, [uuid_of(7)]), "shipments", other)
+        return real(self, other, "register", 3)
+
+    monkeypatch.setattr(Store, "commit", busy)
+    ingest(feed(spark, [wire(1), wire(2, shipment=7)]), 0, store, IngestConfig(retries=0))
+    assert store.read("shipments").count() == 5 and store.read("tracking_events").count() == 2
+
+
+def test_arrival_is_the_offset_not_the_timestamp(spark, fresh):
+    def record(n, offset, at, code, sequence):
+        return feed(spark, [wire(n, sequence=sequence, code=code)], start=offset).withColumn(
+            "timestamp", F.lit(T0 + timedelta(days=30, seconds=at)))
+
+    first, second = record(1, 0, 10, "SP_DELIVERED", 1), record(2, 1, 5, "SP_TRANSIT", 2)
+    once, split = fresh("a"), fresh("b")
+    ingest(first.union(second), 0, once)
+    ingest(first, 0, split)
+    ingest(second, 1, split)
+    assert contents(once) == contents(split)
+    assert table(once.read("tracking_events"), "event_id", "processing_status") == [
+        (uuid_of(1), "APPLIED"), (uuid_of(2), "SUPERSEDED")]
+
+
+def test_the_same_record_twice_is_stored_once(spark, store):
+    one = feed(spark, [wire(1)])
+    ingest(one.union(one), 0, store)
+    assert store.read("tracking_events").count() == 1
+    waiting = feed(spark, [wire(2, shipment=9)], start=1)
+    ingest(waiting, 1, store)
+    ingest(waiting, 2, store)                            # read again while it is parked
+    assert store.parked().count() == 1
+    put(store, shipments(spark, [uuid_of(9)]))
+    ingest(feed(spark, [wire(3)], start=2), 3, store)
+    assert store.read("tracking_events").count() == 3
+
+
 def test_structured_streaming_equals_batch(spark, fresh, tmp_path):
     once, streamed = fresh("a"), fresh("b")
     everything = messages()
@@ -112,8 +203,7 @@ def test_parked_events_wait_for_their_shipment(spark, store):
     early = [wire(1, shipment=9, sequence=1, code="SP_CREATED"), wire(2, shipment=9, sequence=2, code="SP_PICKUP")]
     ingest(feed(spark, early), 0, store)
     assert store.parked().count() == 2 and store.read("failed_events").count() == 0
-    store.write(shipments(spark, [uuid_of(9)]), "shipments", store.last_commit() + 1)
-    store.commit(store.last_commit() + 1, "register", 1)
+    put(store, shipments(spark, [uuid_of(9)]))
     ingest(feed(spark, [wire(3, shipment=9, sequence=3)], start=2), 1, store)
     assert store.parked().count() == 0
     assert table(store.read("tracking_events").where(F.col("shipment_id") == uuid_of(9)), "event_id",
@@ -144,8 +234,7 @@ def test_replay(spark, store):
     now = IngestConfig(retries=0)
     ingest(feed(spark, [wire(1, shipment=9), wire(2, carrier="NORDEX"), wire(3, code="SP_TELEPORTED"),
                         wire(4, shipment=8)]), 0, store, now)
-    store.write(shipments(spark, [uuid_of(9)]), "shipments", store.last_commit() + 1)
-    store.commit(store.last_commit() + 1, "register", 1)
+    put(store, shipments(spark, [uuid_of(9)]))
     replay(store, 0, CLOCK)
     rows = {r["event_id"]: r for r in store.read("failed_events").collect()}
     assert rows[uuid_of(1)]["status"] == "RESOLVED" and rows[uuid_of(1)]["retry_count"] == 0
@@ -163,20 +252,33 @@ def test_replay(spark, store):
 def test_replay_of_what_was_stored_meanwhile_is_a_success(spark, store):
     now = IngestConfig(retries=0)
     ingest(feed(spark, [wire(1, shipment=9)]), 0, store, now)
-    store.write(shipments(spark, [uuid_of(9)]), "shipments", store.last_commit() + 1)
-    store.commit(store.last_commit() + 1, "register", 1)
+    put(store, shipments(spark, [uuid_of(9)]))
     ingest(feed(spark, [wire(1, shipment=9)], start=1), 1, store, now)
     replay(store, 0, CLOCK)
     assert store.read("failed_events").first()["status"] == "RESOLVED"
     assert store.read("tracking_events").count() == 1 and store.read("notifications").count() == 0
 
 
+def test_replay_of_chosen_ids_with_an_unknown_origin(spark, store):
+    ingest(feed(spark, [wire(1, shipment=9), wire(2, shipment=8)]), 0, store, IngestConfig(retries=0))
+    attempt = store.begin()
+    store.write(store.read("failed_events").withColumns(
+        {c: F.lit(None) for c in ("original_topic", "original_partition", "original_offset")}), "failed_events", attempt)
+    store.commit(attempt, "test", 0)
+    failed = store.read("failed_events")
+    replay(store, 0, CLOCK, failed.where(F.col("event_id") == uuid_of(1)).select("failed_event_id"))
+    assert table(store.read("failed_events"), "event_id", "status", "retry_count") == [
+        (uuid_of(1), "FAILED", 1), (uuid_of(2), "FAILED", 0)]
+
+
+REQUESTS = ("request_id long, retailer_id string, customer_id string, tracking_number string, carrier_code string, "
+            "estimated_delivery_date date, requested_at timestamp")
+
+
 def test_register_and_revise(spark, store):
     requests = spark.createDataFrame(
         [(1, "r", "c", "N-1", "SWIFTPOST", None, T0), (2, "r", "c", "N-1", "SWIFTPOST", None, T0),
-         (3, "r", "c", "N-1", "PACIFICA", None, T0)],
-        "request_id long, retailer_id string, customer_id string, tracking_number string, carrier_code string, "
-        "estimated_delivery_date date, requested_at timestamp")
+         (3, "r", "c", "N-1", "PACIFICA", None, T0)], REQUESTS)
     register(store, requests, 1)
     register(store, requests, 1)
     register(store, requests, 2)
@@ -198,7 +300,7 @@ def test_register_and_revise(spark, store):
 
 def test_live_rates_on_a_stream(spark, store, tmp_path):
     ingest(feed(spark, messages()), 0, store, IngestConfig(retries=0))
-    stream = (spark.readStream.schema(store.schemas["outcomes"]).parquet(f"{store.path}/outcomes/batch_id={store.last_commit()}"))
+    stream = spark.readStream.schema(store.schemas["outcomes"]).parquet(f"{store.path}/outcomes/attempt={store.log().last_feed}")
     query = (live_rates(stream, "10 seconds").writeStream.outputMode("complete").format("memory")
              .queryName("live").trigger(availableNow=True).start())
     query.awaitTermination(120)

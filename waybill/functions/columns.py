@@ -29,8 +29,14 @@ def code_units(c: Column) -> Column:
 
 
 def bounded(c: Column, limit: int) -> Column:
-    """Text longer than ``limit`` keeps its first ``limit - 3`` characters and ends in dots."""
-    return F.when(F.length(c) > limit, F.concat(F.substring(c, 1, limit - 3), F.lit("..."))).otherwise(c)
+    """Text of more than ``limit`` UTF-16 code units keeps its first ``limit - 3`` and ends in dots.
+
+    A character of two units is never cut in half: it goes whole."""
+    units = F.encode(c, "UTF-16BE")
+    size = 2 * (limit - 3)
+    high = F.conv(F.hex(F.substring(units, size - 1, 1)), 16, 10).cast("int").between(0xD8, 0xDB)
+    kept = F.decode(F.substring(units, F.lit(1), F.when(high, size - 2).otherwise(size)), "UTF-16BE")
+    return F.when(code_units(c) > limit, F.concat(kept, F.lit("..."))).otherwise(c)
 
 
 def digest(*parts: Column) -> Column:
@@ -50,14 +56,19 @@ def wire_json(df: DataFrame) -> Column:
     for name, wire in WIRE_NAMES:
         c = F.col(name)
         if name == "event_time":
-            c = F.date_format(c, _INSTANT)
+            # the instant in UTC, whatever the session's zone
+            c = F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz")), _INSTANT)
         fields.append(c.alias(wire))
     return F.to_json(F.struct(*fields))
 
 
 def chunk_axis(schema: T.StructType, arrival: str = "arrival") -> Column:
-    """Numeric, order-preserving projection of the arrival order (its leading component)."""
+    """Numeric, order-preserving projection of the arrival order (its leading component; of a broker's
+    order the partition, then the offset)."""
     c, dtype = F.col(arrival), schema[arrival].dataType
+    if isinstance(dtype, T.StructType) and dtype.fieldNames() == ["topic", "partition", "offset"]:
+        # topics of one feed are few and share their shipments' order only within a partition
+        return F.pmod(F.xxhash64(c["topic"]), F.lit(1 << 10)) * 2.0 ** 52 + c["partition"] * 2.0 ** 38 + c["offset"]
     while isinstance(dtype, T.StructType):
         c, dtype = c.getField(dtype[0].name), dtype[0].dataType
     if isinstance(dtype, T.TimestampType):

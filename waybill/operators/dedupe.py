@@ -40,14 +40,19 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
             history.select("event_id", F.lit(0).cast("long").alias("_lane"), F.lit(True).alias("_known")),
             ["event_id", "_lane"], "left")
 
-    first = F.min(F.when(F.col("storable"), F.col("arrival"))).over(Window.partitionBy("event_id", "_lane"))
+    lane = Window.partitionBy("event_id", "_lane")
+    first = F.min(F.when(F.col("storable"), F.col("arrival"))).over(lane)
+    # the same record read twice has one arrival; only one of the two is the first
+    again = F.row_number().over(lane.orderBy(~F.col("storable"), "arrival")) > 1
+    again = F.col("storable") & again & F.coalesce(F.col("arrival") == F.col("_first"), F.lit(False))
     known = [c for c in ("_known", "_heavy_known") if c in marked.columns]
     if heavy is not None:
         first = F.when(F.col("heavy_id"), F.col("_heavy_first")).otherwise(first)
-    return marked.withColumn("_first", first).select(
+    return marked.withColumn("_first", first).withColumn("_again", again).select(
         *[c for c in events.columns if c != "heavy_id"],
         (can_repeat & (F.coalesce(*known, F.lit(False))
-                       | F.coalesce(F.col("arrival") > F.col("_first"), F.lit(False)))).alias("is_duplicate"))
+                       | F.coalesce(F.col("arrival") > F.col("_first"), F.lit(False))
+                       | (F.col("_lane").eqNullSafe(0) & F.col("_again")))).alias("is_duplicate"))
 
 
 def tag_heavy_ids(events: DataFrame, heavy: HeavyKeys) -> DataFrame:

@@ -45,8 +45,9 @@ def classify_outcome(events: DataFrame) -> DataFrame:
                 ~F.col("outcome").isin("STORED", "APPLIED", "SUPERSEDED", "DUPLICATE"), F.col("outcome"))))
 
 
-def failures_of(outcomes: DataFrame) -> DataFrame:
-    """Failed deliveries with their cause in words and their origin, one row per delivery."""
+def failures_of(outcomes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Failed deliveries with their cause in words and their origin, one row per delivery. Columns
+    ``keep`` stay."""
     category, carrier = F.col("error_category"), F.col("carrier_code")
     message = (
         F.when(category == "VALIDATION", F.col("violation"))
@@ -71,5 +72,5 @@ def failures_of(outcomes: DataFrame) -> DataFrame:
                 error_type.alias("error_type"), message.alias("error_message"),
                 F.col("topic").alias("original_topic"), F.col("partition").alias("original_partition"),
                 F.col("offset").alias("original_offset"), F.col("received_at").alias("failed_at"),
-                "arrival")
+                "arrival", *keep)
     )

@@ -36,8 +36,10 @@ def read_feed(spark: SparkSession, source: str, *, topic: str | None = None, str
         "topic", "partition", "offset", "timestamp")
 
 
-def parse_feed(feed: DataFrame, key_type: str = "string") -> DataFrame:
-    """Decodes the JSON values; rows that do not decode stay, flagged ``malformed``.
+def parse_feed(feed: DataFrame, key_type: str = "string", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Decodes the JSON values; rows that do not decode stay, flagged ``malformed``. Columns ``keep`` stay.
+
+    Arrival is the broker's order: topic, partition, offset. The timestamp is the time of reception only.
 
     All fields are read as text and then cast, so a number in quotes is accepted and any value
     that does not fit its type makes the row malformed. So does a carrier outside the closed set.
@@ -66,8 +68,8 @@ def parse_feed(feed: DataFrame, key_type: str = "string") -> DataFrame:
         # an undecodable row has no fields, also none that happened to be readable
         *[F.when(~F.col("malformed"), c).alias(name) for c, (name, _) in zip(columns, M.WIRE_NAMES)],
         "payload_missing", "malformed", F.col("value").alias("payload"),
-        F.struct("timestamp", "partition", "offset").alias("arrival"),
-        F.col("timestamp").alias("received_at"), "topic", "partition", "offset")
+        F.struct("topic", "partition", "offset").alias("arrival"),
+        F.col("timestamp").alias("received_at"), "topic", "partition", "offset", *keep)
 
 
 def _typed(name: str, text, key_type: str):

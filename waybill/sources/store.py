@@ -1,8 +1,10 @@
 """Versioned Parquet tables with one commit marker.
 
-Every commit writes its rows under ``<table>/batch_id=<commit>`` and, after all tables, its marker
-under ``commits/``. Readers see commits up to the last marker only, so the tables of one commit
-appear together or not at all, and a commit that died halfway is overwritten by its rerun.
+A writer puts its rows under ``<table>/attempt=<its own id>`` and, after all tables, a marker under
+``commits/`` that gives the attempt a number and names its tables. Readers take only attempts that a
+marker names, and of these only the tables it names: the tables of one commit appear together or not at
+all, and what a writer that died left behind is never read, whoever commits next. Two writers cannot
+take one number: a marker is written only where none is, and the later one starts over on the new state.
 
 History, notifications, outcomes and dead letters are appended. Shipments and failed events are
 append-only too: a commit adds the rows it changed, the newest row of a key counts, and ``compact``
@@ -11,6 +13,8 @@ folds them into a new base now and then. A batch therefore writes what it change
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +22,7 @@ from pyspark.sql import types as T
 
 from .. import model as M
 
-_COMMIT = "commit_id long, source string, source_batch long"
+_COMMIT = "commit_id long, source string, source_batch long, attempt string, tables array<string>"
 FEED = "feed:"   # prefix of the sources whose commits carry the parked events on
 VERSIONED = {"shipments": "shipment_id", "failed_events": "failed_event_id"}
 
@@ -30,7 +34,7 @@ def _outcomes_schema(key: T.DataType) -> T.StructType:
     fields += [T.StructField(n, t) for n, t in (
         ("payload", T.StringType()), ("topic", T.StringType()), ("partition", T.IntegerType()),
         ("offset", T.LongType()), ("arrival", T.StructType([
-            T.StructField("timestamp", T.TimestampType()), T.StructField("partition", T.IntegerType()),
+            T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()),
             T.StructField("offset", T.LongType())])),
         ("received_at", T.TimestampType()), ("first_failed_at", T.TimestampType()),
         ("violation", T.StringType()), ("registered_carrier", T.StringType()),
@@ -47,24 +51,33 @@ _DEAD_LETTERS = T.StructType([
     T.StructField("dead_lettered_at", T.TimestampType())])
 
 
+class Conflict(Exception):
+    """Another writer committed first."""
+
+
 class Log:
-    """Last batch and commit per source. Batches of a source are numbered upwards."""
+    """Last commit and its attempt, per source."""
 
-    def __init__(self, sources: dict[str, tuple[int, int]]):
+    def __init__(self, sources: dict[str, tuple[int, str]]):
         self._sources = sources
-        self.last = max(commit for _, commit in sources.values())
-        self.last_feed = max(commit for source, (_, commit) in sources.items() if source.startswith(FEED))
-
-    def has(self, source: str, batch: int) -> bool:
-        return source in self._sources and batch <= self._sources[source][0]
+        self.last = max(commit for commit, _ in sources.values())
+        self.last_feed = max(s for name, s in sources.items() if name.startswith(FEED))[1]
 
     def base(self, table: str) -> int:
         """The newest base of a versioned table: its number is that of the commit that marked it."""
-        return self._sources.get(f"compact:{table}", (0, 0))[1]
+        return self._sources.get(f"compact:{table}", (0, ""))[0]
+
+
+class Attempt:
+    """What a writer is about to commit on top of ``log``."""
+
+    def __init__(self, log: Log | None):
+        self.id, self.tables = uuid.uuid4().hex, []
+        self.number = 0 if log is None else log.last + 1
 
 
 class Store:
-    """The tables under ``path``. One writer at a time; any number of readers."""
+    """The tables under ``path``. Writers that meet take turns (``retrying``); any number of readers."""
 
     def __init__(self, spark: SparkSession, path: str, key: T.DataType = T.StringType()):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
@@ -78,74 +91,90 @@ class Store:
         try:
             self.last_commit()
         except AnalysisException:      # no commits folder
+            first = Attempt(None)
             for table, schema in self.schemas.items():
                 empty = self.spark.createDataFrame([], schema).coalesce(1)
-                self.write(empty, table, 0)
+                self.write(empty, table, first)
                 if table in VERSIONED:
-                    self._save(empty, f"{table}_base", 0)
-            self.commit(0, f"{FEED}create", 0)
+                    self._save(empty, f"{table}_base", first)
+            self.commit(first, f"{FEED}create", 0)
         return self
 
     # --- commits -----------------------------------------------------------------------------
 
     def _commits(self) -> DataFrame:
-        return self.spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
+        return self.spark.read.schema(_COMMIT).parquet(f"{self.path}/commits").select(
+            "commit_id", "source", "source_batch", "attempt", "tables")
 
     def log(self) -> "Log":
         """Where the store stands: one small job. Pass it on to read several tables of one state."""
         rows = (self._commits().groupBy("source")      # a handful of sources, whatever the history
-                .agg(F.max("source_batch").alias("batch"), F.max("commit_id").alias("commit")).collect())
-        return Log({r["source"]: (r["batch"], r["commit"]) for r in rows})
+                .agg(F.max(F.struct("commit_id", "attempt")).alias("last")).collect())
+        return Log({r["source"]: tuple(r["last"]) for r in rows})
 
     def last_commit(self) -> int:
         return self.log().last
 
     def has_batch(self, source: str, source_batch: int) -> bool:
-        """Was this batch of this source committed before?"""
-        return self.log().has(source, source_batch)
+        """Was exactly this batch of this source committed before?"""
+        mine = (F.col("source") == source) & (F.col("source_batch") == source_batch)
+        return not self._commits().where(mine).isEmpty()
 
-    def commit(self, commit_id: int, source: str, source_batch: int) -> None:
+    def begin(self, log: Log | None = None) -> Attempt:
+        return Attempt(log or self.log())
+
+    def commit(self, attempt: Attempt, source: str, source_batch: int) -> int:
+        """Makes the attempt's tables visible; ``Conflict`` if its number is taken."""
         marker = self.spark.range(1).select(
-            F.lit(commit_id).cast("long").alias("commit_id"), F.lit(source).alias("source"),
-            F.lit(source_batch).cast("long").alias("source_batch"))
-        marker.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch_id={commit_id}")
+            F.lit(attempt.number).cast("long").alias("commit_id"), F.lit(source).alias("source"),
+            F.lit(source_batch).cast("long").alias("source_batch"), F.lit(attempt.id).alias("attempt"),
+            F.array(*map(F.lit, attempt.tables)).cast("array<string>").alias("tables"))
+        try:
+            marker.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/commits/number={attempt.number}")
+        except AnalysisException as taken:
+            raise Conflict(f"commit {attempt.number} exists") from taken
+        return attempt.number
 
     # --- tables ------------------------------------------------------------------------------
 
-    def _save(self, df: DataFrame, folder: str, commit_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{folder}/batch_id={commit_id}")
-
-    def _load(self, folder: str, schema: T.StructType) -> DataFrame:
-        with_batch = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
-        return (self.spark.read.schema(with_batch).option("basePath", f"{self.path}/{folder}")
-                .parquet(f"{self.path}/{folder}"))
-
-    def write(self, df: DataFrame, table: str, commit_id: int) -> None:
-        """The commit's rows of ``table``; visible once the commit is marked."""
+    def _save(self, df: DataFrame, folder: str, attempt: Attempt) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/{folder}/attempt={attempt.id}")
+        if folder not in attempt.tables:
+            attempt.tables.append(folder)
+
+    def _load(self, folder: str, schema: T.StructType, low: int, high: int) -> DataFrame:
+        """Committed rows of a folder with their ``commit_id``, from ``low`` to ``high``. The attempt is a
+        partition column, so the join with the markers prunes folders."""
+        with_attempt = T.StructType(schema.fields + [T.StructField("attempt", T.StringType())])
+        marked = (self._commits().where(F.col("commit_id").between(low, high) & F.array_contains("tables", folder))
+                  .select("commit_id", "attempt"))
+        return (self.spark.read.schema(with_attempt).option("basePath", f"{self.path}/{folder}")
+                .parquet(f"{self.path}/{folder}").join(marked, "attempt").drop("attempt"))
+
+    def write(self, df: DataFrame, table: str, attempt: Attempt) -> None:
+        """The attempt's rows of ``table``; visible once it is committed."""
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schemas[table]]
-        self._save(df.select(*columns), table, commit_id)
+        self._save(df.select(*columns), table, attempt)
 
-    def staged(self, table: str, commit_id: int) -> DataFrame:
-        """Rows of a commit in progress, for its own later steps."""
-        return self.spark.read.schema(self.schemas[table]).parquet(f"{self.path}/{table}/batch_id={commit_id}")
+    def staged(self, table: str, attempt: Attempt | str) -> DataFrame:
+        """Rows of an attempt in progress, for its own later steps."""
+        name = attempt if isinstance(attempt, str) else attempt.id
+        return self.spark.read.schema(self.schemas[table]).parquet(f"{self.path}/{table}/attempt={name}")
 
     def read(self, table: str, keys: DataFrame | None = None, log: Log | None = None) -> DataFrame:
         """The committed table. For a versioned one the newest row per key; with ``keys`` (a
         DataFrame holding key values) old versions of all other keys are not even grouped."""
         log = log or self.log()
-        last = log.last
         if table not in VERSIONED:
-            rows = self._load(table, self.schemas[table]).where(F.col("batch_id") <= last).drop("batch_id")
+            rows = self._load(table, self.schemas[table], 0, log.last).drop("commit_id")
             return rows.where(~F.col("parked")) if table == "outcomes" else rows
-        key, schema = VERSIONED[table], self.schemas[table]
-        base_id = log.base(table)
-        rows = (self._load(f"{table}_base", schema).where(F.col("batch_id") == base_id)
-                .unionByName(self._load(table, schema).where(
-                    (F.col("batch_id") > base_id) & (F.col("batch_id") <= last))))
+        key, schema, base = VERSIONED[table], self.schemas[table], log.base(table)
+        rows = self._load(f"{table}_base", schema, base, base).unionByName(
+            self._load(table, schema, base + 1, log.last))
         if keys is not None:
             rows = rows.join(keys, keys.columns, "left_semi")
         newest = rows.groupBy(key).agg(F.max_by(
-            F.struct(*[c for c in schema.fieldNames() if c != key]), "batch_id").alias("_row"))
+            F.struct(*[c for c in schema.fieldNames() if c != key]), "commit_id").alias("_row"))
         return newest.select(*[F.col(c) if c == key else F.col("_row")[c].alias(c) for c in schema.fieldNames()])
 
     def parked(self, log: Log | None = None) -> DataFrame:
@@ -155,8 +184,19 @@ class Store:
 
     def compact(self, table: str) -> int:
         """Folds all versions into a new base, as a commit of its own."""
-        log = self.log()
-        commit_id = log.last + 1
-        self._save(self.read(table, log=log).sortWithinPartitions(VERSIONED[table]), f"{table}_base", commit_id)
-        self.commit(commit_id, f"compact:{table}", commit_id)
-        return commit_id
+        def fold() -> int:
+            log = self.log()
+            attempt = self.begin(log)
+            self._save(self.read(table, log=log).sortWithinPartitions(VERSIONED[table]), f"{table}_base", attempt)
+            return self.commit(attempt, f"compact:{table}", attempt.number)
+        return retrying(fold)
+
+
+def retrying(work, turns: int = 10):
+    """Runs ``work`` (read the log, write an attempt, commit) again while another writer is faster."""
+    for turn in range(turns):
+        try:
+            return work()
+        except Conflict:
+            if turn == turns - 1:
+                raise

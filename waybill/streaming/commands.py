@@ -8,33 +8,35 @@ from pyspark.sql import functions as F
 from .. import model as M
 from ..operators.failures import replay_eligible, replay_result
 from ..operators.outcome import failures_of
+from ..operators.skew import cut_lineage
 from ..operators.state import register_shipments, revise_estimates
 from ..plans.pipeline import outcome_stream
 from ..sources.feed import parse_feed
-from ..sources.store import Store
+from ..sources.store import Store, retrying
 from .ingest import IngestConfig, publish, stored_for
 
 
 def register(store: Store, requests: DataFrame, batch: int) -> None:
-    """Registers shipments; rerunning a committed ``batch`` does nothing."""
-    log = store.log()
-    if log.has("register", batch):
-        return
-    commit_id = log.last + 1
-    numbers = requests.select("carrier_code", "tracking_number")
-    store.write(register_shipments(requests, store.read("shipments", numbers.distinct(), log)), "shipments", commit_id)
-    store.commit(commit_id, "register", batch)
+    """Registers shipments. A request that comes again finds its shipment registered, so reruns are
+    harmless and every batch is read, whatever its number."""
+    def work():
+        log = store.log()
+        attempt = store.begin(log)
+        numbers = requests.select("carrier_code", "tracking_number")
+        store.write(register_shipments(requests, store.read("shipments", numbers.distinct(), log)), "shipments", attempt)
+        store.commit(attempt, "register", batch)
+    retrying(work)
 
 
 def revise(store: Store, revisions: DataFrame, batch: int) -> None:
-    """Replaces delivery estimates."""
-    log = store.log()
-    if log.has("revise", batch):
-        return
-    commit_id = log.last + 1
-    touched = store.read("shipments", revisions.select("shipment_id").distinct(), log)
-    store.write(revise_estimates(revisions, touched), "shipments", commit_id)
-    store.commit(commit_id, "revise", batch)
+    """Replaces delivery estimates; a rerun replaces them by the same."""
+    def work():
+        log = store.log()
+        attempt = store.begin(log)
+        touched = store.read("shipments", revisions.select("shipment_id").distinct(), log)
+        store.write(revise_estimates(revisions, touched), "shipments", attempt)
+        store.commit(attempt, "revise", batch)
+    retrying(work)
 
 
 def replay(store: Store, batch: int, clock, ids: DataFrame | None = None,
@@ -42,35 +44,41 @@ def replay(store: Store, batch: int, clock, ids: DataFrame | None = None,
     """Processes open failed events again: all a replay can help, or those in ``ids``.
 
     They take the normal pass against the tables as they are now, received at ``clock``. One that
-    is stored meanwhile counts as done. What fails again stays open with one more retry.
+    is stored meanwhile counts as done. What fails again stays open with one more retry. A replay
+    counts attempts, so rerunning exactly this ``batch`` does nothing.
     """
+    if not store.has_batch("replay", batch):
+        retrying(lambda: _replay(store, batch, clock, ids, config))
+
+
+def _replay(store: Store, batch: int, clock, ids: DataFrame | None, config: IngestConfig) -> None:
     log = store.log()
-    if log.has("replay", batch):
-        return
-    commit_id = log.last + 1
-    failed = store.read("failed_events", log=log)
+    attempt = store.begin(log)
+    keys = None if ids is None else ids.select("failed_event_id").distinct()
+    failed = store.read("failed_events", keys, log)
     eligible = replay_eligible(failed, M.error_categories(store.spark), ids).persist()
     try:
         feed = eligible.select(
             F.col("payload").alias("value"), F.col("original_topic").alias("topic"),
             F.col("original_partition").alias("partition"), F.col("original_offset").alias("offset"),
-            F.col("first_failed_at").alias("timestamp"))
-        events = (parse_feed(feed, config.key_type).withColumn("received_at", F.lit(clock))
+            F.col("first_failed_at").alias("timestamp"), F.col("failed_event_id").alias("key"))
+        events = (parse_feed(feed, config.key_type, keep=("key",)).withColumn("received_at", F.lit(clock))
                   .withColumn("first_failed_at", F.lit(None).cast("timestamp")))
         fits = eligible.count() <= config.broadcast_rows
         shipments = stored_for(store, log, "shipments", events.select("shipment_id"), fits)
         history = stored_for(store, log, "tracking_events", events.select("event_id"), fits).select("event_id")
-        outcomes = outcome_stream(events, shipments, config.vocabulary, history, policy=config.policy)
-        store.write(outcomes.withColumn("parked", F.lit(False)), "outcomes", commit_id)
-        written = store.staged("outcomes", commit_id)
+        outcomes = cut_lineage(outcome_stream(events, shipments, config.vocabulary, history, policy=config.policy))
+        store.write(outcomes.withColumn("parked", F.lit(False)), "outcomes", attempt)
+        written = store.staged("outcomes", attempt)
 
         # a payload that no longer decodes is a failure of unknown kind
-        again = failures_of(written).withColumn("error_category", F.when(
+        again = failures_of(outcomes, keep=("key",)).withColumn("error_category", F.when(
             F.col("error_category") == "MALFORMED_PAYLOAD", "UNKNOWN").otherwise(F.col("error_category")))
-        origin = ["original_topic", "original_partition", "original_offset"]
-        attempts = eligible.select("failed_event_id", *origin).join(
-            again.select(*origin, "error_category", "error_type", "error_message", "failed_at"), origin, "left")
-        publish(store, log, written, shipments, commit_id, fits, replay_result(eligible, attempts))
-        store.commit(commit_id, "replay", batch)
+        # by the failed event's own id: an origin may be unknown
+        attempts = eligible.select("failed_event_id").join(
+            again.select(F.col("key").alias("failed_event_id"), "error_category", "error_type", "error_message",
+                         "failed_at"), "failed_event_id", "left")
+        publish(store, log, written, shipments, attempt, fits, replay_result(eligible, attempts))
+        store.commit(attempt, "replay", batch)
     finally:
         eligible.unpersist()

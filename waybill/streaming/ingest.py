@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +17,15 @@ from ..operators.state import shipments_upsert, state_deltas
 from ..plans.pipeline import history_of, outcome_stream
 from ..sources.feed import parse_feed
 from ..sources.sinks import publish_dead_letters
-from ..sources.store import FEED, Log, Store
+from ..sources.store import FEED, Attempt, Log, Store, retrying
 
 
 @dataclass(frozen=True)
 class IngestConfig:
     source: str = "feed"
+    # identity of the run that numbers the batches (a stream's: of its checkpoint); without one, a batch
+    # that is delivered again is read again, and its events are redeliveries
+    run: str | None = None
     key_type: str = "string"
     # automatic retries of events whose shipment is not registered yet
     retries: int = M.RETRY_LIMIT
@@ -48,43 +51,50 @@ def ingest(feed: DataFrame, batch_id: int, store: Store, config: IngestConfig =
            clock=None) -> None:
     """Processes one batch of the feed and commits it.
 
-    A batch that is committed already is skipped, one that died before its marker is redone over
-    its own leftovers: whatever is delivered again, the tables end up the same.
+    A batch that this very run has committed is skipped; one that died before its marker left nothing
+    that anyone reads. Any other redelivery is harmless, as stored events are known by their ids.
 
     Events of a shipment that is not registered are parked and join the next batches in their
     arrival order. They leave when the shipment exists (all of them at once), or fail when the
     time for automatic retries is over. Time is the feed's own: ``clock`` (or the latest
     reception in the batch) decides what is due, never the wall clock.
     """
-    source = FEED + config.source
-    log = store.log()
-    if log.has(source, batch_id):
+    source = FEED + config.source + (f":{config.run}" if config.run else "")
+    if config.run and store.has_batch(source, batch_id):
         return
-    commit_id = log.last + 1
     events = (parse_feed(feed, config.key_type)
               .withColumn("first_failed_at", F.lit(None).cast("timestamp")).persist())
     try:
-        rows, begin, end = events.agg(F.count("*"), F.min(F.unix_micros("received_at")),
-                                      F.max(F.unix_micros("received_at"))).first()
-        if rows == 0 and clock is None:
-            return                              # nothing came and no time has passed
-        now = F.lit(clock) if clock is not None else F.timestamp_micros(F.lit(end))
-        begin = F.timestamp_micros(F.lit(begin)) if rows else now
-        batch = events
-        if config.retries:
-            parked = store.parked(log)
-            rows += parked.count()
-            batch = events.unionByName(_released(parked, begin, events))
-        _process(batch, rows, now, commit_id, store, log, config)
-        if config.dead_letter_brokers:
-            # before the marker: a batch that dies here is redone and sends again, none gets lost
-            publish_dead_letters(store.staged("dead_letters", commit_id), config.dead_letter_brokers,
-                                 config.dead_letter_topic)
-        store.commit(commit_id, source, batch_id)
+        retrying(lambda: _attempt(events, batch_id, source, store, config, clock))
     finally:
         events.unpersist()
 
 
+def _attempt(events: DataFrame, batch_id: int, source: str, store: Store, config: IngestConfig, clock) -> None:
+    log = store.log()
+    rows, begin, end = events.agg(F.count("*"), F.min(F.unix_micros("received_at")),
+                                  F.max(F.unix_micros("received_at"))).first()
+    if rows == 0 and clock is None:
+        return                              # nothing came and no time has passed
+    attempt = store.begin(log)
+    now = F.lit(clock) if clock is not None else F.timestamp_micros(F.lit(end))
+    begin = F.timestamp_micros(F.lit(begin)) if rows else now
+    batch = events
+    if config.retries:
+        parked = store.parked(log)
+        rows += parked.count()
+        # a parked record that is read again is the same record
+        record = ["topic", "partition", "offset"]
+        batch = (events.join(parked.select(*record), record, "left_anti").select(*events.columns)
+                 .unionByName(_released(parked, begin, events)))
+    _process(batch, rows, now, attempt, store, log, config)
+    if config.dead_letter_brokers:
+        # before the marker: a batch that dies here is redone and sends again, none gets lost
+        publish_dead_letters(store.staged("dead_letters", attempt), config.dead_letter_brokers,
+                             config.dead_letter_topic)
+    store.commit(attempt, source, batch_id)
+
+
 def _released(parked: DataFrame, begin: Column, events: DataFrame) -> DataFrame:
     """Parked rows as events again. An attempt that succeeds now is received now: just before the
     batch's own events, so reception still follows arrival."""
@@ -105,7 +115,7 @@ def stored_for(store: Store, log: Log, table: str, keys: DataFrame, broadcast: b
     return store.read(table, log=log).join(keys, keys.columns, "left_semi")
 
 
-def _process(events: DataFrame, rows: int, now: Column, commit_id: int, store: Store, log: Log,
+def _process(events: DataFrame, rows: int, now: Column, attempt: Attempt, store: Store, log: Log,
              config: IngestConfig) -> None:
     fits = rows <= config.broadcast_rows
     known = events.where(F.col("event_id").isNotNull()).select("event_id")
@@ -124,38 +134,42 @@ def _process(events: DataFrame, rows: int, now: Column, commit_id: int, store: S
                                                 & F.lit(config.retries > 0), now)
                           .otherwise(F.col("received_at"))))
     # written once, then every table is derived from the written rows
-    store.write(staged, "outcomes", commit_id)
-    publish(store, log, store.staged("outcomes", commit_id).where(~F.col("parked")), shipments, commit_id, fits)
+    store.write(staged, "outcomes", attempt)
+    publish(store, log, store.staged("outcomes", attempt).where(~F.col("parked")), shipments, attempt, fits)
 
 
-def publish(store: Store, log: Log, outcomes: DataFrame, shipments: DataFrame, commit_id: int, fits: bool,
+def publish(store: Store, log: Log, outcomes: DataFrame, shipments: DataFrame, attempt: Attempt, fits: bool,
             failed_delta: DataFrame | None = None) -> None:
     """History, notifications, state, failed events and dead letters of a commit, in this order.
 
     Existing notifications need no look-up: an event id that made one is in history, so its
     redelivery is no applied event.
     """
-    store.write(history_of(outcomes), "tracking_events", commit_id)
-    store.write(notifications_new(outcomes, M.notification_rules(store.spark)), "notifications", commit_id)
+    store.write(history_of(outcomes), "tracking_events", attempt)
+    store.write(notifications_new(outcomes, M.notification_rules(store.spark)), "notifications", attempt)
     deltas = state_deltas(outcomes)
     store.write(shipments_upsert(shipments.join(deltas.select("shipment_id"), "shipment_id", "left_semi"), deltas),
-                "shipments", commit_id)
+                "shipments", attempt)
     if failed_delta is None:
         failures = failures_of(outcomes)
         ids = failures.where(F.col("event_id").isNotNull()).select("event_id")
         failed_delta = failed_events_upsert(stored_for(store, log, "failed_events", ids, fits), failures)
         # row first, stream second
-        store.write(failed_delta, "failed_events", commit_id)
-        store.write(dead_letters(failures), "dead_letters", commit_id)
+        store.write(failed_delta, "failed_events", attempt)
+        store.write(dead_letters(failures), "dead_letters", attempt)
     else:
-        store.write(failed_delta, "failed_events", commit_id)
-        store.write(store.spark.createDataFrame([], store.schemas["dead_letters"]).coalesce(1), "dead_letters", commit_id)
+        store.write(failed_delta, "failed_events", attempt)
+        store.write(store.spark.createDataFrame([], store.schemas["dead_letters"]).coalesce(1), "dead_letters", attempt)
 
 
 def start(feed: DataFrame, store: Store, checkpoint: str, config: IngestConfig = IngestConfig(), *,
           interval: str | None = None) -> StreamingQuery:
     """Runs ``ingest`` on a streaming feed; without ``interval`` until what is there is processed."""
-    writer = (feed.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, batch_id: ingest(df, batch_id, store, config)))
+    def run(df: DataFrame, batch_id: int) -> None:
+        # the id in the checkpoint: a new checkpoint is a new run, so its batches are never taken for old ones
+        known = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        ingest(df, batch_id, store, replace(config, run=known or config.run))
+
+    writer = feed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
