@@ -5,9 +5,10 @@ A document is the set of its distinct n-word shingles (A-Z lower-cased, words be
 1. A bound drops documents without any partner: of a document's lowest shingles by hash, a part must occur
    in another document's lowest ones. Equal sets become one.
 2. The shingles of the rest are ordered by frequency class and hash; documents with equal prefixes and
-   sizes form a group; groups are indexed by their prefix shingles. Of the pairs of groups in a shingle's
-   list, ordered by size, the neighbours of compatible size are kept: they connect every pair that the
-   bounds let through, without listing all of them.
+   sizes form a group; groups are indexed by their prefix shingles. The prefix is longer than a single
+   common shingle needs, so that similar documents share several: pairs of groups of compatible sizes
+   from short lists are kept if they share enough. In long lists (frequent shingles, which come last in
+   the order) the neighbours by size are kept: they connect every pair there without listing all.
 3. Connected groups are expanded to their members and verified exactly, tile by tile (bounded numbers of
    members of neighbouring sizes), so a large group is many tasks; each tile returns a spanning forest
    of its links, no link between different components being lost.
@@ -120,7 +121,7 @@ def _prefixes(sets: DataFrame, frequent: np.ndarray, seen: np.ndarray, config: J
                 cls = np.where(frequent[at] == h, seen[at], 0)
             row = np.repeat(np.arange(len(n)), np.diff(off))
             order = np.lexsort((h, cls, row))
-            first, at = _take(h[order], off, missing(n, config.percent) + 1)
+            first, at = _take(h[order], off, np.minimum(n, missing(n, config.percent) + spare(n, config.percent)))
             sums = np.zeros(len(first) + 1, np.uint64)
             np.cumsum(C.mix(first.view(np.uint64).copy()), out=sums[1:])
             yield pa.RecordBatch.from_arrays(
@@ -247,10 +248,22 @@ def similar(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFra
              .sort_values("t"))
     prefix = C.written(_prefixes(sets, often["t"].to_numpy(np.int64), often["c"].to_numpy(np.int64), config), "prefixes")
     group = C.written(prefix.groupBy("gk", "n").agg(F.min("rep").alias("g"), F.first("prefix").alias("prefix")), "groups")
-    order = Window.partitionBy("t").orderBy("n", "g")
     index = group.select("g", "n", F.explode("prefix").alias("t"))
-    pairs = (index.select("g", "n", F.lag("g").over(order).alias("before"), F.lag("n").over(order).alias("m"))
-             .filter(100 * F.col("m") >= config.percent * F.col("n")).select(F.col("before").alias("u"), F.col("g").alias("v")))
+    lists = index.groupBy("t").agg(F.count("*").alias("c")).filter("c > 1")
+    index = C.written(index.join(lists, "t"), "index")
+    short = index.filter(F.col("c") <= config.frequent).select("t", "g", "n")
+    other = short.select("t", F.col("g").alias("u"), F.col("n").alias("m"))
+    fits = (100 * F.least("m", "n") >= config.percent * F.greatest("m", "n")) & (F.col("u") < F.col("g"))
+    smaller = F.least(F.col("m"), F.col("n"))
+    lacking = smaller - F.ceil(smaller * config.percent / 100)
+    enough = F.greatest(F.lit(1), F.floor(lacking / 2))
+    shared = short.join(other, "t").filter(fits).groupBy("u", F.col("g").alias("v")).agg(
+        F.count("*").alias("c"), F.first(enough).alias("need")).filter("c >= need").select("u", "v")
+    order = Window.partitionBy("t").orderBy("n", "g")
+    chain = (index.filter(F.col("c") > config.frequent)
+             .select("g", "n", F.lag("g").over(order).alias("u"), F.lag("n").over(order).alias("m"))
+             .filter(100 * F.col("m") >= config.percent * F.col("n")).select("u", F.col("g").alias("v")))
+    pairs = shared.unionByName(chain)
     inside = prefix.join(group.select("gk", "n", "g"), ["gk", "n"]).select(F.col("g").alias("u"), F.col("rep").alias("v"))
     near = components(pairs.unionByName(inside))
     coarse = near.select(F.col("u").alias("rep"), F.col("v").alias("comp")).unionByName(
