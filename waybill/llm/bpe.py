@@ -95,7 +95,7 @@ class Transducer:
         known = self.pairs.get((left, token))
         if known is None:
             known = left < 0 or self._apart(left, token)
-            if len(self.pairs) > 500_000:
+            if len(self.pairs) > 250_000:
                 self.pairs.clear()
             self.pairs[left, token] = known
         return known
@@ -110,7 +110,7 @@ class Transducer:
         found = states.get(data)
         if found is not None:
             return found[1]
-        if len(states) > 400_000:
+        if len(states) > 250_000:
             states.clear()
         n = known = len(data)
         while known and data[:known] not in states:
@@ -191,7 +191,7 @@ class Units(dict):
     Keys: a word stands for the word after one space; with NUL before it, for the word at the start of a
     line; a newline for itself."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 300_000):
         import regex
         super().__init__()
         self.cut, self.transducer, self.most = regex.compile(PATTERN), Transducer(path), most
@@ -274,19 +274,38 @@ def loaded(path: str) -> tuple[Units, Decoder]:
     return _LOADED[path]
 
 
+def _slices(batch: pa.RecordBatch, rows: int = 500):
+    """Parts of a batch, so that a worker holds the texts and ids of few documents at once."""
+    for a in range(0, batch.num_rows, rows):
+        yield batch.slice(a, rows)
+
+
 def encode(docs: DataFrame, path: str, keep: tuple = ()) -> DataFrame:
-    """doc_id, the columns ``keep``, ids (packed little-endian 32-bit integers)."""
+    """doc_id, the columns ``keep``, ids (packed little-endian 32-bit integers), lossless (whether the ids
+    decode to the text)."""
     def run(batches):
-        units, _ = loaded(path)
-        for batch in batches:
-            ids = [b"".join(units.encode(t)) for t in C.as_text(batch.column(1)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(ids, pa.binary())],
-                                             names=["doc_id", *keep, "ids"])
+        units, decoder = loaded(path)
+        for part in (p for batch in batches for p in _slices(batch)):
+            texts = C.as_text(part.column(1)).to_pylist()
+            ids = [b"".join(units.encode(t)) for t in texts]
+            same = [_decodes_to(decoder, packed, t) for packed, t in zip(ids, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), *part.columns[2:], pa.array(ids, pa.binary()), pa.array(same, pa.bool_())],
+                names=["doc_id", *keep, "ids", "lossless"])
 
     C.ship(docs.sparkSession)
     kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
-            .mapInArrow(run, f"doc_id long, {kept}ids binary"))
+            .mapInArrow(run, f"doc_id long, {kept}ids binary, lossless boolean"))
+
+
+def _decodes_to(decoder: Decoder, packed: bytes, text: str) -> bool:
+    at = 0
+    for part in decoder.decode(packed):
+        if not text.startswith(part, at):
+            return False
+        at += len(part)
+    return at == len(text)
 
 
 def decode(encoded: DataFrame, path: str, keep: tuple = ()) -> DataFrame:
@@ -307,7 +326,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the text decoded from them, chunk by chunk."""
     def run(batches):
         units, decoder = loaded(path)
-        for batch in batches:
+        for batch in (p for whole in batches for p in _slices(whole)):
             rows = []
             for text in C.as_text(batch.column(1)).to_pylist():
                 packed = b"".join(units.encode(text))
@@ -337,11 +356,8 @@ def op1_bpe(spark, sf_dir):
 def bpe_stage(spark, docs, sf_dir):
     """Pipeline stage: every document encoded; adds n_tokens and ids, and keeps the documents whose ids
     decode to their text (all of them, as the coding is lossless)."""
-    path = vocabulary()
     names = docs.columns
     keep = tuple(c for c in names if c not in ("doc_id", "text"))
-    there = encode(docs.withColumn("_text", F.coalesce("text", F.lit(""))), path, (*keep, "_text"))
-    there = there.withColumn("_ids", F.col("ids"))
-    back = decode(there, path, (*keep, "_text", "_ids"))
-    return back.filter(F.col("text") == F.col("_text")).select(
-        *names, (F.length("_ids") / 4).cast("long").alias("n_tokens"), F.col("_ids").alias("ids"))
+    there = encode(docs.withColumn("_text", F.col("text")), vocabulary(), (*keep, "_text"))
+    return there.filter("lossless").withColumnRenamed("_text", "text").select(
+        *names, F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids")
