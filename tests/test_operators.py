@@ -305,3 +305,22 @@ def test_detection_is_the_default(spark, monkeypatch):
     assert "_chunk" in folded._jdf.queryExecution().analyzed().toString()
     assert "_carried" in folded._jdf.queryExecution().analyzed().toString()
     assert applied(folded) == {name: sequential(steps) for name, steps in journeys.items()}
+
+
+def test_text_bound_counts_code_units(spark):
+    """A character beyond the basic plane is two units and is never cut in half."""
+    from waybill.functions.columns import bounded
+    texts = ["a" * 2000, "a" * 2001, "\U0001f600" * 1500, "a" + "\U0001f600" * 1500, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(bounded(F.col("t"), 2000).alias("t"))
+    got = [r["t"] for r in df.collect()]
+    assert got == ["a" * 2000, "a" * 1997 + "...", "\U0001f600" * 998 + "...", "a" + "\U0001f600" * 998 + "...", None]
+
+
+def test_wire_instants_are_utc_in_any_session_zone(spark):
+    from waybill.functions import wire_json
+    df = events(spark, [event(1)]).withColumn("event_time", F.expr("timestamp '2026-08-01 10:00:00 UTC'"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert '"eventTime":"2026-08-01T10:00:00.000000Z"' in df.select(wire_json(df).alias("j")).first()["j"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -17,6 +17,7 @@ trace of the other path in it.
 
 from __future__ import annotations
 
+import atexit
 import functools
 import tempfile
 import uuid
@@ -92,10 +93,21 @@ def resolve_heavy(heavy, df: DataFrame, key: str) -> HeavyKeys | None:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the cluster's shared folder and reads it back, for a result that several
-    branches read. A Parquet table rather than ``checkpoint()``: each branch reads only its columns."""
-    folder = f"{_shared_folder(df.sparkSession)}/waybill-{uuid.uuid4().hex}"
+    branches read. A Parquet table rather than ``checkpoint()``: each branch reads only its columns.
+    The folder is deleted when the process ends."""
+    spark = df.sparkSession
+    folder = f"{_shared_folder(spark)}/waybill-{uuid.uuid4().hex}"
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    atexit.register(_delete, spark, folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session has ended before: the folder is left to the owner of the shared one
+        return
 
 
 def _shared_folder(spark: SparkSession) -> str:
