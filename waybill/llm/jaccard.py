@@ -8,7 +8,8 @@ A document is the set of its distinct n-word shingles (A-Z lower-cased, words be
    sizes form a group; groups are indexed by their prefix shingles. The prefix is longer than a single
    common shingle needs, so that similar documents share several: pairs of groups of compatible sizes
    from short lists are kept if they share enough. In long lists (frequent shingles, which come last in
-   the order) the neighbours by size are kept: they connect every pair there without listing all.
+   the order) each group is linked to the first of its class of sizes, and neighbouring classes to each
+   other: that connects every pair of compatible sizes without listing all.
 3. Connected groups are expanded to their members and verified exactly, tile by tile (bounded numbers of
    members of neighbouring sizes), so a large group is many tasks; each tile returns a spanning forest
    of its links, no link between different components being lost.
@@ -259,10 +260,13 @@ def similar(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFra
     enough = F.greatest(F.lit(1), F.floor(lacking / 2))
     shared = short.join(other, "t").filter(fits).groupBy("u", F.col("g").alias("v")).agg(
         F.count("*").alias("c"), F.first(enough).alias("need")).filter("c >= need").select("u", "v")
-    order = Window.partitionBy("t").orderBy("n", "g")
-    chain = (index.filter(F.col("c") > config.frequent)
-             .select("g", "n", F.lag("g").over(order).alias("u"), F.lag("n").over(order).alias("m"))
-             .filter(100 * F.col("m") >= config.percent * F.col("n")).select("u", F.col("g").alias("v")))
+    # sizes that may be similar are in one class or in neighbouring ones
+    size_class = F.floor(F.log("n") / F.log(F.lit(100 / config.percent)))
+    long = index.filter(F.col("c") > config.frequent).select("t", "g", size_class.alias("k"))
+    heads = long.groupBy("t", "k").agg(F.min("g").alias("u"))
+    following = heads.select("t", (F.col("k") - 1).alias("k"), F.col("u").alias("v"))
+    chain = (long.join(heads, ["t", "k"]).select("u", F.col("g").alias("v"))
+             .unionByName(heads.join(following, ["t", "k"]).select("u", "v")).distinct())
     pairs = shared.unionByName(chain)
     inside = prefix.join(group.select("gk", "n", "g"), ["gk", "n"]).select(F.col("g").alias("u"), F.col("rep").alias("v"))
     near = components(pairs.unionByName(inside))
