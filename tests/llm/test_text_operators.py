@@ -162,6 +162,15 @@ def test_field_learns_shapes(docs, edge, empty):
     assert pii.learn(empty) is None and pii.find(empty, None).count() == 0
 
 
+def test_overlapping_spans_are_masked_whole(spark):
+    texts = ["jane+15551234567@mail.com", "bob.10.0.0.1@host.com now", "x@10.0.0.1", "to 4111111111111111@pay.example.com.",
+             "a@b.com +1 555 123 4567", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    masked = [r["text"] for r in pii.mask(frame, None).orderBy("doc_id").collect()]
+    assert masked == ["<email>", "<email> now", "<email>", "to <email>.", "<email> <phone>", None]
+    assert pii.merged([(0, 5, 9), (1, 0, 6), (2, 8, 20), (3, 20, 21)]) == [(2, 0, 20), (3, 20, 21)]
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(1)
     field = pii.Field(rng.normal(size=(8, pii.LABELS)), rng.normal(size=(pii.LABELS, pii.LABELS)), rng.normal(size=pii.LABELS))

@@ -313,19 +313,36 @@ def find(docs: DataFrame, field: Field | None, config: PiiConfig = PiiConfig())
             .mapInArrow(run, f"doc_id long, base_spans {s}, spans {s}"))
 
 
+def merged(spans) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of the unions of overlapping spans, by start; a union has the kind of its longest
+    span, the first one of equals. Spans that only touch stay apart."""
+    out: list = []
+    for k, a, b in sorted(spans, key=lambda s: (s[1], s[0], s[2])):
+        if out and a < out[-1][2]:
+            kind, start, end, longest = out[-1]
+            if b - a > longest:
+                kind, longest = k, b - a
+            out[-1] = (kind, start, max(end, b), longest)
+        else:
+            out.append((k, a, b, b - a))
+    return [s[:3] for s in out]
+
+
 def mask(docs: DataFrame, field: Field | None, config: PiiConfig = PiiConfig()) -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by its kind in angle brackets."""
+    """``docs`` with every span in ``text`` replaced by its kind in angle brackets; overlapping spans are
+    replaced as one, so that nothing of any of them stays."""
     def run(batches):
         for batch in batches:
             i = batch.schema.names.index("text")
             texts = batch.column(i).to_pylist()
             out = list(texts)
             for j, spans in enumerate(spans_of([t or "" for t in texts], field, config)[1]):
-                end = len(texts[j] or "")
-                for k, a, b in sorted(spans, key=lambda s: -s[1]):
-                    if b <= end:
-                        out[j] = out[j][:a] + f"<{KINDS[k]}>" + out[j][b:]
-                        end = a
+                if spans:
+                    rest, at = [], 0
+                    for k, a, b in merged(spans):
+                        rest += [texts[j][at:a], f"<{KINDS[k]}>"]
+                        at = b
+                    out[j] = "".join(rest) + texts[j][at:]
             yield batch.set_column(i, "text", pa.array(out, pa.string()))
 
     C.ship(docs.sparkSession)
