@@ -279,6 +279,21 @@ def test_decontamination(spark, edge, empty):
     assert none.filter("contaminated or n_hit > 0").count() == 0 and none.count() == len(EDGE)
 
 
+def test_rows_without_an_id_of_their_own_are_told_apart(spark, monkeypatch):
+    items = [(1, "a b c d e f g h i j k l m n")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    bad, clean = items[0][1], "nothing of the kind is in this one"
+    rows = [(None, bad), (None, clean), (None, None), (7, bad), (7, clean), (7, clean), (8, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for config in (decontaminate.DecontaminationConfig(), decontaminate.DecontaminationConfig(broadcast_rows=0)):
+        got = rows_of(decontaminate.decontaminate(docs, frame, config), "doc_id", "n_words", "n_hit", "item_ids", "contaminated")
+        same_multiset(got, [(i, *plain_hits(t or "", items)) for i, t in rows])
+    monkeypatch.setattr(decontaminate.C, "scan", lambda *_: frame)
+    left = decontaminate.decontamination_stage(spark, docs, "")
+    assert left.columns == docs.columns
+    same_multiset([tuple(r) for r in left.collect()], [r for r in rows if r[1] != bad])
+
+
 # ---- op6: quality -------------------------------------------------------------------------------------------
 
 def plain_quality(text):

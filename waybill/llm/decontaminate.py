@@ -6,6 +6,9 @@ word shingles, ordered by rarity in the documents; containment is complete, so i
 the one rarest shingle. Documents are joined on that shingle alone; bounds on position and length drop
 windows that would leave the document; the words of the rest are compared one by one.
 
+What is found belongs to a document's id and a hash of its text, so rows that share an id, or have none,
+but differ in text are told apart.
+
 Nulls: a null or empty text has no words; an item without words has no window; items or documents with
 a null id are compared like others. Repeated items count once for each distinct id, repeated rows of
 documents give repeated results.
@@ -38,6 +41,15 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(plain, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
+def _hash(text: Column) -> Column:
+    """Tells rows of one id, or without id, apart by their text; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
+
+
 def _small(df: DataFrame, config: DecontaminationConfig) -> DataFrame:
     """``df`` marked for broadcast if its counted rows are few; else the join shuffles both sides."""
     return F.broadcast(df) if df.count() <= config.broadcast_rows else df
@@ -65,11 +77,11 @@ def _hashes(q: int):
 
 
 def matches(docs: DataFrame, shingles: DataFrame, lengths: list[int], config: DecontaminationConfig) -> DataFrame:
-    """(doc_id, n_words, pos, s): places in documents of shingles of ``shingles``. Words themselves are not
+    """(doc_id, th, n_words, pos, s): places in documents of shingles of ``shingles``. Words themselves are not
     carried: a shingle is a 64-bit hash here and is checked word by word later."""
     found = None
     for q in lengths:
-        rows = docs.select("doc_id", F.inline(F.transform(F.array(words_of(F.col("text"))), _hashes(q))[0]))
+        rows = docs.select("doc_id", "th", F.inline(F.transform(F.array(words_of(F.col("text"))), _hashes(q))[0]))
         rows = rows.join(_small(shingles.filter(F.col("q") == q).select("s").distinct(), config), "s", "left_semi")
         rows = rows.withColumn("q", F.lit(q))
         found = rows if found is None else found.unionByName(rows)
@@ -78,7 +90,12 @@ def matches(docs: DataFrame, shingles: DataFrame, lengths: list[int], config: De
 
 def decontaminate(docs: DataFrame, items: DataFrame, config: DecontaminationConfig = DecontaminationConfig()) -> DataFrame:
     """doc_id, n_words, n_hit, item_ids (sorted), contaminated, one row for each row of ``docs``."""
-    docs, items = docs.select("doc_id", "text"), items.select("item_id", "text")
+    return _found(docs, items, config).drop("th")
+
+
+def _found(docs: DataFrame, items: DataFrame, config: DecontaminationConfig) -> DataFrame:
+    """The same with ``th``, the hash of the text."""
+    docs, items = docs.select("doc_id", _hash(F.col("text")).alias("th"), "text"), items.select("item_id", "text")
     window = C.written(windows_of(items, config).withColumn("wid", F.monotonically_increasing_id()), "windows")
     each = window.select("wid", "n", "w", F.least("n", F.lit(config.shingle)).alias("q"))
     lengths = sorted(r["q"] for r in each.select("q").distinct().collect())  # at most ``shingle`` values
@@ -100,41 +117,40 @@ def decontaminate(docs: DataFrame, items: DataFrame, config: DecontaminationConf
               .withColumn("r", F.row_number().over(rare)).filter("r = 1 and seen > 0")
               .select("wid", "n", "q", "s", "at"))
     near = (place.join(_small(C.written(prefix, "prefixes"), config), ["s", "q"])
-            .select("doc_id", "n_words", "wid", "n", (F.col("pos") - F.col("at") + 1).alias("start"))
+            .select("doc_id", "th", "n_words", "wid", "n", (F.col("pos") - F.col("at") + 1).alias("start"))
             .filter("start >= 1 and start + n - 1 <= n_words").distinct())
-    near = C.written(near.select("doc_id", "wid", "start"), "candidates")
+    near = C.written(near.select("doc_id", "th", "wid", "start"), "candidates")
 
     # the words of the documents that have candidates, read again behind a semi join
-    owners = _small(near.select("doc_id").distinct(), config)
-    text = docs.join(owners, docs["doc_id"].eqNullSafe(owners["doc_id"]), "left_semi").distinct() \
-               .select("doc_id", words_of(F.col("text")).alias("words"))
+    owners = _small(near.select("doc_id", "th").distinct(), config)
+    text = docs.join(owners, _same(docs, owners), "left_semi").distinct() \
+               .select("doc_id", "th", words_of(F.col("text")).alias("words"))
     asked = near.join(_small(window.select("wid", "item_id", "n", "w"), config), "wid")
-    same = asked["doc_id"].eqNullSafe(text["doc_id"])
-    real = (asked.join(text, same).select(asked["doc_id"], "item_id", "start", "n", "w", "words")
+    real = (asked.join(text, _same(asked, text)).select(asked["doc_id"], asked["th"], "item_id", "start", "n", "w", "words")
             .filter(F.slice("words", F.col("start"), F.col("n")) == F.col("w"))
-            .select("doc_id", "item_id", "start", (F.col("start") + F.col("n") - 1).alias("end")).distinct())
+            .select("doc_id", "th", "item_id", "start", (F.col("start") + F.col("n") - 1).alias("end")).distinct())
     return _result(docs, C.written(real, "occurrences"), config)
 
 
 def _result(docs: DataFrame, real: DataFrame | None, config: DecontaminationConfig = DecontaminationConfig()) -> DataFrame:
-    base = docs.select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    base = docs.select("doc_id", "th", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     if real is None:
-        out = base.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"),
+        out = base.select("doc_id", "th", "n_words", F.lit(0).cast("long").alias("n_hit"),
                           F.array().cast("array<string>").alias("item_ids"))
     else:
-        before = (Window.partitionBy("doc_id").orderBy("start", "end")
+        before = (Window.partitionBy("doc_id", "th").orderBy("start", "end")
                   .rowsBetween(Window.unboundedPreceding, -1))
-        spans = real.groupBy("doc_id", "start").agg(F.max("end").alias("end"))
+        spans = real.groupBy("doc_id", "th", "start").agg(F.max("end").alias("end"))
         reach = F.greatest(F.coalesce(F.max("end").over(before), F.lit(0)), F.col("start") - 1)
         hits = (spans.withColumn("new", F.greatest(F.col("end") - reach, F.lit(0)))
-                .groupBy("doc_id").agg(F.sum("new").cast("long").alias("n_hit")))
-        ids = (real.select("doc_id", F.col("item_id").cast("string").alias("item_id")).distinct()
-               .groupBy("doc_id").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids")))
-        hits = hits.join(ids, hits["doc_id"].eqNullSafe(ids["doc_id"])).select(
-            hits["doc_id"].alias("_doc"), "n_hit", "item_ids")
+                .groupBy("doc_id", "th").agg(F.sum("new").cast("long").alias("n_hit")))
+        ids = (real.select("doc_id", "th", F.col("item_id").cast("string").alias("item_id")).distinct()
+               .groupBy("doc_id", "th").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids")))
+        hits = hits.join(ids, _same(hits, ids)).select(
+            hits["doc_id"].alias("_doc"), hits["th"].alias("_th"), "n_hit", "item_ids")
         hits = _small(C.written(hits, "hits"), config)
-        out = base.join(hits, base["doc_id"].eqNullSafe(F.col("_doc")), "left").select(
-            "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        out = base.join(hits, base["doc_id"].eqNullSafe(F.col("_doc")) & (base["th"] == F.col("_th")), "left").select(
+            "doc_id", "th", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (config.share * F.col("n_hit") >= F.col("n_words")))
 
@@ -147,10 +163,11 @@ def op5_decontaminate(spark, sf_dir):
 
 def decontamination_stage(spark, docs, sf_dir):
     """Pipeline stage: contaminated documents go; the columns stay as they are."""
-    found = decontaminate(docs, C.scan(spark, sf_dir, "benchmark"))
-    bad = found.filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    found = _found(docs, C.scan(spark, sf_dir, "benchmark"), DecontaminationConfig())
+    bad = found.filter("contaminated").select(F.col("doc_id").alias("_bad"), F.col("th").alias("_th")).distinct()
     bad = _small(C.written(bad, "contaminated"), DecontaminationConfig())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    same = docs["doc_id"].eqNullSafe(F.col("_bad")) & (_hash(docs["text"]) == F.col("_th"))
+    return docs.join(bad, same, "left_anti")
 
 
 #: The same rows in DuckDB's SQL: windows of items, looked up among the windows of documents of their length.
