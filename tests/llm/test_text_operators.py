@@ -418,6 +418,22 @@ def test_repeated_passages(spark, edge, empty):
     same_multiset(rows_of(suffixes.deduplicate(edge), *columns), plain_removal(texts_of(edge), 200))
     assert suffixes.deduplicate(empty).count() == 0
 
+def test_long_text_without_common_words_is_rejected(spark, docs):
+    rng = np.random.default_rng(3)
+    refs = quality.references(docs)
+    word = lambda: "".join(rng.choice(list("bdgkmpvwxz"), 8))
+    lines = [" ".join(word() + ("." if i % 9 == 8 else "") for i in range(n)) for n in (30, 170, 400, 3000)]
+    lines.append(", ".join(word() for _ in range(500)))                     # a list of keywords
+    lines.append(" ".join(word() if i % 20 else "the" for i in range(600)))  # 30 common words, fewer than any guard by these
+    plain = [t for _, t in texts_of(docs.filter("lang = 'en'")) if len(t.split()) > 400]
+    lines += sorted(plain)
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in quality.quality(frame, refs=refs).collect()}
+    assert got[0]["word_distance"] == 0 and not any(r["base_failed"] for i, r in got.items() if i < 6)
+    assert all(got[i]["word_distance"] > 0.65 and not got[i]["kept"] for i in range(1, 6))
+    near = [got[i]["word_distance"] <= 0.65 for i in range(6, len(lines))]
+    assert len(near) > 5 and sum(near) > 0.8 * len(near)
+
 
 # ---- queries and pipeline --------------------------------------------------------------------------------------
 

@@ -2,8 +2,9 @@
 
 A document's histogram of character classes, and its histogram over each language's common words, are
 compared with references of the languages by Jensen-Shannon distance (base 2, 0 to 1); the nearest
-language counts. The references are sums over all documents with a language. Short documents are
-guarded: a histogram with too few entries gives no verdict. The language of a document is never looked
+language counts. The words' histograms have a bin for all other words; their distance, less what as many
+words drawn from the reference would have on average, is a share of that of a text without any common word, at most 1. The references are sums over all documents with a
+language. Short documents are guarded: too few characters or words give no verdict. The language of a document is never looked
 up, so unlabelled documents are judged alike.
 
 Nulls: a null text is an empty one and fails the base rules; documents with a null language only lack
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from waybill.llm import common as C
 
+ALL = -8     # key of the count of all words
 CLASSES = 7  # lower, upper, digit, white space, sentence marks, other ASCII, beyond ASCII
 
 
@@ -29,7 +31,7 @@ class QualityConfig:
     n_common: int = 64          # common words of a language
     common_bytes: int = 6       # words longer than this are no candidates
     min_chars: int = 200        # fewer code points: no verdict from character classes
-    min_common: int = 50        # fewer occurrences of common words: none from these
+    min_words: int = 160        # fewer words: none from these
     max_class_distance: float = 0.30
     max_word_distance: float = 0.65
 
@@ -65,7 +67,7 @@ def _common_candidates(data, starts, ends, limit):
 
 
 def references(docs: DataFrame, config: QualityConfig = QualityConfig()):
-    """{lang: (class counts, {word value: count})} from all documents that have a language."""
+    """{lang: (class counts, {word value: count}, count of all other words)} from all documents that have a language."""
     limit = config.common_bytes
 
     def partial(batches):
@@ -81,6 +83,7 @@ def references(docs: DataFrame, config: QualityConfig = QualityConfig()):
                     mine = code[a:b] == k
                     for c, n in enumerate(classes[mine].sum(0)):
                         rows[name, -1 - c] = rows.get((name, -1 - c), 0) + int(n)
+                    rows[name, ALL] = rows.get((name, ALL), 0) + int(mine[row].sum())
                     words, count = np.unique(value[mine[row[short]]], return_counts=True)
                     for w, n in zip(words.tolist(), count.tolist()):
                         rows[name, w] = rows.get((name, w), 0) + n
@@ -95,15 +98,18 @@ def references(docs: DataFrame, config: QualityConfig = QualityConfig()):
               .groupBy("lang", "key").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang", F.col("key") >= 0).orderBy(F.desc("n"), "key")
     top = (counts.withColumn("r", F.row_number().over(order))
-           .filter(F.col("r") <= config.n_common).drop("r"))
+           .filter((F.col("r") <= config.n_common) | (F.col("key") < 0)).drop("r"))
     out: dict = {}
+    every: dict = {}
     for r in top.collect():  # at most n_common words and the classes for each language
         classes, words = out.setdefault(r["lang"], (np.zeros(CLASSES), {}))
-        if r["key"] < 0:
+        if r["key"] == ALL:
+            every[r["lang"]] = r["n"]
+        elif r["key"] < 0:
             classes[-1 - r["key"]] = r["n"]
         else:
             words[r["key"]] = r["n"]
-    return {k: v for k, v in sorted(out.items()) if v[0].sum() > 0}
+    return {k: (*v, every[k] - sum(v[1].values())) for k, v in sorted(out.items()) if v[0].sum() > 0}
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -167,11 +173,14 @@ def _measure(data: np.ndarray, off: np.ndarray, refs: list, config: QualityConfi
         if len(words):
             at = np.minimum(np.searchsorted(words, value), len(words) - 1)
             hit = words[at] == value
-            counts = np.bincount(row[short[hit]] * len(words) + at[hit],
-                                 minlength=n * len(words)).reshape(n, len(words))
-            much = counts.sum(1) >= config.min_common
-            by_word = np.where(much, np.minimum(by_word, js_distance(counts, weights)), by_word)
-            enough |= much
+            size = len(words) + 1  # and one bin for all other words
+            counts = np.bincount(row[short[hit]] * size + at[hit], minlength=n * size).reshape(n, size)
+            counts[:, -1] = n_words - counts.sum(1)
+            none = js_distance(np.eye(size)[-1:], weights)
+            noise = len(words) / (8 * np.log(2) * np.maximum(n_words, 1))
+            far = np.sqrt(np.maximum(js_distance(counts, weights) ** 2 - noise, 0)) / none
+            by_word = np.minimum(by_word, far)
+            enough = n_words >= config.min_words
     if not refs:
         by_class[:] = 0
     out["class_distance"] = by_class
@@ -190,7 +199,7 @@ COLUMNS = dict(n_words="long", word_chars="long", n_symbols="long", n_dup_lines=
 def quality(docs: DataFrame, config: QualityConfig = QualityConfig(), refs: dict | None = None) -> DataFrame:
     """One row for each document: doc_id, counts, distances to the nearest language, verdict."""
     refs = references(docs, config) if refs is None else refs
-    packed = [(v[0], np.array(sorted(v[1]), np.int64), np.array([v[1][w] for w in sorted(v[1])], float))
+    packed = [(v[0], np.array(sorted(v[1]), np.int64), np.array([*(v[1][w] for w in sorted(v[1])), v[2]], float))
               for v in refs.values()]
 
     def run(batches):
