@@ -208,6 +208,35 @@ def test_lm(spark, docs, edge, empty):
     assert lm.pseudo_likelihood(empty, config).count() == 0
 
 
+def test_lm_tells_words_of_a_bucket_apart(spark):
+    config = lm.LmConfig(words=3, buckets=2, hidden=4, rounds=1, steps=2, parts=2, min_count=3)
+    ordinary = "the transportation of an imagination and an exploration by the navigation"
+    invented = "the qqqqportation of an zzzzination and an wwwworation by the kkkkigation"  # the same endings
+    rows = [(i, ordinary) for i in range(6)] + [(7, invented), (8, "Exploration"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in lm.pseudo_likelihood(docs, config).collect()}
+    assert got[0]["n_tokens"] == got[7]["n_tokens"] and got[0]["log_prob"] > got[7]["log_prob"] + 1
+    words = lm.vocabulary(docs, config)
+    inside = lm.bucket_words(docs, words, config)
+    seen, bucket = Counter(), {}
+    for _, text in rows:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        token, _ = lm.tokens(data, np.array([0, len(data)]), words, config)
+        for w, t in zip(ascii_lower(text).split(), token.tolist()):
+            if t > config.words:
+                seen[w] += 1
+                bucket[w] = t
+    assert len(inside.hashes) == sum(n >= 3 for n in seen.values()) > config.words
+    for t in set(bucket.values()):
+        mine = [n for w, n in seen.items() if bucket[w] == t]
+        rare = [n for n in mine if n < 3]
+        assert abs(math.exp(inside.rest[t]) - (sum(rare) + 1) / (len(rare) + 1) / (sum(mine) + 1)) < 1e-6
+    want = sorted(n / (1 + sum(m for v, m in seen.items() if bucket[v] == bucket[w])) for w, n in seen.items() if n >= 3)
+    assert np.allclose(sorted(np.exp(inside.own)), want)
+    plain = {r["doc_id"]: r["log_prob"] for r in lm.score(docs, words, lm.train(lm.triples(docs, words, config), config), config).collect()}
+    assert all(abs(got[i]["log_prob"] - plain[i]) > 1 for i in (0, 7)) and got[9]["n_tokens"] == 0
+
+
 def test_gradient_is_the_slope():
     config = lm.LmConfig(words=3, buckets=2, hidden=4)
     net, rng = lm.Network(config), np.random.default_rng(0)
