@@ -145,8 +145,8 @@ def _runs(hit: np.ndarray) -> bytes:
     return np.stack([edge[0::2], edge[1::2] - edge[0::2]], 1).astype("<i4").tobytes()
 
 
-OCCURRENCE = "doc_id long, th int, mark long, anchor long, lane long, times long"
-CUT = "kind int, doc_id long, th int, mark long, anchor long, place int, times long, fid binary, bytes binary"
+OCCURRENCE = "doc_id long, th long, mark long, anchor long, lane long, times long"
+CUT = "kind int, doc_id long, th long, mark long, anchor long, place int, times long, fid binary, bytes binary"
 
 
 def _occurrences(docs: DataFrame, config: SuffixConfig) -> DataFrame:
@@ -205,7 +205,7 @@ def _cut(found: DataFrame, config: SuffixConfig) -> DataFrame:
 
 
 def _batch(rows):
-    types = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
     names = ["kind", "doc_id", "th", "mark", "anchor", "place", "times", "fid", "bytes"]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
@@ -291,7 +291,7 @@ def _split(parts: DataFrame, config: SuffixConfig) -> DataFrame:
 
 def _text_hash():
     """Tells apart rows that share an id."""
-    return F.hash("text").alias("th")
+    return F.xxhash64("text").alias("th")
 
 
 def repeated_spans(docs: DataFrame, config: SuffixConfig = SuffixConfig()):
@@ -333,7 +333,7 @@ def repeated_spans(docs: DataFrame, config: SuffixConfig = SuffixConfig()):
                  pa.array(start + pair[:, 1] - 1 + config.length)], names=["doc_id", "th", "start", "end"])
 
     out = where.join(hits, "fid").select("doc_id", "th", "start", "hits").mapInArrow(
-        spans, "doc_id long, th int, start long, end long")
+        spans, "doc_id long, th long, start long, end long")
     return out, texts
 
 
@@ -361,7 +361,7 @@ def deduplicate(docs: DataFrame, config: SuffixConfig = SuffixConfig()) -> DataF
                 names=["_doc", "_th", "n_removed", "n_spans", "kept"])
 
     done = (texts.join(per_doc, same).select("doc_id", texts["th"], "bytes", "spans")
-            .mapInArrow(remove, "_doc long, _th int, n_removed long, n_spans long, kept string")
+            .mapInArrow(remove, "_doc long, _th long, n_removed long, n_spans long, kept string")
             .dropDuplicates(["_doc", "_th"]))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(),
                        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
