@@ -98,7 +98,7 @@ def encode(docs: DataFrame, path: str, end: int, dtype: str) -> DataFrame:
         if (path, dtype) not in _WORDS:
             _WORDS[path, dtype] = Words(path, dtype)
         words = _WORDS[path, dtype]
-        for batch in batches:
+        for batch in (part for whole in batches for part in C.slices(whole, 1)):
             text = C.as_text(batch.column(1)).to_pylist()
             ids = words.encode(text, end)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
@@ -164,7 +164,7 @@ def write(encoded: DataFrame, ids: DataFrame, folder: str, dtype: str, part_docs
     disk, root = _store(folder)
     disk.create_dir(root, recursive=True)
     rows = (encoded.select("doc_id", "ids").mapInArrow(number, "part int, doc_id long, ids binary")
-            .repartition(parts, "part")
+            .repartitionById(parts, F.col("part"))
             .sortWithinPartitions("part", F.col("doc_id").asc_nulls_first())
             .mapInArrow(run, "part int, path string, n_docs long, n_tokens long"))
     found = C.written(rows, "token-parts").orderBy("part").collect()  # one row for each part
