@@ -23,8 +23,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waybill.llm import common as C
 
@@ -274,10 +276,11 @@ def loaded(path: str) -> tuple[Units, Decoder]:
     return _LOADED[path]
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 500):
-    """Parts of a batch, so that a worker holds the texts and ids of few documents at once."""
-    for a in range(0, batch.num_rows, rows):
-        yield batch.slice(a, rows)
+def _coded(column, units, decoder):
+    """(packed ids, whether they decode to the text) of the texts of a column."""
+    texts = C.as_text(column).to_pylist()
+    ids = [b"".join(units.encode(t)) for t in texts]
+    return pa.array(ids, pa.binary()), pa.array([_decodes_to(decoder, p, t) for p, t in zip(ids, texts)], pa.bool_())
 
 
 def encode(docs: DataFrame, path: str, keep: tuple = ()) -> DataFrame:
@@ -285,12 +288,9 @@ def encode(docs: DataFrame, path: str, keep: tuple = ()) -> DataFrame:
     decode to the text)."""
     def run(batches):
         units, decoder = loaded(path)
-        for part in (p for batch in batches for p in _slices(batch)):
-            texts = C.as_text(part.column(1)).to_pylist()
-            ids = [b"".join(units.encode(t)) for t in texts]
-            same = [_decodes_to(decoder, packed, t) for packed, t in zip(ids, texts)]
+        for part in (p for batch in batches for p in C.slices(batch, 1)):
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *part.columns[2:], pa.array(ids, pa.binary()), pa.array(same, pa.bool_())],
+                [part.column(0), *part.columns[2:], *_coded(part.column(1), units, decoder)],
                 names=["doc_id", *keep, "ids", "lossless"])
 
     C.ship(docs.sparkSession)
@@ -326,7 +326,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the text decoded from them, chunk by chunk."""
     def run(batches):
         units, decoder = loaded(path)
-        for batch in (p for whole in batches for p in _slices(whole)):
+        for batch in (p for whole in batches for p in C.slices(whole, 1)):
             rows = []
             for text in C.as_text(batch.column(1)).to_pylist():
                 packed = b"".join(units.encode(text))
@@ -354,10 +354,20 @@ def op1_bpe(spark, sf_dir):
 
 
 def bpe_stage(spark, docs, sf_dir):
-    """Pipeline stage: every document encoded; adds n_tokens and ids, and keeps the documents whose ids
-    decode to their text (all of them, as the coding is lossless)."""
-    names = docs.columns
-    keep = tuple(c for c in names if c not in ("doc_id", "text"))
-    there = encode(docs.withColumn("_text", F.col("text")), vocabulary(), (*keep, "_text"))
-    return there.filter("lossless").withColumnRenamed("_text", "text").select(
-        *names, F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids")
+    """Pipeline stage: every document encoded; adds n_tokens and ids, in place of columns that have these
+    names already, and keeps the documents whose ids decode to their text (all of them, as the coding is
+    lossless; a null text counts as empty and stays null). Other columns stay, whatever their names."""
+    keep = [i for i, c in enumerate(docs.columns) if c.lower() not in ("n_tokens", "ids")]
+    chosen = docs.select(*[f"`{docs.columns[i]}`" for i in keep])
+    at, path = chosen.columns.index("text"), vocabulary()
+    schema = T.StructType(chosen.schema.fields + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+
+    def run(batches):
+        units, decoder = loaded(path)
+        for part in (p for batch in batches for p in C.slices(batch, at)):
+            ids, same = _coded(part.column(at), units, decoder)
+            n = pc.divide(pc.binary_length(ids).cast(pa.int64()), 4)
+            yield pa.RecordBatch.from_arrays([*part.columns, n, ids], names=schema.fieldNames()).filter(same)
+
+    C.ship(docs.sparkSession)
+    return chosen.mapInArrow(run, schema)

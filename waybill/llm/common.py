@@ -115,6 +115,27 @@ def blocks(column, limit: int = 1 << 19):
         a = b
 
 
+def slices(batch: pa.RecordBatch, text_at: int, rows: int = 256, limit: int = 1 << 20):
+    """Consecutive slices of a batch: at most ``rows`` rows and about ``limit`` bytes in column ``text_at``, one
+    whole row at least. A worker that takes a batch by slices, and gives each back before it takes the next,
+    holds no second copy of the batch."""
+    column = batch.column(text_at)
+    for a, b, _, _ in blocks(column, limit):
+        for i in range(a, b, rows):
+            yield batch.slice(i, min(rows, b - i))
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def per_row(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sums of ``flags`` between offsets."""
     sums = np.zeros(len(flags) + 1, np.int64)

@@ -162,11 +162,13 @@ def op5_decontaminate(spark, sf_dir):
 
 
 def decontamination_stage(spark, docs, sf_dir):
-    """Pipeline stage: contaminated documents go; the columns stay as they are."""
+    """Pipeline stage: contaminated documents go; the columns stay as they are, whatever their names. Rows
+    without id, or with a shared one, are judged each by its text; null and empty texts stay."""
+    doc, text = C.free(docs, "_bad", "_th")
     found = _found(docs, C.scan(spark, sf_dir, "benchmark"), DecontaminationConfig())
-    bad = found.filter("contaminated").select(F.col("doc_id").alias("_bad"), F.col("th").alias("_th")).distinct()
+    bad = found.filter("contaminated").select(F.col("doc_id").alias(doc), F.col("th").alias(text)).distinct()
     bad = _small(C.written(bad, "contaminated"), DecontaminationConfig())
-    same = docs["doc_id"].eqNullSafe(F.col("_bad")) & (_hash(docs["text"]) == F.col("_th"))
+    same = docs["doc_id"].eqNullSafe(bad[doc]) & (_hash(docs["text"]) == bad[text])
     return docs.join(bad, same, "left_anti")
 
 

@@ -287,8 +287,10 @@ def op9_jaccard_join(spark, sf_dir):
 
 
 def jaccard_stage(spark, docs, sf_dir):
-    """Pipeline stage: of every group of similar documents the one with the least id stays."""
-    gone = similar(docs).filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    """Pipeline stage: of every group of similar documents the one with the least id stays. Rows without id
+    all stay; rows that share an id go or stay together. The columns stay, whatever their names."""
+    name, = C.free(docs, "_gone")
+    gone = similar(docs).filter("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
     gone = C.written(gone, "copies")
     gone = F.broadcast(gone) if gone.count() <= JaccardConfig().broadcast_rows else gone
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[name], "left_anti")

@@ -146,24 +146,30 @@ def learn(docs: DataFrame, config: LanguageConfig = LanguageConfig()) -> Languag
     return LanguageModel(names, np.array(centroids, np.float32), np.array(least), idf, config)
 
 
+def judge(model: LanguageModel | None, column):
+    """(language, score, rejected) of the texts of a column."""
+    text = C.as_text(column)
+    letters = np.array([any(map(str.isalpha, t)) for t in text.to_pylist()], bool)
+    n = len(text)
+    pred, score, far = np.full(n, "und", object), np.zeros(n), np.ones(n, bool)
+    if model is not None:
+        for a, b, data, off in C.blocks(text):
+            best, cosine = model.nearest(data, off)
+            pred[a:b] = np.array(model.langs, object)[best]
+            score[a:b] = cosine
+            least = np.where(np.diff(off) < model.config.reject_bytes, 0, model.least[best])
+            far[a:b] = (cosine <= 0) | (cosine < least)
+    pred[~letters], score[~letters], far[~letters] = "und", 0, True
+    return pred, score, far
+
+
 def identify(docs: DataFrame, model: LanguageModel | None, keep: tuple = ()) -> DataFrame:
     """doc_id, the columns ``keep``, lang_pred, score (cosine), rejected."""
     fields = [docs.schema[c] for c in keep]
 
     def run(batches):
-        for batch in batches:
-            text = C.as_text(batch.column(1))
-            letters = np.array([any(map(str.isalpha, t)) for t in text.to_pylist()], bool)
-            n = len(text)
-            pred, score, far = np.full(n, "und", object), np.zeros(n), np.ones(n, bool)
-            if model is not None:
-                for a, b, data, off in C.blocks(text):
-                    best, cosine = model.nearest(data, off)
-                    pred[a:b] = np.array(model.langs, object)[best]
-                    score[a:b] = cosine
-                    least = np.where(np.diff(off) < model.config.reject_bytes, 0, model.least[best])
-                    far[a:b] = (cosine <= 0) | (cosine < least)
-            pred[~letters], score[~letters], far[~letters] = "und", 0, True
+        for batch in (part for whole in batches for part in C.slices(whole, 1)):
+            pred, score, far = judge(model, batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *batch.columns[2:], pa.array(pred, pa.string()), pa.array(score), pa.array(far)],
                 names=["doc_id", *keep, "lang_pred", "score", "rejected"])
@@ -182,9 +188,14 @@ def op4_language_id(spark, sf_dir):
 
 
 def language_stage(spark, docs, sf_dir):
-    """Pipeline stage: documents whose language is rejected go; the columns stay as they are."""
-    model = learn(docs.filter(C.crc32_mod("doc_id", 3) != 1))
-    names = docs.columns
-    keep = tuple(c for c in names if c not in ("doc_id", "text"))
-    found = identify(docs.withColumn("_text", F.col("text")), model, (*keep, "_text"))
-    return (found.filter(~F.col("rejected")).withColumnRenamed("_text", "text").select(*names))
+    """Pipeline stage: documents whose language is rejected go; the columns stay as they are, whatever their
+    names. Whole rows go through the workers once and are dropped there. Null texts and texts without a
+    letter are rejected; rows without id are judged like others."""
+    model, at = learn(docs.filter(C.crc32_mod("doc_id", 3) != 1)), docs.columns.index("text")
+
+    def run(batches):
+        for batch in (part for whole in batches for part in C.slices(whole, at)):
+            yield batch.filter(pa.array(~judge(model, batch.column(at))[2]))
+
+    C.ship(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)

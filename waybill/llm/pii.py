@@ -301,7 +301,7 @@ def find(docs: DataFrame, field: Field | None, config: PiiConfig = PiiConfig())
     """doc_id, base_spans, spans: arrays of (kind, start, end), by kind and start."""
     def run(batches):
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in (part for whole in batches for part in C.slices(whole, 1)):
             texts = C.as_text(batch.column(1)).to_pylist()
             pair = spans_of(texts, field, config)
             cols = [pa.array([[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in s] for s in x], kind) for x in pair]
@@ -330,10 +330,11 @@ def merged(spans) -> list[tuple[int, int, int]]:
 
 def mask(docs: DataFrame, field: Field | None, config: PiiConfig = PiiConfig()) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in angle brackets; overlapping spans are
-    replaced as one, so that nothing of any of them stays."""
+    replaced as one, so that nothing of any of them stays. All other columns stay, whatever their names."""
+    i = docs.columns.index("text")
+
     def run(batches):
-        for batch in batches:
-            i = batch.schema.names.index("text")
+        for batch in (part for whole in batches for part in C.slices(whole, i)):
             texts = batch.column(i).to_pylist()
             out = list(texts)
             for j, spans in enumerate(spans_of([t or "" for t in texts], field, config)[1]):
@@ -359,7 +360,8 @@ def op2_pii(spark, sf_dir):
 
 
 def pii_stage(spark, docs, sf_dir):
-    """Pipeline stage: personal data in the texts is masked; ``n_chars`` follows, other columns stay."""
+    """Pipeline stage: personal data in the texts is masked; ``n_chars`` follows, other columns stay. Null and
+    empty texts hold nothing and stay as they are."""
     out = mask(docs, learn(docs))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
