@@ -1,5 +1,5 @@
-from .columns import (blank, bounded, chunk_axis, code_units, digest, normalized_code, ratio_floor,
+from .columns import (blank, bounded, code_units, digest, normalized_code, ratio_floor,
                       wire_json)
 
-__all__ = ["blank", "bounded", "chunk_axis", "code_units", "digest", "normalized_code",
+__all__ = ["blank", "bounded", "code_units", "digest", "normalized_code",
            "ratio_floor", "wire_json"]

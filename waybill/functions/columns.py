@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..model import WIRE_NAMES
 
@@ -60,17 +59,3 @@ def wire_json(df: DataFrame) -> Column:
             c = F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz")), _INSTANT)
         fields.append(c.alias(wire))
     return F.to_json(F.struct(*fields))
-
-
-def chunk_axis(schema: T.StructType, arrival: str = "arrival") -> Column:
-    """Numeric, order-preserving projection of the arrival order (its leading component; of a broker's
-    order the partition, then the offset)."""
-    c, dtype = F.col(arrival), schema[arrival].dataType
-    if isinstance(dtype, T.StructType) and dtype.fieldNames() == ["topic", "partition", "offset"]:
-        # topics of one feed are few and share their shipments' order only within a partition
-        return F.pmod(F.xxhash64(c["topic"]), F.lit(1 << 10)) * 2.0 ** 52 + c["partition"] * 2.0 ** 38 + c["offset"]
-    while isinstance(dtype, T.StructType):
-        c, dtype = c.getField(dtype[0].name), dtype[0].dataType
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    return c.cast("double")

@@ -42,7 +42,7 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
 
     lane = Window.partitionBy("event_id", "_lane")
     first = F.min(F.when(F.col("storable"), F.col("arrival"))).over(lane)
-    # the same record read twice has one arrival; only one of the two is the first
+    # the same record read twice has one arrival, so one lane; only one of the two is the first
     again = F.row_number().over(lane.orderBy(~F.col("storable"), "arrival")) > 1
     again = F.col("storable") & again & F.coalesce(F.col("arrival") == F.col("_first"), F.lit(False))
     known = [c for c in ("_known", "_heavy_known") if c in marked.columns]
@@ -52,7 +52,7 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
         *[c for c in events.columns if c != "heavy_id"],
         (can_repeat & (F.coalesce(*known, F.lit(False))
                        | F.coalesce(F.col("arrival") > F.col("_first"), F.lit(False))
-                       | (F.col("_lane").eqNullSafe(0) & F.col("_again")))).alias("is_duplicate"))
+                       | F.col("_again"))).alias("is_duplicate"))
 
 
 def tag_heavy_ids(events: DataFrame, heavy: HeavyKeys) -> DataFrame:

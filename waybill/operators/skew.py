@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import atexit
 import functools
+import math
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -26,14 +27,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import chunk_axis
-
 
 @dataclass(frozen=True)
 class SkewPolicy:
     heavy_rows: int = 4_000_000   # one task sorts and scans this many rows comfortably
     sample_every: int = 64        # the estimate looks at one arrival in this many
-    chunk_rows: int = 1_000_000   # aim for heavy groups cut into pieces of this size
+    chunk_rows: int = 1_000_000   # most rows of a heavy group scanned in one piece
     broadcast_keys: int = 1_000_000
 
 
@@ -42,10 +41,11 @@ DEFAULT = SkewPolicy()
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Heavy values of one key: ``rows`` holds ``key, chunks, axis_low, axis_high``."""
+    """Heavy values of one key (``rows`` holds that column), and into how many pieces their groups are cut."""
 
     rows: DataFrame
     fits: bool
+    pieces: int
 
     def side(self, df: DataFrame) -> DataFrame:
         """``df``, which has one row per heavy value, as the small side of a join."""
@@ -59,24 +59,34 @@ def find_heavy(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) ->
     from the result.
     """
     sampled = (
-        df.select(*keys, F.xxhash64("arrival").alias("_h"), chunk_axis(df.schema).alias("_axis"))
+        df.select(*keys, F.xxhash64("arrival").alias("_h"))
         .where(F.pmod("_h", F.lit(policy.sample_every)) == 0)
     )
     heavy = (
         sampled.groupingSets([[k] for k in keys], *keys)
         .agg(F.concat_ws("", *[F.grouping(k).cast("string") for k in keys]).alias("_set"),
-             (F.count("*") * policy.sample_every).alias("_rows"),
-             F.min("_axis").alias("axis_low"), F.max("_axis").alias("axis_high"))
+             (F.count("*") * policy.sample_every).alias("_rows"))
         .where(F.col("_rows") > policy.heavy_rows)
-        .withColumn("chunks", F.ceil(F.col("_rows") / policy.chunk_rows).cast("int"))
     )
     of_key = {k: "".join("0" if k == other else "1" for other in keys) for k in keys}
     named = heavy.where(F.coalesce(*[F.col(k).cast("string") for k in keys], F.lit(None)).isNotNull())
-    counts = {row["_set"]: row["count"]                     # at most one row per key column
-              for row in named.groupBy("_set").count().collect()}
+    found = {row["_set"]: row                                # at most one row per key column
+             for row in named.groupBy("_set").agg(F.count("*").alias("keys"), F.sum("_rows").alias("rows")).collect()}
     return {k: HeavyKeys(
-        heavy.where((F.col("_set") == of_key[k]) & F.col(k).isNotNull()).select(k, "chunks", "axis_low", "axis_high"),
-        counts[of_key[k]] <= policy.broadcast_keys) for k in keys if of_key[k] in counts}
+        heavy.where((F.col("_set") == of_key[k]) & F.col(k).isNotNull()).select(k),
+        found[of_key[k]]["keys"] <= policy.broadcast_keys,
+        # pieces of half the size on average: ranges are drawn from a sample, so sizes vary
+        math.ceil(2 * found[of_key[k]]["rows"] / policy.chunk_rows)) for k in keys if of_key[k] in found}
+
+
+def in_pieces(df: DataFrame, key: str, heavy: HeavyKeys) -> DataFrame:
+    """Heavy groups cut into pieces: adds ``_chunk``, which follows the arrival order within a group.
+
+    Rows are dealt by ranges of (key, arrival). Spark draws the borders from a sample of the rows and
+    compares whole arrivals, so pieces hold equal numbers of rows, however arrivals are spread and
+    whatever their leading values are. Written out, as the piece is the partition a row was dealt to."""
+    dealt = df.repartitionByRange(heavy.pieces, key, "arrival")
+    return cut_lineage(dealt.withColumn("_chunk", F.spark_partition_id().cast("long")))
 
 
 class _Detect:
