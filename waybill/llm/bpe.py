@@ -265,15 +265,12 @@ class Decoder:
         yield state.decode(b"", True)
 
 
-_LOADED: dict[str, tuple[Units, Decoder]] = {}
-
-
 def loaded(path: str) -> tuple[Units, Decoder]:
     """Tables of a vocabulary file, once for each worker process."""
-    if path not in _LOADED:
+    def build():
         units = Units(path)
-        _LOADED[path] = units, Decoder(units.transducer)
-    return _LOADED[path]
+        return units, Decoder(units.transducer)
+    return C.held(("bpe", path), build)
 
 
 def _coded(column, units, decoder):
@@ -360,6 +357,7 @@ def bpe_stage(spark, docs, sf_dir):
     keep = [i for i, c in enumerate(docs.columns) if c.lower() not in ("n_tokens", "ids")]
     chosen = docs.select(*[f"`{docs.columns[i]}`" for i in keep])
     at, path = chosen.columns.index("text"), vocabulary()
+    C.record_batches(docs.sparkSession, 1000)
     schema = T.StructType(chosen.schema.fields + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches):

@@ -8,6 +8,9 @@ results, and an empty table gives an empty result of the same schema.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -136,6 +139,30 @@ def free(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+_HELD: dict = {}
+
+
+def held(key, build):
+    """Tables of an operator, built once in a worker process. Workers are used again by later stages: what
+    another operator held there goes first, and its memory back to the system."""
+    if key not in _HELD:
+        if _HELD:
+            _HELD.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):      # other C libraries have no such call
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def record_batches(spark: SparkSession, rows: int) -> None:
+    """Rows that Spark puts into a record batch for workers, for what the session runs from here on. Few
+    where whole texts go to and fro, as buffers outside the heap hold a batch several times; many where a
+    worker combines the rows of a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def per_row(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sums of ``flags`` between offsets."""
     sums = np.zeros(len(flags) + 1, np.int64)

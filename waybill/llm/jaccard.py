@@ -89,6 +89,7 @@ def _take(h, off, width):
 def _sets(docs: DataFrame, config: JaccardConfig, whole: bool) -> DataFrame:
     """doc_id, n, s1, s2 (digest of the set), tokens: all, or the lowest ones that the bound needs."""
     def run(batches):
+        C.held("jaccard", dict)
         for batch in batches:
             for a, b, data, off in C.blocks(batch.column(1)):
                 h, at = shingle_sets(data, off, config.n)

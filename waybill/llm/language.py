@@ -193,7 +193,10 @@ def language_stage(spark, docs, sf_dir):
     letter are rejected; rows without id are judged like others."""
     model, at = learn(docs.filter(C.crc32_mod("doc_id", 3) != 1)), docs.columns.index("text")
 
+    C.record_batches(docs.sparkSession, 1000)
+
     def run(batches):
+        C.held("language", dict)
         for batch in (part for whole in batches for part in C.slices(whole, at)):
             yield batch.filter(pa.array(~judge(model, batch.column(at))[2]))
 

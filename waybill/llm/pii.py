@@ -334,6 +334,7 @@ def mask(docs: DataFrame, field: Field | None, config: PiiConfig = PiiConfig())
     i = docs.columns.index("text")
 
     def run(batches):
+        C.held("pii", dict)
         for batch in (part for whole in batches for part in C.slices(whole, i)):
             texts = batch.column(i).to_pylist()
             out = list(texts)
@@ -362,6 +363,7 @@ def op2_pii(spark, sf_dir):
 def pii_stage(spark, docs, sf_dir):
     """Pipeline stage: personal data in the texts is masked; ``n_chars`` follows, other columns stay. Null and
     empty texts hold nothing and stay as they are."""
+    C.record_batches(docs.sparkSession, 1000)
     out = mask(docs, learn(docs))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

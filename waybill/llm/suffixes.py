@@ -298,6 +298,7 @@ def repeated_spans(docs: DataFrame, config: SuffixConfig = SuffixConfig()):
     """(spans, texts): (doc_id, th, start, end) of removed bytes, not merged; and the texts concerned."""
     spark = docs.sparkSession
     C.ship(spark)
+    C.record_batches(spark, 10_000)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(), "text") \
                .filter(F.octet_length("text") >= config.length)
     seen = F.sum("times").over(Window.partitionBy("anchor", "lane"))

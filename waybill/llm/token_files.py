@@ -89,21 +89,17 @@ class Words(dict):
         return [(self.whole(t) if PLAIN.search(t) else b"".join(map(self.__getitem__, t.split()))) + stop for t in texts]
 
 
-_WORDS: dict = {}
-
-
 def encode(docs: DataFrame, path: str, end: int, dtype: str) -> DataFrame:
     """doc_id, ids: packed ids with the end token."""
     def run(batches):
-        if (path, dtype) not in _WORDS:
-            _WORDS[path, dtype] = Words(path, dtype)
-        words = _WORDS[path, dtype]
+        words = C.held(("words", path, dtype), lambda: Words(path, dtype))
         for batch in (part for whole in batches for part in C.slices(whole, 1)):
             text = C.as_text(batch.column(1)).to_pylist()
             ids = words.encode(text, end)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     C.ship(docs.sparkSession)
+    C.record_batches(docs.sparkSession, 1000)
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .mapInArrow(run, "doc_id long, ids binary"))
 
