@@ -47,9 +47,9 @@ def ingest_time(spark: SparkSession, feed, work: str) -> float:
     from waybill.streaming import IngestConfig, ingest
 
     store = Store(spark, tempfile.mkdtemp(dir=work), X.KEY_TYPE).create()
-    attempt = store.begin()
-    store.write(X.shipments(spark, SF_DIR), "shipments", attempt)
-    store.commit(attempt, "register", 0)
+    batch = store.begin()
+    batch.put({"shipments": X.shipments(spark, SF_DIR)})
+    store.commit(batch, "register", 0)
     return timed(lambda: ingest(feed, 0, store, IngestConfig(key_type="bigint", retries=0)))
 
 

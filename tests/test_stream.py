@@ -1,13 +1,14 @@
 import shutil
+import time
 from datetime import timedelta, timezone
 
 import pytest
 
 from helpers import F, T0, feed, shipments, table, uuid_of, wire
-from waybill.operators.reports import outcome_counts
+from waybill.operators.reports import attempt_counts, outcome_counts
 from waybill.sources.feed import read_feed
-from waybill.sources.store import Conflict, Store
-from waybill.streaming import IngestConfig, ingest, live_rates, register, replay, revise, start
+from waybill.sources.store import IDS, Store
+from waybill.streaming import IngestConfig, ingest, live_rates, register, replay, revise, start, tick
 
 CLOCK = (T0 + timedelta(days=60)).replace(tzinfo=timezone.utc)
 TABLES = {
@@ -41,9 +42,9 @@ def template(spark, tmp_path_factory):
 
 
 def put(store, rows, table="shipments"):
-    attempt = store.begin()
-    store.write(rows, table, attempt)
-    return store.commit(attempt, "register", 0)
+    batch = store.begin()
+    batch.put({table: rows})
+    return store.commit(batch, "register", 0)
 
 
 @pytest.fixture()
@@ -80,9 +81,9 @@ def test_batches_equal_one_pass(spark, fresh):
 def test_rerun_of_a_batch_changes_nothing(spark, store):
     mine = IngestConfig(retries=0, run="one")
     ingest(feed(spark, messages()), 0, store, mine)
-    before, last = contents(store), store.last_commit()
+    before, last = contents(store), store.log().last
     ingest(feed(spark, messages()), 0, store, mine)
-    assert store.last_commit() == last and contents(store) == before
+    assert store.log().last == last and contents(store) == before
     # the same records under a new batch number are redeliveries
     ingest(feed(spark, messages()), 1, store, IngestConfig(retries=0))
     after = contents(store)
@@ -132,30 +133,26 @@ def test_a_used_batch_number_drops_nothing(spark, store, tmp_path):
     assert store.read("shipments").where(F.col("tracking_number").startswith("N-")).count() == 2
 
 
-def test_writers_never_overwrite_each_other(spark, store, monkeypatch):
-    late, quick = store.begin(), store.begin()
-    for n, attempt in ((8, quick), (9, late)):
-        store.write(shipments(spark, [uuid_of(n)]), "shipments", attempt)
-    store.commit(quick, "register", 1)
-    with pytest.raises(Conflict):
-        store.commit(late, "register", 2)
+def test_batches_of_two_writers_both_stay(spark, store):
+    one, two = store.begin(), store.begin()
+    for n, batch in ((8, one), (9, two)):
+        batch.put({"shipments": shipments(spark, [uuid_of(n)])})
+    store.commit(one, "register", 1)
     assert store.read("shipments").count() == 4
-    # a command that meets another writer starts over on the new state
-    real, calls = Store.commit, []
+    store.commit(two, "register", 2)
+    assert store.read("shipments").count() == 5
+    with pytest.raises(ValueError):                      # ids are found by their bucket
+        Store(spark, store.path, id_buckets=3).log()
 
-    def busy(self, attempt, *rest):
-        if not calls:
-            calls.append(put_quick(self))
-        return real(self, attempt, *rest)
 
-    def put_quick(self):
-        other = self.begin()
-        self.write(shipments(spark, [uuid_of(7)]), "shipments", other)
-        return real(self, other, "register", 3)
-
-    monkeypatch.setattr(Store, "commit", busy)
-    ingest(feed(spark, [wire(1), wire(2, shipment=7)]), 0, store, IngestConfig(retries=0))
-    assert store.read("shipments").count() == 5 and store.read("tracking_events").count() == 2
+def test_a_batch_done_again_replaces_what_a_dead_one_left(spark, store, monkeypatch):
+    mine, first = IngestConfig(retries=0, run="r"), [wire(n) for n in range(6)]
+    with monkeypatch.context() as broken:
+        broken.setattr(Store, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost driver")))
+        with pytest.raises(RuntimeError):
+            ingest(feed(spark, first), 0, store, mine)
+    ingest(feed(spark, first[:2]), 0, store, mine)       # the same batch, read anew with fewer records
+    assert store.read("tracking_events").count() == 2 and store.read("outcomes").count() == 2
 
 
 def test_arrival_is_the_offset_not_the_timestamp(spark, fresh):
@@ -223,13 +220,129 @@ def test_parked_events_fail_when_retries_are_used_up(spark, store):
 
 def test_parked_events_survive_other_commits_and_idle_batches(spark, store):
     ingest(feed(spark, [wire(1, shipment=9)]), 0, store)
-    store.compact("shipments")
-    ingest(feed(spark, []), 1, store)
-    assert store.parked().count() == 1
+    assert store.merge_small(fan=2) == 3
+    last = store.log().last
+    ingest(feed(spark, []), 1, store, clock=T0 + timedelta(days=30, milliseconds=100))
+    assert store.log().last == last and store.parked().count() == 1     # nothing is due yet
     ingest(feed(spark, []), 2, store, clock=CLOCK)
     assert store.parked().count() == 0 and store.read("failed_events").count() == 1
 
 
+def test_the_delay_queue_counts_tries(spark, store):
+    at = T0 + timedelta(days=30)
+    waiting = lambda: table(store.parked(), "event_id", "attempts", "next_due_at")
+    ingest(feed(spark, [wire(1, shipment=9), wire(2, shipment=8)]), 0, store)          # received at 0 s and 1 s
+    # the batch's time is 1 s: two retries of the first one have passed, none of the second
+    assert waiting() == [(uuid_of(1), 3, at + timedelta(seconds=1.4)), (uuid_of(2), 1, at + timedelta(seconds=1.2))]
+    tick(store, clock=at + timedelta(seconds=1.1))
+    assert [w[1] for w in waiting()] == [3, 1]                                           # not due
+    tick(store, clock=at + timedelta(seconds=1.2))
+    assert [w[1] for w in waiting()] == [3, 2]
+    put(store, shipments(spark, [uuid_of(8)]))
+    tick(store, clock=at + timedelta(seconds=4))
+    assert waiting() == [(uuid_of(1), 5, at + timedelta(seconds=5))]
+    tick(store, clock=at + timedelta(seconds=5))
+    assert waiting() == [] and store.read("dead_letters").count() == 1
+    tries = table(store.read("outcomes"), "event_id", "outcome", "attempts")
+    assert tries == [(uuid_of(1), "SHIPMENT_NOT_FOUND", 6), (uuid_of(2), "APPLIED", 5)]
+    counts = attempt_counts(store.read("outcomes")).first()
+    assert counts.asDict() == {"received": 11, "processed": 1, "failed": 10, "dead_lettered": 1}
+
+
+def test_retries_end_without_further_input(spark, store, tmp_path):
+    """A stream that gets one record and then nothing: its clock fails the record by itself."""
+    feed(spark, [wire(1, shipment=9)]).coalesce(1).write.parquet(str(tmp_path / "feed"))
+    query = start(read_feed(spark, str(tmp_path / "feed"), stream=True), store, str(tmp_path / "checkpoint"),
+                  IngestConfig(ticks=True), interval="1 second")
+    try:
+        end = time.time() + 240
+        while not store.read("dead_letters").count() and time.time() < end:
+            assert query.exception() is None
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert store.parked().count() == 0
+    assert table(store.read("outcomes"), "outcome", "attempts") == [("SHIPMENT_NOT_FOUND", 6)]
+
+
+def test_small_batches_are_merged(spark, store):
+    """Many batches end in few folders and files; every read stays the same, and so does what is known of runs."""
+    ingest(feed(spark, messages()), 7, store, IngestConfig(retries=0, run="r", merge_every=0))
+    for n in range(100, 130):
+        b = store.begin()
+        b.put({"shipments": shipments(spark, [uuid_of(n % 9)], version=n).coalesce(1),
+               IDS: spark.createDataFrame([(uuid_of(n),)], "event_id string")})
+        store.commit(b, "test", n)
+    before, ids = contents(store), spark.createDataFrame([(uuid_of(n),) for n in range(200)], "event_id string")
+    known = table(store.stored_ids(ids), "event_id")
+    assert len(known) == 70
+    merged = 0
+    while joined := store.merge_small(fan=4):
+        merged += joined
+    assert merged > 30 and contents(store) == before and len(store.log().markers) < 4
+    assert table(store.stored_ids(ids), "event_id") == table(store.stored_ids(ids, broadcast=False), "event_id") == known
+    ingest(feed(spark, messages()), 7, store, IngestConfig(retries=0, run="r"))         # still known as done
+    assert contents(store) == before
+    store.drop_merged()
+    store.drop_merged()
+    assert contents(store) == before
+    files = [f.split("/rows/")[1] for f in store.spark.read.parquet(f"{store.path}/rows").inputFiles()]
+    assert len({f.split("/")[0] for f in files}) < 4 and sum("kind=event_ids" not in f for f in files) < 30
+
+
+def test_look_ups_read_only_the_buckets_of_their_ids(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "ids"), id_buckets=16).create()
+    for n in range(4):
+        b = store.begin()
+        b.put({IDS: spark.range(n * 500, n * 500 + 500).select(F.col("id").cast("string").alias("event_id"))})
+        store.commit(b, "test", n)
+    assert store.merge_small(fan=4)
+    keys = spark.createDataFrame([("7",), ("1999",), ("none",)], "event_id string")
+    found = store.stored_ids(keys)
+    assert table(found, "event_id") == [("1999",), ("7",)]
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "dynamicpruning" in plan.toString().lower()
+    read = {r["bucket"] for r in keys.select(store.bucket_of(F.col("event_id")).alias("bucket")).collect()}
+    scans = [line for line in plan.toString().splitlines() if "FileScan" in line]      # of the final and the first plan
+    assert scans and all("dynamicpruning" in line and "bucket" in line for line in scans) and len(read) <= 3
+    everything = store.stored_ids(spark.range(3000).select(F.col("id").cast("string").alias("event_id")), broadcast=False)
+    assert everything.count() == 2000
+
+
+def test_the_tenth_batch_is_as_fast_as_the_first(spark, store):
+    """Fifty times the history of stored ids costs a batch little."""
+    def stored(low, high):
+        b = store.begin()
+        b.put({IDS: spark.range(low, high).select(F.concat(F.lit("old-"), F.col("id").cast("string")).alias("event_id"))})
+        store.commit(b, "test", low)
+
+    def seconds(n):
+        begin = time.perf_counter()
+        ingest(feed(spark, [wire(n * 10 + i) for i in range(10)], start=n * 10), n, store, IngestConfig(merge_every=0))
+        return time.perf_counter() - begin
+
+    stored(0, 20_000)
+    seconds(0)                                            # compiled and warm
+    first = min(seconds(n) for n in (1, 2, 3))
+    stored(20_000, 1_000_000)
+    tenth = min(seconds(n) for n in (4, 5, 6))
+    assert tenth <= 1.3 * first + 1
+
+
+def test_ticks_move_the_feeds_time(spark, store, monkeypatch):
+    """Without records the feed's time goes on with the wall clock, from the last batch."""
+    from waybill.sources import store as module
+    ingest(feed(spark, [wire(1, shipment=9)]), 0, store)
+    now = time.time()
+    monkeypatch.setattr(module.time, "time", lambda: now + 3)
+    tick(store)
+    assert table(store.parked(), "attempts")[0][0] >= 5
+    monkeypatch.setattr(module.time, "time", lambda: now + 60)
+    tick(store)
+    assert store.parked().count() == 0 and store.read("failed_events").count() == 1
+
+
 def test_replay(spark, store):
     now = IngestConfig(retries=0)
     ingest(feed(spark, [wire(1, shipment=9), wire(2, carrier="NORDEX"), wire(3, code="SP_TELEPORTED"),
@@ -261,10 +374,8 @@ def test_replay_of_what_was_stored_meanwhile_is_a_success(spark, store):
 
 def test_replay_of_chosen_ids_with_an_unknown_origin(spark, store):
     ingest(feed(spark, [wire(1, shipment=9), wire(2, shipment=8)]), 0, store, IngestConfig(retries=0))
-    attempt = store.begin()
-    store.write(store.read("failed_events").withColumns(
-        {c: F.lit(None) for c in ("original_topic", "original_partition", "original_offset")}), "failed_events", attempt)
-    store.commit(attempt, "test", 0)
+    put(store, store.read("failed_events").withColumns(
+        {c: F.lit(None) for c in ("original_topic", "original_partition", "original_offset")}), "failed_events")
     failed = store.read("failed_events")
     replay(store, 0, CLOCK, failed.where(F.col("event_id") == uuid_of(1)).select("failed_event_id"))
     assert table(store.read("failed_events"), "event_id", "status", "retry_count") == [
@@ -293,14 +404,14 @@ def test_register_and_revise(spark, store):
     row = store.read("shipments").where(F.col("shipment_id") == sid).first()
     assert row["estimated_delivery_date"] == T0.date() and row["current_status"] == "IN_TRANSIT"
     before = contents(store)
-    store.compact("shipments")
-    store.compact("failed_events")
+    assert store.merge_small(fan=2)
     assert contents(store) == before
 
 
 def test_live_rates_on_a_stream(spark, store, tmp_path):
     ingest(feed(spark, messages()), 0, store, IngestConfig(retries=0))
-    stream = spark.readStream.schema(store.schemas["outcomes"]).parquet(f"{store.path}/outcomes/attempt={store.log().last_feed}")
+    stream = spark.readStream.schema(store.schemas["outcomes"]).parquet(
+        f"{store.path}/rows/batch={store.log().markers[-1]['name']}/kind=outcomes")
     query = (live_rates(stream, "10 seconds").writeStream.outputMode("complete").format("memory")
              .queryName("live").trigger(availableNow=True).start())
     query.awaitTermination(120)

@@ -68,6 +68,8 @@ ERROR_TYPES = (
     ("UNKNOWN_EVENT_TYPE", "UnknownCarrierEventTypeException"),
 )
 
+RESULTS = ("APPLIED", "OUT_OF_ORDER", "DUPLICATE", "FAILED")
+
 SUPPORTED_SCHEMA_VERSION = 1
 MAX_LENGTHS = (
     ("tracking_number", 128), ("event_type", 64), ("location", 255),
@@ -213,5 +215,9 @@ def statuses(spark: SparkSession) -> DataFrame:
     return _values(spark, [(s,) for s in STATUSES], "current_status")
 
 
+def processing_results(spark: SparkSession) -> DataFrame:
+    return _values(spark, [(r,) for r in RESULTS], "outcome")
+
+
 def skip_reasons(spark: SparkSession) -> DataFrame:
     return _values(spark, [(r,) for r in SKIP_REASONS], "reason")

@@ -47,12 +47,16 @@ def notification_counts(notifications: DataFrame, rules: DataFrame) -> DataFrame
 def notification_skips(folded: DataFrame, rules: DataFrame, reasons: DataFrame,
                        existing: DataFrame | None = None) -> DataFrame:
     """Applied events that led to no notification, per reason, reasons without any at zero."""
+    counted = skipped_events(folded, rules, existing).groupBy("reason").agg(F.count("*").alias("_n"))
+    return (reasons.join(counted, "reason", "left")
+            .select("reason", F.coalesce("_n", F.lit(0)).cast("long").alias("skipped")))
+
+
+def skipped_events(folded: DataFrame, rules: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """The applied events that led to no new notification, with the reason."""
     applied = _candidates(folded).join(rules, "status", "left")
     reason = F.when(F.col("notification_type").isNull(), "not_notifiable")
     if existing is not None:
         applied = applied.join(existing.select(*_PAIR, F.lit(True).alias("_exists")), _PAIR, "left")
         reason = reason.when(F.col("_exists"), "already_exists")
-    counted = (applied.select(reason.alias("reason")).where(F.col("reason").isNotNull())
-               .groupBy("reason").agg(F.count("*").alias("_n")))
-    return (reasons.join(counted, "reason", "left")
-            .select("reason", F.coalesce("_n", F.lit(0)).cast("long").alias("skipped")))
+    return applied.select(*_PAIR, "received_at", reason.alias("reason")).where(F.col("reason").isNotNull())

@@ -11,19 +11,29 @@ def _verdict(expected: Column, actual: Column) -> Column:
             .when(expected == actual, "MATCH").otherwise("MISMATCH"))
 
 
-def reconciliation(published: DataFrame, outcomes: DataFrame, history: DataFrame, failed: DataFrame) -> DataFrame:
+def reconciliation(published: DataFrame, outcomes: DataFrame, history: DataFrame, failed: DataFrame,
+                   dead_letters: DataFrame | None = None) -> DataFrame:
     """One line per check with both sides and a verdict.
 
     ``published`` is one row: ``events``, ``duplicates``, ``out_of_order`` as the sender counted
-    them, NULL where it did not.
+    them, NULL where it did not. Failures of one event are one failed event but a dead letter each: with
+    ``dead_letters`` refused deliveries are compared with these, and failed events with the distinct
+    events among them; without, deliveries are compared with failed events.
     """
     seen = outcomes.agg(
         F.count_if(F.col("outcome") != "MALFORMED_PAYLOAD").alias("received"),
         F.count_if(F.col("outcome") == "DUPLICATE").alias("duplicate"),
         F.count_if(F.col("outcome") == "SUPERSEDED").alias("late"),
         F.count_if(F.col("error_category").isNotNull()).alias("dead_lettered"))
+    if dead_letters is not None:
+        refused = outcomes.where(F.col("error_category").isNotNull())
+        # ids are counted apart from rows without one, which are a failed event each
+        events = refused.agg((F.count_distinct("event_id") + F.count_if(F.col("event_id").isNull())).alias("failed_ids"))
+        extra = [events, dead_letters.agg(F.count("*").alias("letters"))]
+    else:
+        extra = []
     sides = [published.select("events", "duplicates", "out_of_order"), seen,
-             history.agg(F.count("*").alias("stored")), failed.agg(F.count("*").alias("failed_rows"))]
+             history.agg(F.count("*").alias("stored")), failed.agg(F.count("*").alias("failed_rows")), *extra]
     # one-row aggregates side by side: stacked as (metric, value), then folded back into one row
     facts, names = None, []
     for side in sides:
@@ -37,7 +47,9 @@ def reconciliation(published: DataFrame, outcomes: DataFrame, history: DataFrame
         ("duplicates_detected", F.col("duplicates"), F.col("duplicate")),
         ("out_of_order_detected", F.col("out_of_order"), F.col("late")),
         ("stored", F.col("events") - F.col("duplicates"), F.col("stored")),
-        ("failed_dead_lettered", F.col("dead_lettered"), F.col("failed_rows")),
+        *([("failed_dead_lettered", F.col("dead_lettered"), F.col("failed_rows"))] if dead_letters is None else [
+            ("failed_dead_lettered", F.col("dead_lettered"), F.col("letters")),
+            ("failed_events", F.col("failed_ids"), F.col("failed_rows"))]),
     )
     rows = F.array(*[F.struct(F.lit(name).alias("line"), a.cast("long").alias("expected"),
                               b.cast("long").alias("actual")) for name, a, b in lines])

@@ -29,19 +29,18 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(*[c.alias(name) for name, c in counters().items()])
 
 
-def attempt_counts(outcomes: DataFrame, categories: DataFrame, retries: int = M.RETRY_LIMIT) -> DataFrame:
-    """The counters by attempt: a failure of an automatically retryable category was tried
-    ``retries`` more times before it was dead-lettered, and each try is received and fails."""
-    auto = outcomes.join(categories.select("error_category", "retryable_automatically"), "error_category", "left")
-    tries = F.when(F.col("retryable_automatically"), retries + 1).otherwise(1)
+def attempt_counts(outcomes: DataFrame) -> DataFrame:
+    """The counters by try, from the tries each outcome was stored with (``attempts``). Each try is received;
+    all fail but the last one of an event that is processed."""
     failed = F.col("error_category").isNotNull()
 
     def total(condition, amount):
-        return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0))
+        return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0)).cast("long")
 
-    return auto.agg(
-        total(F.col("outcome") != "MALFORMED_PAYLOAD", tries).alias("received"),
-        F.count_if(~failed).alias("processed"), total(failed, tries).alias("failed"),
+    return outcomes.agg(
+        total(F.col("outcome") != "MALFORMED_PAYLOAD", F.col("attempts")).alias("received"),
+        F.count_if(~failed).alias("processed"),
+        total(F.lit(True), F.col("attempts") - F.when(failed, 0).otherwise(1)).alias("failed"),
         F.count_if(failed).alias("dead_lettered"))
 
 
@@ -157,6 +156,35 @@ def lag_quantiles(histogram: DataFrame, qs: list[float], by: list[str] | None =
         .alias("seconds"))
 
 
+def quantile_of(cumulative: list[Column], edges: list[float], q: Column) -> Column:
+    """The same from the cumulative counts of one row (up to each edge, then all); NULL without any."""
+    total, below, lower = cumulative[-1], F.lit(0), F.lit(0.0)
+    rank, value = q * total, F.lit(None).cast("double")
+    steps = []
+    for i, count in enumerate(cumulative):
+        inside = lower if i == len(edges) else (
+            lower + (F.lit(float(edges[i])) - lower) * ((rank - below) / F.nullif(count - below, F.lit(0))))
+        steps.append((count >= rank, inside))
+        if i < len(edges):
+            below, lower = count, F.lit(float(edges[i]))
+    for reached, inside in reversed(steps):
+        value = F.when(reached, inside).otherwise(value)
+    return F.when(total > 0, value)
+
+
+def duration_histogram(outcomes: DataFrame, edges: list[float]) -> DataFrame:
+    """Cumulative buckets of the time from scan to reception, for each of the four results of processing;
+    a result that has not occurred is there with zeros. Deliveries without an event time have no duration."""
+    failed = F.col("error_category").isNotNull()
+    result = F.when(failed, "FAILED").when(F.col("outcome") == "SUPERSEDED", "OUT_OF_ORDER").otherwise(F.col("outcome"))
+    counted = (outcomes.where(F.col("event_time").isNotNull())
+               .select(result.alias("outcome"), bucket_index(lag_seconds(), edges).alias("_bucket"))
+               .groupBy("outcome").agg(*bucket_counts(edges)))
+    names = [f"_le{i}" for i in range(len(edges) + 1)]
+    every = M.processing_results(outcomes.sparkSession).join(counted, "outcome", "left").na.fill(0, names)
+    return histogram_rows(every, ["outcome"], edges)
+
+
 def partition_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
     """Records not yet consumed per partition, and the largest of them."""
     lag = (ends.join(committed, ["topic", "partition"], "left")

@@ -106,12 +106,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     branches read. A Parquet table rather than ``checkpoint()``: each branch reads only its columns.
     The folder is deleted when the process ends."""
     spark = df.sparkSession
-    folder = f"{_shared_folder(spark)}/waybill-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark)
     df.write.parquet(folder)
-    atexit.register(_delete, spark, folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in the cluster's shared one, deleted when the process ends."""
+    folder = f"{_shared_folder(spark)}/waybill-{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, folder)
+    return folder
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
     try:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

@@ -255,6 +255,9 @@ _OUT = """event_id, arrival, shipment_id, carrier_code, normalized_event_type, o
 add("feed_scan", f"""SELECT CAST(shipment_id AS VARCHAR) AS "key", {_JSON} AS "value", topic,
   part AS "partition", off AS "offset", received_at AS "timestamp" FROM feed""", "feed")
 
+add("feed_range", f"""SELECT CAST(shipment_id AS VARCHAR) AS "key", {_JSON} AS "value", topic,
+  part AS "partition", off AS "offset", received_at AS "timestamp" FROM feed
+  WHERE (part = 0 AND off BETWEEN 50 AND 399) OR (part = 2 AND off < 300) OR (part = 3 AND off >= 100) OR part = 5""", "feed")
 _BAD = "epoch_us(event_time) % 40 IN (0, 1, 3, 4, 6)"
 _NONE = "epoch_us(event_time) % 40 IN (2, 5)"
 add("parse_feed", "SELECT " + ", ".join(
@@ -353,14 +356,8 @@ add("ordering_fold", """SELECT event_id, shipment_id, off AS "offset", event_tim
   normalized_event_type, applied FROM folded""", "feed_b", "fold_b")
 add_a("outcome_stream", f"SELECT {_OUT} FROM outcomes")
 add_a("current_state", "SELECT * FROM state", "state")
-add_a("shipments_upsert", """SELECT s.shipment_id, coalesce(d.status, s.current_status) AS current_status,
-  d.event_time AS last_event_time, d.sequence_number AS last_sequence_number, d.received_at AS last_received_at,
-  coalesce(d.n, 0) AS version, coalesce(d.received_at, s.updated_at) AS updated_at
-  FROM shipments s LEFT JOIN (
-    SELECT shipment_id, arg_max(normalized_event_type, arrival) AS status, arg_max(event_time, arrival) AS event_time,
-      arg_max(sequence_number, arrival) AS sequence_number, arg_max(received_at, arrival) AS received_at, count(*) AS n
-    FROM outcomes WHERE applied AND arrival <= (SELECT cut FROM middle) GROUP BY shipment_id) d USING (shipment_id)""",
-      "middle")
+add_a("shipments_upsert", """SELECT shipment_id, current_status, last_event_time, last_sequence_number, last_received_at,
+  version, updated_at FROM state""", "state")
 add_a("applied_timeline", """SELECT event_id, shipment_id, arrival, applied,
   coalesce(last_value(CASE WHEN applied THEN normalized_event_type END IGNORE NULLS) OVER (
     PARTITION BY shipment_id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 'LABEL_CREATED')
@@ -463,6 +460,37 @@ add_a("failed_events_page", _page(
   manual_retry AS retryable_manually, error_type, error_message, retry_count, status, original_topic,
   original_partition, original_offset, first_failed_at, last_failed_at""",
     "last_failed_at DESC, failed_event_id", 1, 100), "failures", "failed", "categories")
+def _after(name: str, page: int) -> None:
+    """The SQL of a page, without its number: it was reached from the page before. Of groups that have one."""
+    ORACLE[name] = ORACLE[name].replace(f"CAST({page} AS INTEGER) AS page, ", "").replace(
+        ORACLE[name][ORACLE[name].index("  CAST(ceil(total"):ORACLE[name].index(f"{page} + 1 <")], "  ")
+
+
+for _name, _size, _from in (("history", 15, 2), ("notifications", 5, 1), ("retailer", 20, 1)):
+    _sql = {"history": ("history", "shipment_id", f'shipment_id, {_VIEW}, "position"', "event_time, sequence_number, event_id"),
+            "notifications": ("notifications", "shipment_id", """shipment_id, notification_id, source_event_id,
+  notification_type, channel, status, created_at, "position\"""", "created_at, notification_id"),
+            "retailer": ("state", "retailer_id", """retailer_id, shipment_id, tracking_number, carrier_code, current_status,
+  estimated_delivery_date, last_event_time, version, created_at, updated_at, "position\"""", "created_at DESC, shipment_id")}[_name]
+    add_a(f"{_name}_page_after", _page(*_sql, _from, _size),
+          *{"history": ["history"], "notifications": ["rules", "notifications"], "retailer": ["state"]}[_name])
+    _after(f"{_name}_page_after", _from)
+add_a("failed_events_page_after", _page(
+    "(SELECT * FROM failed JOIN categories USING (error_category)) q", "",
+    """failed_event_id, event_id, shipment_id, error_category, auto_retry AS retryable_automatically,
+  manual_retry AS retryable_manually, error_type, error_message, retry_count, status, original_topic,
+  original_partition, original_offset, first_failed_at, last_failed_at, "position\"""",
+    "last_failed_at DESC, failed_event_id", 2, 20), "failures", "failed", "categories")
+_after("failed_events_page_after", 2)
+add_a("shipment_look_up", """SELECT i.shipment_id, retailer_id, tracking_number, carrier_code, current_status,
+  estimated_delivery_date, last_event_time, version, created_at, updated_at, retailer_id IS NOT NULL AS found
+  FROM (SELECT DISTINCT shipment_id FROM feed) i LEFT JOIN state USING (shipment_id)""", "state")
+add_a("failed_event_look_up", """SELECT i.event_id, failed_event_id, shipment_id, error_category,
+  auto_retry AS retryable_automatically, manual_retry AS retryable_manually, error_type, error_message, retry_count,
+  status, original_topic, original_partition, original_offset, first_failed_at, last_failed_at,
+  failed_event_id IS NOT NULL AS found
+  FROM (SELECT DISTINCT event_id FROM feed) i LEFT JOIN failed USING (event_id) LEFT JOIN categories USING (error_category)""",
+      "failures", "failed", "categories")
 add_a("history_by_tracking_number", f"SELECT tracking_number, {_VIEW} FROM history", "history")
 add_a("recent_ingest", """SELECT received_at, event_id, shipment_id, carrier_event_type, processing_status FROM history
   ORDER BY received_at DESC, event_id LIMIT 100""", "history")
@@ -517,6 +545,10 @@ def _quantile(by: str, q: str = "q") -> str:
 add_a("lag_quantiles", _quantile("processing_status").format(
     source="histogram", quantiles="(VALUES (CAST(0.5 AS DOUBLE)), (CAST(0.95 AS DOUBLE)), (CAST(0.99 AS DOUBLE))) AS v(q)"),
       "history", "edges", "histogram")
+add_a("duration_histogram", f"""SELECT r.outcome, le, count(*) FILTER (lag <= up) AS cumulative
+  FROM (VALUES ('APPLIED'), ('OUT_OF_ORDER'), ('DUPLICATE'), ('FAILED')) AS r(outcome) CROSS JOIN edges LEFT JOIN (
+    SELECT CASE WHEN error_category IS NOT NULL THEN 'FAILED' WHEN outcome = 'SUPERSEDED' THEN 'OUT_OF_ORDER' ELSE outcome END
+      AS outcome, CAST({_LAG} AS DOUBLE) AS lag FROM outcomes) d USING (outcome) GROUP BY r.outcome, le""", "edges")
 add("partition_lag", """SELECT topic, "partition", end_offset, lag, max(lag) OVER (PARTITION BY topic) AS max_lag FROM (
   SELECT topic, part AS "partition", max(off) AS end_offset,
     max(off) - coalesce(max(off) FILTER (arrival <= (SELECT cut FROM middle)), 0) AS lag
@@ -530,6 +562,17 @@ add_a("reconciliation", """SELECT line, expected, actual, CASE WHEN expected IS
   UNION ALL SELECT 'stored', (SELECT count(DISTINCT event_id) FROM feed), (SELECT count(*) FROM history)
   UNION ALL SELECT 'failed_dead_lettered', (SELECT count(*) FROM outcomes WHERE error_category IS NOT NULL),
     (SELECT count(*) FROM failed))""", "history", "failures", "failed")
+add_a("reconciliation_dead_letters", """SELECT line, expected, actual, CASE WHEN expected IS NULL OR actual IS NULL THEN 'N/A'
+    WHEN expected = actual THEN 'MATCH' ELSE 'MISMATCH' END AS verdict FROM (
+  SELECT 'published_received' AS line, (SELECT count(*) FROM feed) AS expected, (SELECT count(*) FROM outcomes) AS actual
+  UNION ALL SELECT 'duplicates_detected', (SELECT count(*) - count(DISTINCT event_id) FROM feed),
+    (SELECT count(*) FROM outcomes WHERE outcome = 'DUPLICATE')
+  UNION ALL SELECT 'out_of_order_detected', NULL, (SELECT count(*) FROM outcomes WHERE outcome = 'SUPERSEDED')
+  UNION ALL SELECT 'stored', (SELECT count(DISTINCT event_id) FROM feed), (SELECT count(*) FROM history)
+  UNION ALL SELECT 'failed_dead_lettered', (SELECT count(*) FROM outcomes WHERE error_category IS NOT NULL),
+    (SELECT count(*) FROM failures)
+  UNION ALL SELECT 'failed_events', (SELECT count(DISTINCT event_id) FROM outcomes WHERE error_category IS NOT NULL),
+    (SELECT count(*) FROM failed))""", "history", "failures", "failed")
 add_a("reconcile_except", """SELECT DISTINCT event_id, 'not_stored' AS side FROM feed
   WHERE event_id NOT IN (SELECT event_id FROM history)""", "history")
 add_a("counter_deltas", "SELECT metric, b AS before, a AS after, a - b AS delta, (a - b) / (n / 2.0::DOUBLE) AS per_second FROM ("
@@ -571,6 +614,13 @@ add_a("rates_sliding", f"""SELECT {_END} AS window_end, {_sum('received', 10)} /
   {_sum('failed', 10)} / CAST(600 AS DOUBLE) AS failed_rate, {_sum('failed', 10)} / CAST(600 AS DOUBLE) AS dead_lettered_rate
   FROM ends e WHERE {_sum('received', 10)} > 0""", _ends(9))
 
+add_a("notification_rates", """SELECT make_timestamp((epoch_us(created_at) // 300000000) * 300000000) AS window_start,
+  notification_type, count(*) / CAST(300 AS DOUBLE) AS rate FROM notifications GROUP BY 1, 2""", "rules", "notifications")
+add_a("notification_skip_rates", f"""SELECT {_W300}, reason, count(*) / CAST(300 AS DOUBLE) AS rate FROM (
+  SELECT received_at, CASE WHEN normalized_event_type NOT IN (SELECT notification_type FROM rules) THEN 'not_notifiable'
+    WHEN arrival <= (SELECT cut FROM middle) THEN 'already_exists' END AS reason FROM outcomes WHERE applied)
+  WHERE reason IS NOT NULL GROUP BY 1, 2""", "rules", "middle")
+
 _HELD = """count(*) FILTER (holds) OVER (PARTITION BY rule ORDER BY minute
     RANGE BETWEEN {hold} PRECEDING AND CURRENT ROW)"""
 add_a("silence", f"""SELECT window_end, received, silent, silent AND since >= 31 AS firing FROM (
@@ -586,6 +636,7 @@ CTE["alert_values"] = f"""lag_steps AS (
 lag_windows AS (
   SELECT e.minute, le, up, CAST(sum(c) AS BIGINT) AS cumulative FROM ends e JOIN lag_steps s
     ON s.minute > e.minute - 5 AND s.minute <= e.minute GROUP BY 1, 2, 3),
+quantile_windows AS (SELECT * FROM lag_windows),
 latency AS ({_quantile('minute').format(source='lag_windows', quantiles='(VALUES (CAST(0.99 AS DOUBLE))) AS v(q)')}),
 alert_values AS (
   SELECT 'EventProcessingFailureRateHigh' AS rule, minute, {_F5} / greatest({_R5}, CAST(0.001 AS DOUBLE)) AS value,
@@ -601,6 +652,10 @@ alert_values AS (
       (SELECT sum(failed) FROM per_minute p WHERE p.minute <= e.minute) AS DOUBLE) END, 15, 20
     FROM ends e LEFT JOIN per_minute m ON m.minute = e.minute
   UNION ALL SELECT 'NoEventsReceived', minute, {_sum('received', 15)} / CAST(900 AS DOUBLE), 30, NULL FROM ends e)"""
+CTE["lag_windows"] = CTE["alert_values"][:CTE["alert_values"].index(",\nquantile_windows")]
+add_a("lag_quantiles_by_window", "SELECT make_timestamp(minute * 60000000) AS window_end, quantile, seconds FROM ("
+      + _quantile("minute").format(source="lag_windows", quantiles="(VALUES (CAST(0.5 AS DOUBLE)), (CAST(0.95 AS DOUBLE)), "
+                                   "(CAST(0.99 AS DOUBLE))) AS v(q)") + ")", "edges", _ends(60), "lag_windows")
 add_a("alerts", """SELECT rule, make_timestamp(minute * 60000000) AS window_end, CAST(value AS DOUBLE) AS value,
   holds AND since = hold + 1 AS firing FROM (
   SELECT a.*, (SELECT count(*) FROM held b WHERE b.rule = a.rule AND b.holds AND b.minute BETWEEN a.minute - a.hold AND a.minute)

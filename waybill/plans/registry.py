@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,11 @@ from pyspark.sql import types as T
 
 from .. import model as M
 from ..operators import dedupe, failures, fold, lookup, notify, outcome, pages, rates, reconcile, reports, state
-from ..operators.skew import cut_lineage, find_heavy
+from ..operators.skew import cut_lineage, find_heavy, scratch_folder
 from ..operators.validate import validate_events
-from ..sources import flatten_batches, parse_feed
+from ..sources import flatten_batches, parse_feed, read_feed
+from ..sources.store import Store
+from ..streaming import IngestConfig, ingest, tick
 from . import fixtures as X
 from .pipeline import assess, history_of, outcome_stream
 
@@ -91,7 +94,18 @@ _OUTCOME = ["event_id", "arrival", "shipment_id", "carrier_code", "normalized_ev
 
 @query
 def feed_scan(spark, sf):
-    return X.feed_json(spark, sf)
+    """The whole feed as the reader of files finds it."""
+    folder = scratch_folder(spark)
+    X.feed_json(spark, sf).write.parquet(folder)
+    return read_feed(spark, folder)
+
+
+@query
+def feed_range(spark, sf):
+    """A middle range of offsets of some partitions, through the reader."""
+    folder = scratch_folder(spark)
+    X.feed_json(spark, sf).write.parquet(folder)
+    return read_feed(spark, folder, offsets={0: (50, 400), 2: (None, 300), 3: (100, None), 5: (None, None)})
 
 
 @query
@@ -264,9 +278,10 @@ def current_state(spark, sf):
 
 @query
 def shipments_upsert(spark, sf):
-    """Deltas of the first batch applied to a snapshot."""
+    """Deltas of the first batch applied to a snapshot, then those of the second."""
     b = Batches(spark, sf)
-    return state.shipments_upsert(b.shipments, state.state_deltas(b.past)).select(
+    first = state.shipments_upsert(b.shipments, state.state_deltas(b.past))
+    return state.shipments_upsert(first, state.state_deltas(b.outcomes())).select(
         "shipment_id", "current_status", "last_event_time", "last_sequence_number", "last_received_at",
         "version", "updated_at")
 
@@ -377,6 +392,54 @@ def failed_events_page(spark, sf):
     return pages.failed_events_page(f.failed, f.categories, status="FAILED", page=1, size=100)
 
 
+@query
+def history_page_after(spark, sf):
+    """The page after the second one's last rows."""
+    f = Feed(spark, sf, written=True)
+    cursors = pages.last_rows(pages.history_page(f.history, f.shipments, page=1, size=15), "shipment_id")
+    return pages.history_after(f.history, cursors, size=15)
+
+
+@query
+def notifications_page_after(spark, sf):
+    f = Feed(spark, sf, written=True)
+    cursors = pages.last_rows(pages.notifications_page(f.notifications, f.shipments, page=0, size=5), "shipment_id",
+                              pages._NOTIFICATION_ORDER)
+    return pages.notifications_after(f.notifications, cursors, size=5)
+
+
+@query
+def retailer_page_after(spark, sf):
+    f = Feed(spark, sf, written=True)
+    cursors = pages.last_rows(pages.retailer_page(f.state, page=0, size=20), "retailer_id", pages._RETAILER_ORDER)
+    return pages.retailer_after(f.state, cursors, size=20)
+
+
+@query
+def failed_events_page_after(spark, sf):
+    """The third page, each found from the last row of the one before."""
+    f, last = Feed(spark, sf, written=True), None
+    failed = cut_lineage(f.failed)
+    for _ in range(2):
+        page = pages.failed_events_after(failed, f.categories, last, status="FAILED", size=20).collect()   # a page
+        last = page[-1].asDict()
+    return pages.failed_events_after(failed, f.categories, last, status="FAILED", size=20)
+
+
+@query
+def shipment_look_up(spark, sf):
+    """Every shipment the feed names, found or not."""
+    f = Feed(spark, sf)
+    return pages.look_up(f.events, f.state, "shipment_id", pages.shipment_view)
+
+
+@query
+def failed_event_look_up(spark, sf):
+    """The failed event of every event the feed names, if it has one."""
+    f = Feed(spark, sf, written=True)
+    return pages.look_up(f.events, f.failed, "event_id", lambda df: pages.failed_event_view(df, f.categories))
+
+
 @query
 def history_by_tracking_number(spark, sf):
     f = Feed(spark, sf)
@@ -395,10 +458,22 @@ def outcome_counts(spark, sf):
     return reports.outcome_counts(Feed(spark, sf).outcomes)
 
 
+def ingested(spark, sf) -> Store:
+    """A store that has taken in the whole feed from its wire form, and waited until all retries were over."""
+    store = Store(spark, scratch_folder(spark), X.KEY_TYPE).create()
+    batch = store.begin()
+    batch.put({"shipments": X.shipments(spark, sf)})
+    store.commit(batch, "register", 0)
+    config = IngestConfig(key_type="bigint")
+    ingest(X.feed_json(spark, sf), 0, store, config)
+    tick(store, config, datetime.fromtimestamp(store.log().feed_clock / 1e6) + timedelta(seconds=10))
+    return store
+
+
 @query
 def attempt_counts(spark, sf):
-    f = Feed(spark, sf)
-    return reports.attempt_counts(f.outcomes, f.categories)
+    """From the tries that ingestion stored."""
+    return reports.attempt_counts(ingested(spark, sf).read("outcomes"))
 
 
 @query
@@ -448,6 +523,11 @@ def lag_quantiles(spark, sf):
     return reports.lag_quantiles(reports.lag_histogram(Feed(spark, sf).history, LAG_EDGES), QUANTILES)
 
 
+@query
+def duration_histogram(spark, sf):
+    return reports.duration_histogram(Feed(spark, sf).outcomes, LAG_EDGES)
+
+
 @query
 def partition_lag(spark, sf):
     first, _ = X.feed_a_batches(spark, sf)
@@ -465,6 +545,16 @@ def reconciliation(spark, sf):
     return reconcile.reconciliation(sent, f.outcomes, f.history, f.failed)
 
 
+@query
+def reconciliation_dead_letters(spark, sf):
+    """The same with refused deliveries against dead letters, as both count deliveries."""
+    f = Feed(spark, sf, written=True)
+    sent = f.events.agg(F.count("*").alias("events"),
+                        (F.count("*") - F.count_distinct("event_id")).alias("duplicates"),
+                        F.lit(None).cast("long").alias("out_of_order"))
+    return reconcile.reconciliation(sent, f.outcomes, f.history, f.failed, failures.dead_letters(f.failures))
+
+
 @query
 def reconcile_except(spark, sf):
     f = Feed(spark, sf, written=True)
@@ -506,6 +596,23 @@ def failure_ratio(spark, sf):
     return rates.failure_ratio(Feed(spark, sf).outcomes)
 
 
+@query
+def lag_quantiles_by_window(spark, sf):
+    return rates.lag_quantiles_by_window(Feed(spark, sf).outcomes, QUANTILES, LAG_EDGES)
+
+
+@query
+def notification_rates(spark, sf):
+    return rates.notification_rates(Feed(spark, sf).notifications)
+
+
+@query
+def notification_skip_rates(spark, sf):
+    b = Batches(spark, sf)
+    everything = outcome_stream(b.events, b.shipments, b.vocab)
+    return rates.skip_rates(notify.skipped_events(everything, b.rules, notify.notifications_new(b.past, b.rules)))
+
+
 @query
 def silence(spark, sf):
     f = Feed(spark, sf, written=True)

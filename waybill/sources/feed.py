@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,9 +16,14 @@ _INSTANT = r"^[+-]?\d{4,}-\d\d-\d\dT\d\d:\d\d(:\d\d([.]\d{1,9})?)?(Z|[+-]\d\d(:?
 
 
 def read_feed(spark: SparkSession, source: str, *, topic: str | None = None, stream: bool = False,
-              max_files_per_trigger: int | None = None, max_offsets_per_trigger: int | None = None) -> DataFrame:
+              max_files_per_trigger: int | None = None, max_offsets_per_trigger: int | None = None,
+              offsets: dict[int, tuple[int | None, int | None]] | None = None) -> DataFrame:
     """The feed with key, value, topic, partition, offset and timestamp, from its beginning.
 
+    ``offsets`` limits the read: for each partition the first offset and the one to stop before, either
+    may be None; partitions not named are left out. On files that is a filter Parquet takes down to its
+    row groups; a broker starts there, and a batch ends there (a stream has no end).
+
     ``source`` is a folder of Parquet files in that shape, or with ``topic`` the broker addresses
     of a Kafka cluster (needs the spark-sql-kafka package on the class path). The timestamp is
     taken for the time of reception, so the topic should stamp records on append.
@@ -26,9 +33,9 @@ def read_feed(spark: SparkSession, source: str, *, topic: str | None = None, str
         reader = reader.schema(M.FEED_SCHEMA)
         if stream and max_files_per_trigger is not None:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.parquet(source)
+        return _within(reader.parquet(source), offsets)
     reader = (reader.format("kafka").option("kafka.bootstrap.servers", source)
-              .option("subscribe", topic).option("startingOffsets", "earliest"))
+              .options(**_broker_range(topic, offsets, stream)))
     if stream and max_offsets_per_trigger is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return reader.load().select(
@@ -36,6 +43,31 @@ def read_feed(spark: SparkSession, source: str, *, topic: str | None = None, str
         "topic", "partition", "offset", "timestamp")
 
 
+def _within(feed: DataFrame, offsets) -> DataFrame:
+    if offsets is None:
+        return feed
+    chosen = F.lit(False)
+    for number, (first, end) in offsets.items():
+        here = F.col("partition") == number
+        if first is not None:
+            here = here & (F.col("offset") >= first)
+        if end is not None:
+            here = here & (F.col("offset") < end)
+        chosen = chosen | here
+    return feed.where(chosen)
+
+
+def _broker_range(topic: str, offsets, stream: bool) -> dict[str, str]:
+    """Options of the broker's reader. Fixed values: -2 is the earliest offset, -1 the latest."""
+    if offsets is None:
+        return {"subscribe": topic, "startingOffsets": "earliest"}
+    limits = {"assign": json.dumps({topic: sorted(offsets)}),
+              "startingOffsets": json.dumps({topic: {str(p): -2 if a is None else a for p, (a, _) in offsets.items()}})}
+    if not stream:
+        limits["endingOffsets"] = json.dumps({topic: {str(p): -1 if b is None else b for p, (_, b) in offsets.items()}})
+    return limits
+
+
 def parse_feed(feed: DataFrame, key_type: str = "string", keep: tuple[str, ...] = ()) -> DataFrame:
     """Decodes the JSON values; rows that do not decode stay, flagged ``malformed``. Columns ``keep`` stay.
 

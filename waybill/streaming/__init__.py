@@ -1,5 +1,5 @@
-from .ingest import IngestConfig, ingest, start
+from .ingest import IngestConfig, ingest, start, tick
 from .commands import register, replay, revise
 from .live import live_rates
 
-__all__ = ["IngestConfig", "ingest", "live_rates", "register", "replay", "revise", "start"]
+__all__ = ["IngestConfig", "ingest", "live_rates", "register", "replay", "revise", "start", "tick"]

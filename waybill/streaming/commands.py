@@ -12,31 +12,29 @@ from ..operators.skew import cut_lineage
 from ..operators.state import register_shipments, revise_estimates
 from ..plans.pipeline import outcome_stream
 from ..sources.feed import parse_feed
-from ..sources.store import Store, retrying
+from ..sources.store import Log, Store
 from .ingest import IngestConfig, publish, stored_for
 
 
 def register(store: Store, requests: DataFrame, batch: int) -> None:
     """Registers shipments. A request that comes again finds its shipment registered, so reruns are
     harmless and every batch is read, whatever its number."""
-    def work():
+    with store.writing():
         log = store.log()
-        attempt = store.begin(log)
+        new = store.begin(log)
         numbers = requests.select("carrier_code", "tracking_number")
-        store.write(register_shipments(requests, store.read("shipments", numbers.distinct(), log)), "shipments", attempt)
-        store.commit(attempt, "register", batch)
-    retrying(work)
+        new.put({"shipments": register_shipments(requests, store.read("shipments", numbers.distinct(), log))})
+        store.commit(new, "register", batch)
 
 
 def revise(store: Store, revisions: DataFrame, batch: int) -> None:
     """Replaces delivery estimates; a rerun replaces them by the same."""
-    def work():
+    with store.writing():
         log = store.log()
-        attempt = store.begin(log)
+        new = store.begin(log)
         touched = store.read("shipments", revisions.select("shipment_id").distinct(), log)
-        store.write(revise_estimates(revisions, touched), "shipments", attempt)
-        store.commit(attempt, "revise", batch)
-    retrying(work)
+        new.put({"shipments": revise_estimates(revisions, touched)})
+        store.commit(new, "revise", batch)
 
 
 def replay(store: Store, batch: int, clock, ids: DataFrame | None = None,
@@ -45,15 +43,16 @@ def replay(store: Store, batch: int, clock, ids: DataFrame | None = None,
 
     They take the normal pass against the tables as they are now, received at ``clock``. One that
     is stored meanwhile counts as done. What fails again stays open with one more retry. A replay
-    counts attempts, so rerunning exactly this ``batch`` does nothing.
+    counts attempts, so rerunning exactly this ``batch`` (numbers ascend) does nothing.
     """
-    if not store.has_batch("replay", batch):
-        retrying(lambda: _replay(store, batch, clock, ids, config))
+    with store.writing():
+        log = store.log()
+        if not log.has("replay", batch):
+            _replay(store, log, batch, clock, ids, config)
 
 
-def _replay(store: Store, batch: int, clock, ids: DataFrame | None, config: IngestConfig) -> None:
-    log = store.log()
-    attempt = store.begin(log)
+def _replay(store: Store, log: Log, batch: int, clock, ids: DataFrame | None, config: IngestConfig) -> None:
+    new = store.begin(log)
     keys = None if ids is None else ids.select("failed_event_id").distinct()
     failed = store.read("failed_events", keys, log)
     eligible = replay_eligible(failed, M.error_categories(store.spark), ids).persist()
@@ -66,10 +65,11 @@ def _replay(store: Store, batch: int, clock, ids: DataFrame | None, config: Inge
                   .withColumn("first_failed_at", F.lit(None).cast("timestamp")))
         fits = eligible.count() <= config.broadcast_rows
         shipments = stored_for(store, log, "shipments", events.select("shipment_id"), fits)
-        history = stored_for(store, log, "tracking_events", events.select("event_id"), fits).select("event_id")
+        history = store.stored_ids(events.select("event_id"), log, fits)
         outcomes = cut_lineage(outcome_stream(events, shipments, config.vocabulary, history, policy=config.policy))
-        store.write(outcomes.withColumn("parked", F.lit(False)), "outcomes", attempt)
-        written = store.staged("outcomes", attempt)
+        new.put({"outcomes": outcomes.withColumns({
+            "parked": F.lit(False), "attempts": F.lit(1), "next_due_at": F.lit(None).cast("timestamp")})})
+        written = new.rows("outcomes")
 
         # a payload that no longer decodes is a failure of unknown kind
         again = failures_of(outcomes, keep=("key",)).withColumn("error_category", F.when(
@@ -78,7 +78,7 @@ def _replay(store: Store, batch: int, clock, ids: DataFrame | None, config: Inge
         attempts = eligible.select("failed_event_id").join(
             again.select(F.col("key").alias("failed_event_id"), "error_category", "error_type", "error_message",
                          "failed_at"), "failed_event_id", "left")
-        publish(store, log, written, shipments, attempt, fits, replay_result(eligible, attempts))
-        store.commit(attempt, "replay", batch)
+        publish(store, log, written, shipments, new, fits, replay_result(eligible, attempts))
+        store.commit(new, "replay", batch)
     finally:
         eligible.unpersist()
