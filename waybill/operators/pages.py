@@ -83,19 +83,19 @@ def failed_events_page(failed: DataFrame, categories: DataFrame, status: str | N
 
 def history_after(history: DataFrame, cursors: DataFrame, size: int = 20) -> DataFrame:
     """The page of history after a row, per shipment. ``cursors`` has that row of each shipment asked for:
-    ``shipment_id``, its order columns and its ``position``."""
-    return _group_after(history, ["shipment_id"], history_view, _HISTORY_ORDER, cursors, size, "history")
+    ``shipment_id``, its order columns and its ``position``. It is what a client holds, so a table; it is counted."""
+    return _group_after(history, ["shipment_id"], history_view, HISTORY_ORDER, cursors, size, "history")
 
 
 def notifications_after(notifications: DataFrame, cursors: DataFrame, size: int = 20) -> DataFrame:
     """The page of notifications after a row, per shipment."""
-    return _group_after(notifications, ["shipment_id"], notification_view, _NOTIFICATION_ORDER, cursors, size, "notifications")
+    return _group_after(notifications, ["shipment_id"], notification_view, NOTIFICATION_ORDER, cursors, size, "notifications")
 
 
 def retailer_after(shipments: DataFrame, cursors: DataFrame, status: str | None = None, size: int = 20) -> DataFrame:
     """The page of shipments after a row, per retailer."""
     chosen = shipments if status is None else shipments.where(F.col("current_status") == status)
-    return _group_after(chosen, ["retailer_id"], lambda df: shipment_view(df).drop("retailer_id"), _RETAILER_ORDER,
+    return _group_after(chosen, ["retailer_id"], lambda df: shipment_view(df).drop("retailer_id"), RETAILER_ORDER,
                         cursors, size, "retailer")
 
 
@@ -107,19 +107,20 @@ def failed_events_after(failed: DataFrame, categories: DataFrame, last: dict | N
     chosen = failed if status is None else failed.where(F.col("status") == status)
     rest, base = chosen, 0
     if last is not None:
-        rest, base = rest.where(_comes_after(_FAILED_ORDER, lambda c: F.lit(last[c]))), last["position"]
-    cut = rest.orderBy(*_sorted(_FAILED_ORDER)).limit(size)          # each task sends one page
-    place = F.row_number().over(Window.orderBy(*_sorted(_FAILED_ORDER))) + base      # over that page alone
+        rest, base = rest.where(_comes_after(FAILED_ORDER, lambda c: F.lit(last[c]))), last["position"]
+    cut = rest.orderBy(*_sorted(FAILED_ORDER)).limit(size)          # each task sends one page
+    place = F.row_number().over(Window.orderBy(*_sorted(FAILED_ORDER))) + base      # over that page alone
     total = chosen.agg(F.count("*")).scalar()
     paged = failed_event_view(cut.withColumn("position", place), categories, "position").withColumn("total_elements", total)
     return (paged.withColumn("size", F.lit(size))
             .withColumn("has_next", F.lit(base + size) < F.col("total_elements")).orderBy("position"))
 
 
-_HISTORY_ORDER = (("event_time", True), ("sequence_number", True), ("event_id", True))
-_NOTIFICATION_ORDER = (("created_at", True), ("notification_id", True))
-_RETAILER_ORDER = (("created_at", False), ("shipment_id", True))
-_FAILED_ORDER = (("last_failed_at", False), ("failed_event_id", True))
+_BROADCAST_ROWS = 1_000_000
+HISTORY_ORDER = (("event_time", True), ("sequence_number", True), ("event_id", True))
+NOTIFICATION_ORDER = (("created_at", True), ("notification_id", True))
+RETAILER_ORDER = (("created_at", False), ("shipment_id", True))
+FAILED_ORDER = (("last_failed_at", False), ("failed_event_id", True))
 
 
 def _sorted(order) -> list[Column]:
@@ -140,6 +141,8 @@ def _comes_after(order, cursor) -> Column:
 def _group_after(df: DataFrame, by: list[str], view, order, cursors: DataFrame, size: int, kind: str) -> DataFrame:
     size = _checked(0, size, kind)
     held = cursors.select(*by, *[F.col(c).alias(f"_after_{c}") for c, _ in order], F.col("position").alias("_base"))
+    if cursors.count() <= _BROADCAST_ROWS:       # then rows are filtered, and limited, where they are read
+        held = F.broadcast(held)
     rest = df.join(held, by).where(_comes_after(order, lambda c: F.col(f"_after_{c}")))
     ranked = rest.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*_sorted(order))))
     rows = ranked.where(F.col("_rn") <= size)
@@ -151,7 +154,7 @@ def _group_after(df: DataFrame, by: list[str], view, order, cursors: DataFrame,
             .withColumn("has_next", F.col("_end") < F.col("total_elements")).drop("_end"))
 
 
-def last_rows(page: DataFrame, by: str, order=_HISTORY_ORDER) -> DataFrame:
+def last_rows(page: DataFrame, by: str, order=HISTORY_ORDER) -> DataFrame:
     """The last row of each group of a page, as the cursor of the next."""
     names = ["position", *[c for c, _ in order]]
     return page.groupBy(by).agg(F.max_by(F.struct(*names), "position").alias("_c")).select(by, *[f"_c.{n}" for n in names])

@@ -396,22 +396,22 @@ def failed_events_page(spark, sf):
 def history_page_after(spark, sf):
     """The page after the second one's last rows."""
     f = Feed(spark, sf, written=True)
-    cursors = pages.last_rows(pages.history_page(f.history, f.shipments, page=1, size=15), "shipment_id")
+    cursors = cut_lineage(pages.last_rows(pages.history_page(f.history, f.shipments, page=1, size=15), "shipment_id"))
     return pages.history_after(f.history, cursors, size=15)
 
 
 @query
 def notifications_page_after(spark, sf):
     f = Feed(spark, sf, written=True)
-    cursors = pages.last_rows(pages.notifications_page(f.notifications, f.shipments, page=0, size=5), "shipment_id",
-                              pages._NOTIFICATION_ORDER)
+    first = pages.notifications_page(f.notifications, f.shipments, page=0, size=5)
+    cursors = cut_lineage(pages.last_rows(first, "shipment_id", pages.NOTIFICATION_ORDER))
     return pages.notifications_after(f.notifications, cursors, size=5)
 
 
 @query
 def retailer_page_after(spark, sf):
     f = Feed(spark, sf, written=True)
-    cursors = pages.last_rows(pages.retailer_page(f.state, page=0, size=20), "retailer_id", pages._RETAILER_ORDER)
+    cursors = cut_lineage(pages.last_rows(pages.retailer_page(f.state, page=0, size=20), "retailer_id", pages.RETAILER_ORDER))
     return pages.retailer_after(f.state, cursors, size=20)
 
 
