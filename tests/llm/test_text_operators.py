@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from waybill.llm import bpe, common, decontaminate, jaccard, language, lm, pii, quality, suffixes, token_files, toxicity
+from waybill.llm import bpe, common, decontaminate, jaccard, language, lm, pii, pii_table, quality, suffixes, token_files, toxicity
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n long, words string, row int"
@@ -148,8 +148,8 @@ def test_base_spans():
         assert pii.base_spans(text) == plain_spans(text)
 
 
-def test_field_learns_shapes(docs, edge, empty):
-    field = pii.learn(docs)
+def test_field_learns_shapes(edge, empty):
+    field = pii.learn()
     base, every = pii.spans_of(["call (454) 555-9913 now", "a 2.0 of 3", None or ""], field)
     assert base == [[], [], []] and pii.joined(every[0]) == "phone:5:19" and every[1:] == [[], []]
     found = pii.find(edge, field).collect()
@@ -159,7 +159,41 @@ def test_field_learns_shapes(docs, edge, empty):
     assert set(map(tuple, twelve["base_spans"])) <= set(map(tuple, twelve["spans"]))
     masked = {r["doc_id"]: r["text"] for r in pii.mask(edge, field).collect()}
     assert masked[12] == "Mail <email> or <phone>." and masked[1] is None and masked[6] == LONG
-    assert pii.learn(empty) is None and pii.find(empty, None).count() == 0
+    assert pii.find(empty, None).count() == 0 and pii.find(empty, field).count() == 0
+
+
+def test_field_on_lines_it_has_not_seen():
+    """Held-out lines of the table, drawn with other values: their wordings and formats are new to the field."""
+    field, found, wanted, right = pii.learn(), 0, 0, 0
+    for text, spans in pii_table.rows(True, 6, seed=99):
+        got = [(pii.ALL_KINDS[k], a, b) for k, a, b in pii.spans_of([text], field)[1][0]]
+        wanted, found = wanted + len(spans), found + len(got)
+        right += sum(any(g[0] == k and g[1] < b and g[2] > a for g in got) for k, a, b in spans)
+    assert right / wanted > 0.7 and right / found > 0.85
+
+
+def test_field_adds_what_no_pattern_has():
+    texts = ['so token = "be8a8e7152a5c568b612dc7f4042dd9566113270" here', "his password=135299847ac0e0f0dc and more",
+             "call 555-123-4567 today", "write jane.doe[at]mail.com soon", "in 1999 and 2004, version 2.0.14 of page 345",
+             "commit 3f2a9c01b7d4e5f6a8b9c0d1e2f3a4b5c6d7e8f9 fixed it", ""]
+    base, every = pii.spans_of(texts, pii.learn())
+    assert not any(base)
+    assert [pii.joined(e) for e in every] == ["secret:12:52", "secret:13:31", "phone:5:17", "email:6:26", "", "", ""]
+
+
+def test_op2_columns(spark, docs):
+    """All columns against the patterns by brute force, and the field run by itself on each text."""
+    texts = dict(texts_of(docs))
+    field, added = pii.learn(), 0
+    for r in pii.op2_pii(spark, SF).collect():
+        text = texts[r["doc_id"]] or ""
+        plain, every = plain_spans(text), pii.spans_of([text], field)[1][0]
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in plain).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == i for s in plain) for i in range(4)]
+        assert r["spans"] == ",".join(f"{pii.ALL_KINDS[k]}:{a}:{b}" for k, a, b in sorted(every))
+        assert set(plain) <= set(every) and (r["spans"] != "" or not plain)
+        added += len(every) - len(plain)
+    assert added > 0
 
 
 def test_overlapping_spans_are_masked_whole(spark):

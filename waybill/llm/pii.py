@@ -1,18 +1,19 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word shapes.
 
-The patterns give the base spans. The field labels the words of segments, runs of words with a digit or
-an at-sign that follow each other after one space; other words are labelled "outside" by constraint, so
-segments are independent and Viterbi runs over batches of them in numpy. It is trained on a small table:
-segments of a bounded sample of documents, labelled by the base spans, and the same with the country
-code of a phone number left out, or fewer parts of an address (labelled outside). Its spans are added where they touch no base span.
-
-Nulls: a null text is an empty one, without spans. Positions are code points, ends exclusive. Without a
-segment to learn from, only the base spans are found. Ties between labels go to the first.
+The patterns give the base spans. The field labels the words of segments, runs of words with a digit, an
+at-sign (spelled out in brackets too) or a named secret that follow each other after one space; other words
+are "outside" by constraint, so segments are independent and Viterbi runs over batches of them in numpy.
+It sees shapes, the words before, and the name a value is assigned to. It is trained on a small labelled
+table of its own (``pii_table``): numbers without country code, addresses spelled out, secrets, and what only
+looks like them. Its spans are added where they touch no base span; secrets are a kind of their own.
+
+Nulls: a null text is an empty one, without spans. Positions are code points, ends exclusive. Ties between
+labels go to the first.
 """
 
 from __future__ import annotations
 
-import hashlib
+import functools
 import re
 import zlib
 from dataclasses import dataclass
@@ -23,23 +24,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm import common as C
+from waybill.llm import pii_table
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone")     # of the patterns
+ALL_KINDS = (*KINDS, "secret")
 
 
 @dataclass(frozen=True)
 class PiiConfig:
-    documents: int = 3000   # bound of the sample of documents
-    segments: int = 20      # bound of the segments of one of them
-    words: int = 16         # longer segments are not learned from
-    bits: int = 12          # hashed features
-    steps: int = 120        # of the fit
+    copies: int = 12        # times each line of the table is drawn anew
+    bits: int = 13          # hashed features
+    steps: int = 100        # of the fit
     rate: float = 0.2
     ridge: float = 1e-3
 
 
 # ---- base spans -------------------------------------------------------------------------------
 
+# The four patterns
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -88,10 +90,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 # ---- segments and features --------------------------------------------------------------------
 
-MARK, GAP = re.compile(r"[0-9@]"), re.compile(r"\s")
+MARK = re.compile(r"[0-9@]|[\[(]at[\])]|(?:[Pp]ass(?:word|wd|wort)|[Ss]ecret|[Tt]oken|[Kk]ey)[=:](?=\S)")
+GAP, NAMED = re.compile(r"\s"), re.compile(r"^[\"'(]*([A-Za-z_-]+)[=:]+")
 OUTSIDE = 0
-LABELS = 1 + 2 * len(KINDS)  # outside, then first and further word of each kind
+LABELS = 1 + 2 * len(ALL_KINDS)  # outside, then first and further word of each kind
 BOUND = ".,;:!?\"'()[]<>"
+HEXADECIMAL = re.compile(r"[0-9a-f]{10,}\Z|[0-9A-F]{10,}\Z")
+MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])[0-9A-Za-z+/_-]{8,}\Z")
 
 
 def segments(text: str) -> list[list[tuple[int, int]]]:
@@ -113,6 +118,11 @@ def segments(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+def words_before(text: str, at: int) -> list[str]:
+    """The two words before a place, nearest first, lower-cased and cut to twelve letters."""
+    return [w.lower().strip(BOUND)[:12] for w in reversed(text[max(0, at - 40):at].split()[-2:])]
+
+
 def shape(word: str) -> str:
     return re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]+", "A", re.sub(r"[0-9]", "9", word)))
 
@@ -127,17 +137,34 @@ def _sound(word: str, digits: int) -> str:
     return ""
 
 
-def _features(words: list[str], bits: int) -> list[list[int]]:
-    """Hashed features of each word: its shape, short and long, its digits, and its neighbours' shapes."""
+def _mixed(word: str) -> str:
+    """How long a value is, and whether it is hexadecimal or mixes letters and digits."""
+    value = NAMED.sub("", word).strip(BOUND)
+    kind = "d" if value.isdigit() else "h" if HEXADECIMAL.match(value) else "m" if MIXED.match(value) else "o"
+    return f"{kind}{min(len(value) // 4, 10)}"
+
+
+@functools.lru_cache(1 << 16)
+def _hashed(name: str, bits: int) -> int:
+    return zlib.crc32(name.encode()) & ((1 << bits) - 1)
+
+
+def _features(words: list[str], bits: int, before: list[str]) -> list[list[int]]:
+    """Hashed features of each word: its shape, short and long, its digits, its neighbours' shapes, the words
+    before it and the name before an equals sign or colon. ``before`` are the words before the segment."""
     shapes = [shape(w.strip(BOUND[:6])) for w in words]
     short = [re.sub(r"9+", "9", s) for s in shapes]
-    out = []
+    out, left = [], [*reversed(before)]
     for i, w in enumerate(words):
         digits = sum(map(str.isdigit, w))
+        named = NAMED.match(w)
         names = ("s" + shapes[i][:40], "c" + short[i][:40], f"d{min(digits, 20)}", f"p{w[:1] if not w[:1].isalnum() else ''}",
                  f"n{w.count('.')}{w.count('-')}{w.count('@')}", "v" + _sound(w, digits),
-                 "l" + (short[i - 1][:20] if i else "^"), "r" + (short[i + 1][:20] if i + 1 < len(words) else "$"))
-        out.append([zlib.crc32(x.encode()) & ((1 << bits) - 1) for x in names])
+                 "l" + (short[i - 1][:20] if i else "^"), "r" + (short[i + 1][:20] if i + 1 < len(words) else "$"),
+                 "b" + (left[-1] if left else "^"), "a" + (left[-2] if len(left) > 1 else "^"), "m" + _mixed(w),
+                 "k" + (named.group(1).lower()[:16] if named else "-"))
+        out.append([_hashed(x, bits) for x in names])
+        left.append("9" if digits else w.lower().strip(BOUND)[:12])
     return out
 
 
@@ -223,40 +250,15 @@ def fit(table: list[tuple[list, list]], config: PiiConfig) -> Field | None:
     return Field(*par)
 
 
-def learn(docs: DataFrame, config: PiiConfig = PiiConfig()) -> Field | None:
-    C.ship(docs.sparkSession)
-    chosen = (docs.select("doc_id").filter("doc_id is not null").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(config.documents))
-
-    def cut(batches):
-        for batch in batches:
-            out = []
-            for text in C.as_text(batch.column(0)).to_pylist():
-                spans = base_spans(text)
-                for words in segments(text)[:config.segments]:
-                    if len(words) <= config.words:
-                        labels = _labels(words, [s for s in spans if s[1] < words[-1][1] and s[2] > words[0][0]])
-                        out.append(([text[a:b] for a, b in words], labels))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in out], pa.list_(pa.string())), pa.array([y for _, y in out], pa.list_(pa.int32()))],
-                names=["words", "labels"])
-
-    # bounded: ``documents`` times ``segments`` short lists
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
-            .mapInArrow(cut, "words array<string>, labels array<int>").collect())
-    table = sorted((tuple(r["words"]), tuple(r["labels"])) for r in rows)
-    phone = 1 + 2 * KINDS.index("phone")
-    more = []
-    for words, labels in table:
-        for i, y in enumerate(labels):
-            if y == phone and words[i].startswith("+") and labels[i + 1:i + 2] == (phone + 1,):
-                more.append((words[:i] + words[i + 1:], labels[:i] + (phone,) + labels[i + 2:]))
-                break
-        for i, y in enumerate(labels):
-            parts = words[i].split(".")
-            if y == 1 + 2 * KINDS.index("ip") and len(parts) == 4:  # numbers of fewer parts are no addresses
-                more += [((x,), (OUTSIDE,)) for x in (".".join(parts[:3]), "-".join(parts[:3]), ".".join(parts[:2]))]
-    return fit([(_features(list(w), config.bits), list(y)) for w, y in [*table, *more]], config)
+def learn(config: PiiConfig = PiiConfig()) -> Field | None:
+    """The field from the labelled table: a few hundred short segments, whatever the corpus."""
+    table = []
+    for text, spans in pii_table.rows(False, config.copies):
+        spans = [(ALL_KINDS.index(k), a, b) for k, a, b in spans]
+        for words in segments(text):
+            near = words_before(text, words[0][0])
+            table.append((_features([text[a:b] for a, b in words], config.bits, near), _labels(words, spans)))
+    return fit(table, config)
 
 
 def _added(text: str, base: list, field: Field, labels, words) -> list[tuple[int, int, int]]:
@@ -264,6 +266,9 @@ def _added(text: str, base: list, field: Field, labels, words) -> list[tuple[int
     for (a, b), y in [*zip(words, labels), ((0, 0), OUTSIDE)]:
         if open_ and (y == OUTSIDE or y % 2 == 1 or (y - 1) // 2 != open_[0]):
             k, s, e = open_
+            named = NAMED.match(text[s:e])
+            if ALL_KINDS[k] == "secret" and named:
+                s += named.end()                        # the value, not its name
             while s < e and text[s] in BOUND.replace("(", ""):
                 s += 1
             while e > s and text[e - 1] in BOUND:
@@ -285,7 +290,7 @@ def spans_of(texts: list[str], field: Field | None, config: PiiConfig = PiiConfi
         for i, t in enumerate(texts):
             for words in segments(t):
                 where.append((i, words))
-                batch.append(_features([t[a:b] for a, b in words], config.bits))
+                batch.append(_features([t[a:b] for a, b in words], config.bits, words_before(t, words[0][0])))
         for (i, words), labels in zip(where, field.decode(batch)):
             if (labels != OUTSIDE).any():
                 near = [s for s in base[i] if s[1] < words[-1][1] and s[2] > words[0][0]]
@@ -294,7 +299,7 @@ def spans_of(texts: list[str], field: Field | None, config: PiiConfig = PiiConfi
 
 
 def joined(spans) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
+    return ",".join(f"{ALL_KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
 def find(docs: DataFrame, field: Field | None, config: PiiConfig = PiiConfig()) -> DataFrame:
@@ -304,7 +309,7 @@ def find(docs: DataFrame, field: Field | None, config: PiiConfig = PiiConfig())
         for batch in (part for whole in batches for part in C.slices(whole, 1)):
             texts = C.as_text(batch.column(1)).to_pylist()
             pair = spans_of(texts, field, config)
-            cols = [pa.array([[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in s] for s in x], kind) for x in pair]
+            cols = [pa.array([[{"kind": ALL_KINDS[k], "start": a, "end": b} for k, a, b in s] for s in x], kind) for x in pair]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["doc_id", "base_spans", "spans"])
 
     C.ship(docs.sparkSession)
@@ -342,7 +347,7 @@ def mask(docs: DataFrame, field: Field | None, config: PiiConfig = PiiConfig())
                 if spans:
                     rest, at = [], 0
                     for k, a, b in merged(spans):
-                        rest += [texts[j][at:a], f"<{KINDS[k]}>"]
+                        rest += [texts[j][at:a], f"<{ALL_KINDS[k]}>"]
                         at = b
                     out[j] = "".join(rest) + texts[j][at:]
             yield batch.set_column(i, "text", pa.array(out, pa.string()))
@@ -353,7 +358,7 @@ def mask(docs: DataFrame, field: Field | None, config: PiiConfig = PiiConfig())
 
 def op2_pii(spark, sf_dir):
     docs = C.scan(spark, sf_dir, "documents")
-    found = find(docs, learn(docs))
+    found = find(docs, learn())
     text = lambda c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
     return found.select(
         "doc_id", *(F.expr(f"cast(size(filter(base_spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS),
@@ -364,7 +369,7 @@ def pii_stage(spark, docs, sf_dir):
     """Pipeline stage: personal data in the texts is masked; ``n_chars`` follows, other columns stay. Null and
     empty texts hold nothing and stay as they are."""
     C.record_batches(docs.sparkSession, 1000)
-    out = mask(docs, learn(docs))
+    out = mask(docs, learn())
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed = F.when(F.col("text").isNotNull(), F.char_length("text")).otherwise(F.col("n_chars")).cast(kind)
