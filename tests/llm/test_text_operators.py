@@ -181,11 +181,12 @@ def test_field_adds_what_no_pattern_has():
     assert [pii.joined(e) for e in every] == ["secret:12:52", "secret:13:31", "phone:5:17", "email:6:26", "", "", ""]
 
 
-def test_op2_columns(spark, docs):
+def test_op2_columns(spark):
     """All columns against the patterns by brute force, and the field run by itself on each text."""
-    texts = dict(texts_of(docs))
+    large = SF.replace("0.001", "0.01")
+    texts = dict(texts_of(common.scan(spark, large, "documents")))
     field, added = pii.learn(), 0
-    for r in pii.op2_pii(spark, SF).collect():
+    for r in pii.op2_pii(spark, large).collect():
         text = texts[r["doc_id"]] or ""
         plain, every = plain_spans(text), pii.spans_of([text], field)[1][0]
         assert r["base_sha256"] == hashlib.sha256(",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in plain).encode()).hexdigest()
@@ -286,6 +287,24 @@ def test_gradient_is_the_slope():
         assert abs((loss(net.flat + step) - loss(net.flat - step)) / 2e-5 - slope[i]) < 1e-6
 
 
+def test_word_hashes_tell_apart_what_sums_of_powers_do_not():
+    """Two arrangements of 1,024 letters that a polynomial modulo 2**64 gives one hash; and all short strings."""
+    signs = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    texts = [signs, signs.translate(str.maketrans("ab", "ba")), "", "\x00", "\x00\x00", "a" * 8, "a" * 9, "a" * 16 + "b", "b" + "a" * 16]
+    texts += [a + b for a in "abc " for b in "xyz"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    starts = ends - [len(t) for t in texts]
+    assert len(set(common.word_hashes(data, starts, ends).tolist())) == len(texts)
+    doubled = np.frombuffer(("?" + "".join(texts)).encode(), np.uint8)         # a span's hash is its bytes' alone
+    assert (common.word_hashes(doubled, starts + 1, ends + 1) == common.word_hashes(data, starts, ends)).all()
+    first = common.span_hashes(data, starts[:2], ends[:2])
+    assert first[0] == first[1]
+    assert len(common.word_hashes(data, starts[:0], ends[:0])) == 0
+    lines = quality.base_columns([signs + "\n" + texts[1]]) if hasattr(quality, "base_columns") else None
+    assert lines is None or lines
+
+
 # ---- op4 and op7: classifiers ----------------------------------------------------------------------------
 
 def test_language(docs, edge, empty):

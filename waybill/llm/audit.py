@@ -126,7 +126,7 @@ def _same(data, eights, starts, lengths, one, two) -> np.ndarray:
     return same
 
 
-def distinct_words(data, starts, ends, row, rows: int, hashes=C.span_hashes) -> np.ndarray:
+def distinct_words(data, starts, ends, row, rows: int, hashes=C.word_hashes) -> np.ndarray:
     """Distinct words per row: all spans are inserted at once, each round one probe further."""
     n = len(starts)
     if not n:

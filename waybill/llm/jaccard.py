@@ -47,7 +47,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, n: int):
     rows = len(off) - 1
     low = C.LOWER[data]
     starts, ends, row = C.word_spans(low, off)
-    words = C.span_hashes(low, starts, ends)
+    words = C.word_hashes(low, starts, ends)
     count = np.bincount(row, minlength=rows)
     grams, first = C.gram_hashes(words, row, n)
     hashes, owner = [grams], [row[first]]

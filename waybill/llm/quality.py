@@ -96,9 +96,11 @@ def references(docs: DataFrame, config: QualityConfig = QualityConfig()):
     counts = (docs.filter("lang is not null").select("text", "lang")
               .mapInArrow(partial, "lang string, key long, n long")
               .groupBy("lang", "key").agg(F.sum("n").alias("n")))
-    order = Window.partitionBy("lang", F.col("key") >= 0).orderBy(F.desc("n"), "key")
-    top = (counts.withColumn("r", F.row_number().over(order))
-           .filter((F.col("r") <= config.n_common) | (F.col("key") < 0)).drop("r"))
+    counts = C.written(counts, "word-counts")
+    # a limit on the rank alone: each task sends no more than ``n_common`` words of a language
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
+    top = (counts.filter("key >= 0").withColumn("r", F.row_number().over(order))
+           .filter(F.col("r") <= config.n_common).drop("r").unionByName(counts.filter("key < 0")))
     out: dict = {}
     every: dict = {}
     for r in top.collect():  # at most n_common words and the classes for each language
@@ -143,7 +145,7 @@ def _measure(data: np.ndarray, off: np.ndarray, refs: list, config: QualityConfi
     lead = (data & 0xC0) != 0x80
     salt = C.mix(np.arange(n, dtype=np.uint64) + np.uint64(1))
 
-    grams, first = C.gram_hashes(C.span_hashes(data, starts, ends), row, 8)
+    grams, first = C.gram_hashes(C.word_hashes(data, starts, ends), row, 8)
     twice = first[_repeated(C.mix(grams + salt[row[first]]))]
     cover = np.zeros(len(starts) + 8, np.int64)
     cover[twice] += 1
@@ -156,7 +158,7 @@ def _measure(data: np.ndarray, off: np.ndarray, refs: list, config: QualityConfi
     line_row = np.repeat(np.arange(n), C.per_row(data == 10, off) + 1)
     sums = np.concatenate([[0], np.cumsum(~C.SPACE[data])])
     full = np.flatnonzero(sums[line_end] > sums[line_start])
-    h, r = C.span_hashes(data, line_start[full], line_end[full]), line_row[full]
+    h, r = C.word_hashes(data, line_start[full], line_end[full]), line_row[full]
     pair = np.lexsort((h, r))
     h, r = h[pair], r[pair]
     copies = r[1:][(h[1:] == h[:-1]) & (r[1:] == r[:-1])]
