@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from waybill.llm import bpe, common, decontaminate, jaccard, language, lm, pii, pii_table, quality, suffixes, token_files, toxicity
@@ -316,6 +317,14 @@ def test_language(docs, edge, empty):
     for i in (1, 2, 3, 9):
         assert got[i]["lang_pred"] == "und" and got[i]["rejected"] and got[i]["score"] == 0
     assert got[6]["lang_pred"] in model.langs
+    # what is too far depends on the length: learned languages stay at any, others go, also short ones
+    known = [r["text"] for r in docs.filter(common.crc32_mod("doc_id", 3) == 1).collect() if len(r["text"]) > 600]
+    for size in (20, 50, 100, 300):
+        far = language.judge(model, pa.array([t[:size] for t in known]))[2]
+        assert far.mean() < 0.05, size
+    others = ["Это предложение написано на русском языке.", "Это предложение написано на русском языке. " * 6,
+              "これは日本語の文章です。", "これは日本語の文章です。" * 20, "xkcd qwrtz pfgh bvnm zxcv " * 3, "xkcd qwrtz pfgh bvnm zxcv " * 20]
+    assert language.judge(model, pa.array(others))[2].tolist() == [True] * len(others)
     assert language.learn(empty) is None and language.identify(edge, None).filter("lang_pred <> 'und'").count() == 0
     assert language.identify(empty, model).count() == 0
 

@@ -3,7 +3,9 @@
 A text is a vector of hashed byte n-gram counts (letters and white space, in lower case), damped, weighted by inverse document
 frequency and normalised. Each language has several centroids, found by spherical k-means on a bounded
 sample of labelled documents; the language of the centroid with the greatest cosine is predicted. A
-prediction is rejected if the cosine is too small for that centroid.
+prediction is rejected if the cosine is too small for that centroid. Short texts have smaller cosines, so what
+is too small depends on the length: it is learned from the same documents cut to several lengths, and
+falls smoothly between them.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0 and counts as rejected. Documents
 without a language are not learned from. Without anything to learn from, every text is ``und``.
@@ -30,7 +32,7 @@ class LanguageConfig:
     centroids: int = 3
     rounds: int = 10              # of k-means
     reject_factor: float = 0.5    # of the least ordinary cosine of the centroid's own documents
-    reject_bytes: int = 160        # shorter texts are rejected only if they share no n-gram at all
+    lengths: tuple = (16, 32, 64, 128, 256, 512)    # bytes that documents are cut to, to learn from
 
 
 def gram_index(data: np.ndarray, off: np.ndarray, n: int, bits: int):
@@ -81,6 +83,7 @@ class LanguageModel:
     langs: list            # of each centroid
     centroids: np.ndarray
     least: np.ndarray      # cosine below which a centroid rejects
+    short: np.ndarray      # the same for texts of each of the config's lengths, centroid x length
     idf: np.ndarray
     config: LanguageConfig
 
@@ -92,6 +95,21 @@ class LanguageModel:
         return best, np.clip(cosine[np.arange(len(best)), best], 0, 1).astype(float)
 
 
+    def rejects(self, best, cosine, size):
+        """Whether texts of ``size`` bytes are too far from their nearest centroid."""
+        if not len(best):
+            return np.zeros(0, bool)
+        at = np.log2(np.maximum(size, 1))
+        marks = np.log2(self.config.lengths)
+        high = np.clip(np.searchsorted(marks, at), 1, len(marks) - 1)
+        share = np.clip((at - marks[high - 1]) / (marks[high] - marks[high - 1]), 0, 1)
+        least = self.short[best, high - 1] * (1 - share) + self.short[best, high] * share
+        least *= np.minimum(1, size / self.config.lengths[0])          # shorter still: down to zero
+        whole = size >= self.config.lengths[-1]
+        least = np.where(whole, self.least[best], np.minimum(least, self.least[best]))
+        return (cosine <= 0) | (cosine < least)
+
+
 def _cluster(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
     centres = [_unit(x.mean(0))]
     while len(centres) < min(k, len(x)):
@@ -119,19 +137,23 @@ def learn(docs: DataFrame, config: LanguageConfig = LanguageConfig()) -> Languag
 
     def vectors(batches):
         for batch in batches:
-            out = [row.tobytes() for _, _, data, off in C.blocks(batch.column(1)) for row in _counts(data, off, config)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["lang", "v"])
-
-    # bounded: per_language rows of each language, one vector of 2**bits numbers each
+            out, heads = [], []
+            for _, _, data, off in C.blocks(batch.column(1)):
+                out += [row.tobytes() for row in _counts(data, off, config)]
+                heads += [data[i:min(j, i + config.lengths[-1])].tobytes() for i, j in zip(off[:-1], off[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array(heads, pa.binary())],
+                                             names=["lang", "v", "head"])
+
+    # bounded: per_language rows of each language, one vector of 2**bits numbers and a short start of the text each
     sample = (known.select("doc_id", "lang", "text")
               .join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
-              .mapInArrow(vectors, "lang string, v binary").toPandas())
+              .mapInArrow(vectors, "lang string, v binary, head binary").toPandas())
     if not len(sample):
         return None
     x = np.stack([np.frombuffer(v, np.float32) for v in sample["v"]])
     lang = sample["lang"].to_numpy()
     order = sorted(range(len(x)), key=lambda i: (lang[i], sample["v"][i]))  # free of the order of rows
-    x, lang = x[order], lang[order]
+    x, lang, heads = x[order], lang[order], sample["head"].to_numpy()[order]
     idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1).astype(np.float32)
     x = _unit(np.log1p(x) * idf)
     names, centroids, least = [], [], []
@@ -143,7 +165,31 @@ def learn(docs: DataFrame, config: LanguageConfig = LanguageConfig()) -> Languag
             names.append(name)
             centroids.append(c)
             least.append(float(np.quantile(cosine, 0.01)) * config.reject_factor)
-    return LanguageModel(names, np.array(centroids, np.float32), np.array(least), idf, config)
+    centroids, least = np.array(centroids, np.float32), np.array(least)
+    return LanguageModel(names, centroids, least, _short(heads, lang, names, centroids, least, idf, config), idf, config)
+
+
+def _short(heads, lang, names, centroids, least, idf, config) -> np.ndarray:
+    """Least cosines of texts of each length: of a language's documents cut to it; of all languages' where it
+    has fewer than twenty that long, those of whole texts where nobody has."""
+    out = np.repeat(least[:, None], len(config.lengths), axis=1)
+    for k, size in enumerate(config.lengths):
+        long = np.array([len(h) >= size for h in heads])
+        if not long.any():
+            continue
+        cut = [h[:size] for h in heads[long]]
+        off = np.cumsum([0, *map(len, cut)])
+        x = _unit(np.log1p(_counts(np.frombuffer(b"".join(cut), np.uint8), off, config)) * idf)
+        own = np.array([[n == g for n in names] for g in lang[long]])
+        cosine = np.where(own, x @ centroids.T, -1).max(1)
+        cosine, some = np.maximum(cosine, 0), x.any(1)                  # without a letter nothing is learned
+        if not some.any():
+            continue
+        for c, name in enumerate(names):
+            mine = some & (lang[long] == name)
+            mine = mine if mine.sum() >= 20 else some
+            out[c, k] = float(np.quantile(cosine[mine], 0.01)) * config.reject_factor
+    return out
 
 
 def judge(model: LanguageModel | None, column):
@@ -157,8 +203,7 @@ def judge(model: LanguageModel | None, column):
             best, cosine = model.nearest(data, off)
             pred[a:b] = np.array(model.langs, object)[best]
             score[a:b] = cosine
-            least = np.where(np.diff(off) < model.config.reject_bytes, 0, model.least[best])
-            far[a:b] = (cosine <= 0) | (cosine < least)
+            far[a:b] = model.rejects(best, cosine, np.diff(off))
     pred[~letters], score[~letters], far[~letters] = "und", 0, True
     return pred, score, far
 
