@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from waybill.llm import common as C
 
-#: Fixed value: the public pattern that cuts text before the merges (alternatives in another order match alike).
+#: Fixed value: the public pattern that cuts text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space that the unit-wise cut does not cover: such pieces are cut by the pattern alone.
 ODD_SPACE = re.compile(r"[^\S\n ]|\s\s|\A\s|\s\Z|\x00")

@@ -7,8 +7,8 @@ parts and their bases, prefix sums of the parts' lengths, are the rows of a smal
 names the files of the attempts that succeeded, so a lost executor's half-written files are never read.
 Reading maps the files into memory where the shared folder is a mounted path.
 
-Nulls: a null text is an empty one (its end token only); null ids come first. Rows with equal ids keep
-an arbitrary order among themselves.
+Nulls: a null text is an empty one (its end token only); null ids come first. Rows with equal ids are
+in the order of their packed token ids.
 """
 
 from __future__ import annotations
@@ -161,7 +161,7 @@ def write(encoded: DataFrame, ids: DataFrame, folder: str, dtype: str, part_docs
     disk.create_dir(root, recursive=True)
     rows = (encoded.select("doc_id", "ids").mapInArrow(number, "part int, doc_id long, ids binary")
             .repartitionById(parts, F.col("part"))
-            .sortWithinPartitions("part", F.col("doc_id").asc_nulls_first())
+            .sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "ids")  # rows of one id: by their ids
             .mapInArrow(run, "part int, path string, n_docs long, n_tokens long"))
     found = C.written(rows, "token-parts").orderBy("part").collect()  # one row for each part
     bases = np.cumsum([0, *(r["n_tokens"] for r in found)])
