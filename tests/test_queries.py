@@ -3,10 +3,10 @@
 import pytest
 
 from compare import compare, connect
+from waybill.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["outcome_stream", "incremental_outcomes", "current_state_volume", "parse_feed", "validate_events",
-         "failed_events_upsert", "history_page", "register_rejected", "alerts", "replay_result"]
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -22,5 +22,4 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_every_query_has_its_sql():
     from waybill.plans.oracle import ORACLE
-    from waybill.plans.registry import QUERIES
     assert set(QUERIES) == set(ORACLE)

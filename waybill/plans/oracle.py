@@ -2,6 +2,9 @@
 
 Written independently of the operators: the fold compares text-encoded keys in running windows,
 redeliveries are found row by row, pages are numbered in full.
+
+Fixed values in the statements below: carrier codes, statuses, error categories, the texts of violations and
+error messages, limits of lengths, page sizes, and the alerts' names, thresholds and hold times.
 """
 
 from __future__ import annotations
