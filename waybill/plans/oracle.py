@@ -469,7 +469,7 @@ def _after(name: str, page: int) -> None:
         ORACLE[name][ORACLE[name].index("  CAST(ceil(total"):ORACLE[name].index(f"{page} + 1 <")], "  ")
 
 
-for _name, _size, _from in (("history", 15, 2), ("notifications", 5, 1), ("retailer", 20, 1)):
+for _name, _size, _from in (("history", 15, 2), ("notifications", 5, 1), ("retailer", 3, 1)):
     _sql = {"history": ("history", "shipment_id", f'shipment_id, {_VIEW}, "position"', "event_time, sequence_number, event_id"),
             "notifications": ("notifications", "shipment_id", """shipment_id, notification_id, source_event_id,
   notification_type, channel, status, created_at, "position\"""", "created_at, notification_id"),

@@ -411,8 +411,8 @@ def notifications_page_after(spark, sf):
 @query
 def retailer_page_after(spark, sf):
     f = Feed(spark, sf, written=True)
-    cursors = cut_lineage(pages.last_rows(pages.retailer_page(f.state, page=0, size=20), "retailer_id", pages.RETAILER_ORDER))
-    return pages.retailer_after(f.state, cursors, size=20)
+    cursors = cut_lineage(pages.last_rows(pages.retailer_page(f.state, page=0, size=3), "retailer_id", pages.RETAILER_ORDER))
+    return pages.retailer_after(f.state, cursors, size=3)
 
 
 @query
