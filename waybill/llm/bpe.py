@@ -323,7 +323,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the text decoded from them, chunk by chunk."""
     def run(batches):
         units, decoder = loaded(path)
-        for batch in (p for whole in batches for p in C.slices(whole, 1)):
+        for batch in (p for whole in batches for p in C.slices(whole, 1, 500, 1 << 24)):
             rows = []
             for text in C.as_text(batch.column(1)).to_pylist():
                 packed = b"".join(units.encode(text))
