@@ -6,6 +6,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
@@ -222,70 +223,135 @@ def test_viterbi_is_the_best_path():
 
 # ---- op3: pseudo-likelihood --------------------------------------------------------------------------
 
-def test_lm(spark, docs, edge, empty):
-    config = lm.LmConfig(words=20, buckets=6, hidden=8, rounds=2, steps=15, parts=2)
-    words = lm.vocabulary(docs, config)
-    cells = lm.triples(docs, words, config)
-    total = cells.agg({"n": "sum"}).first()[0]
-    assert total == sum(len((t or "").split()) for _, t in texts_of(docs))
-    net = lm.train(cells, config)
-    trained = lm.score(docs, words, net, config).agg({"log_prob": "sum"}).first()[0] / total
-    untrained = lm.score(docs, words, lm.Network(config), config).agg({"log_prob": "sum"}).first()[0] / total
-    assert trained > untrained + 0.5
-    got = {r["doc_id"]: r for r in lm.score(edge, words, net, config).collect() if r["doc_id"] is not None}
-    assert got[1]["n_tokens"] == 0 and got[1]["mean_log_prob"] is None and got[3]["log_prob"] == 0
-    text = b"a b c"
-    data, off = np.frombuffer(text, np.uint8), np.array([0, len(text)])
-    token, row = lm.tokens(data, off, words, config)
-    want = sum(net.log_probabilities(np.array([a]), np.array([b]))[0, t]
-               for a, t, b in zip([0, *token[:-1]], token, [*token[1:], 0]))
-    one = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
-    assert abs(lm.score(one, words, net, config).first()["log_prob"] - want) < 1e-4
-    assert lm.pseudo_likelihood(empty, config).count() == 0
+LM = lm.LmConfig(words=20, buckets=6, codes=4, rows=64, dim=8, rounds=3, stride=2, batch=256, block=5)
+
+
+def lm_words(text, words, config):
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    return lm.tokens(data, np.array([0, len(data)]), words, config)
+
+
+def lm_by_hand(net, words, counts, config, text):
+    """Sum of log-probabilities word by word, from the definition; ``counts`` of all words of the corpus."""
+    t, total = lm_words(text, words, config), 0.0
+    table, scale, bias, out, out_bias, codes = (x.astype(float) for x in net.parts)
+    cells = Counter()
+    for (_, cell), n in counts.items():
+        cells[cell] += n
+    for i, token in enumerate(t.token):
+        z = bias.copy()
+        for place, j in enumerate(config.shifts):
+            if 0 <= i + j < len(t.token):
+                h = int(t.hash[i + j])
+                z += scale[place] * (table[h % config.rows] + table[(h >> 32) % config.rows])
+        h = np.tanh(z)
+        p = np.exp(h @ out + out_bias)
+        total += math.log(p[token] / p.sum())
+        if token > config.words:
+            bucket, code = token - 1 - config.words, t.code[i]
+            p = np.exp(h @ codes) * [cells[bucket * config.codes + c] + 1 for c in range(config.codes)]
+            total += math.log(p[code] / p.sum())
+            cell = bucket * config.codes + code
+            total += math.log(max(counts[int(t.hash[i]), cell], 1) / (cells[cell] + 1))
+    return total
+
+
+def test_lm_equals_the_definition(docs, edge, empty):
+    texts = docs.filter("length(text) < 3000").select("doc_id", "text").unionByName(edge.select("doc_id", "text"))
+    texts = texts.repartition(3)
+    table = lm.dealt(texts, LM)
+    words = lm.vocabulary(table, LM)
+    named = lm.block_words(table, words, LM)
+    token, cell = lm.cell_counts(named, LM)
+    counts, rows = Counter(), [(r["doc_id"], r["text"]) for r in table.collect()]
+    for _, text in rows:
+        t = lm_words(text, words, LM)
+        counts.update(zip(t.hash.tolist(), t.cell(LM).tolist()))
+    assert sum(counts.values()) == token.sum() == sum(len(re.findall(r"[^ \t-\r]+", t or "")) for _, t in rows)
+    others = Counter({k: n for k, n in counts.items() if k[1] >= 0})
+    assert others and sum(others.values()) == cell.sum()
+    net = lm.train(table, words, token, cell, LM)
+    got = lm.score(table, named, words, net, cell, LM).collect()
+    want = sorted((str(i), len(lm_words(t, words, LM).token), lm_by_hand(net, words, others, LM, t)) for i, t in rows)
+    found = sorted((str(r["doc_id"]), r["n_tokens"], r["log_prob"]) for r in got)
+    assert [x[:2] for x in found] == [x[:2] for x in want]
+    assert np.allclose([x[2] for x in found], [x[2] for x in want], rtol=1e-4, atol=1e-3)
+    blank = [r for r in got if r["doc_id"] in (1, 2, 3) and r["n_tokens"] == 0]
+    assert len(blank) >= 3 and all(r["mean_log_prob"] is None and r["log_prob"] == 0 for r in blank)
+    assert lm.pseudo_likelihood(empty, LM).count() == 0
+
+
+def test_lm_learns_from_both_sides(spark):
+    """A word that its left neighbour tells, one that its right neighbour tells, and one that neither tells."""
+    rng, names = np.random.default_rng(1), ["alpha", "beta", "gamma", "delta"]
+    rows = []
+    for i in range(4000):
+        a, b, c = rng.integers(0, 4, 3)
+        rows.append((i, f"{names[a]} after{a}ward {names[c]} before{b}hand {names[b]}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    config = replace(LM, words=12, codes=64, rounds=8, stride=1, batch=64, rate=0.05)
+    table = lm.dealt(docs, config)
+    words = lm.vocabulary(table, config)
+    named = lm.block_words(table, words, config)
+    token, cell = lm.cell_counts(named, config)
+    net, plain = lm.train(table, words, token, cell, config), lm.Network(config, token, cell)
+    t = lm_words(rows[0][1], words, config)
+    gain = np.mean([net.log_probabilities(x) - plain.log_probabilities(x)
+                    for x in (lm_words(r[1], words, config) for r in rows)], axis=0)
+    assert len(t.token) == 5 and gain[1] > 1 and gain[3] > 1
+    mean = [lm.score(table, named, words, n, cell, config).agg({"log_prob": "sum"}).first()[0] for n in (plain, net)]
+    assert mean[1] > mean[0] + 1000
+
+
+def test_softmax_without_and_with_a_common_bound():
+    rng = np.random.default_rng(3)
+    h = rng.uniform(-1, 1, (50, 6))
+    for scale in 0.5, 60.0:
+        weights, bias, at = rng.normal(0, scale, (6, 9)), rng.normal(0, 2, 9), rng.integers(0, 9, 50)
+        lowered, safe = lm._lowered(weights, bias[None])
+        assert safe == (scale < 1) and (h @ weights + lowered).max() <= 0
+        z = h @ weights + bias
+        want = z - z.max(1, keepdims=True)
+        want = (want - np.log(np.exp(want).sum(1, keepdims=True)))[np.arange(50), at]
+        assert np.allclose(lm._log_softmax_at(h @ weights + lowered, at, safe), want)
 
 
 def test_lm_tells_words_of_a_bucket_apart(spark):
-    config = lm.LmConfig(words=3, buckets=2, hidden=4, rounds=1, steps=2, parts=2, min_count=3)
     ordinary = "the transportation of an imagination and an exploration by the navigation"
     invented = "the qqqqportation of an zzzzination and an wwwworation by the kkkkigation"  # the same endings
     rows = [(i, ordinary) for i in range(6)] + [(7, invented), (8, "Exploration"), (9, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r for r in lm.pseudo_likelihood(docs, config).collect()}
+    got = {r["doc_id"]: r for r in lm.pseudo_likelihood(docs, LM).collect()}
+    assert len(got) == len(rows) and got[9]["n_tokens"] == 0
     assert got[0]["n_tokens"] == got[7]["n_tokens"] and got[0]["log_prob"] > got[7]["log_prob"] + 1
-    words = lm.vocabulary(docs, config)
-    inside = lm.bucket_words(docs, words, config)
-    seen, bucket = Counter(), {}
-    for _, text in rows:
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        token, _ = lm.tokens(data, np.array([0, len(data)]), words, config)
-        for w, t in zip(ascii_lower(text).split(), token.tolist()):
-            if t > config.words:
-                seen[w] += 1
-                bucket[w] = t
-    assert len(inside.hashes) == sum(n >= 3 for n in seen.values()) > config.words
-    for t in set(bucket.values()):
-        mine = [n for w, n in seen.items() if bucket[w] == t]
-        rare = [n for n in mine if n < 3]
-        assert abs(math.exp(inside.rest[t]) - (sum(rare) + 1) / (len(rare) + 1) / (sum(mine) + 1)) < 1e-6
-    want = sorted(n / (1 + sum(m for v, m in seen.items() if bucket[v] == bucket[w])) for w, n in seen.items() if n >= 3)
-    assert np.allclose(sorted(np.exp(inside.own)), want)
-    plain = {r["doc_id"]: r["log_prob"] for r in lm.score(docs, words, lm.train(lm.triples(docs, words, config), config), config).collect()}
-    assert all(abs(got[i]["log_prob"] - plain[i]) > 1 for i in (0, 7)) and got[9]["n_tokens"] == 0
+
+
+def test_lm_counts_follow_the_corpus(spark):
+    """No table of words has a fixed size: each word that occurs is counted, and none is collected."""
+    def kinds(n):
+        rows = [(i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        return lm.block_words(lm.dealt(docs, LM), np.zeros(0, np.int64), LM).select("w").distinct().count()
+    assert kinds(10) == 400 and kinds(50) == 2000
 
 
 def test_gradient_is_the_slope():
-    config = lm.LmConfig(words=3, buckets=2, hidden=4)
-    net, rng = lm.Network(config), np.random.default_rng(0)
-    left, right, counts = np.array([0, 1, 1]), np.array([2, 2, 3]), rng.integers(0, 5, (3, config.size)).astype(float)
-    slope = net.gradient(left, right, counts)
+    config = lm.LmConfig(words=3, buckets=2, codes=3, rows=5, dim=4)
+    rng = np.random.default_rng(0)
+    token, cell = rng.integers(0, 9, config.size).astype(float), rng.integers(0, 9, (config.buckets, config.codes)).astype(float)
+    t = lm.Tokens(rng.integers(1, config.size, 12), rng.integers(0, 1 << 62, 12).astype(np.uint64), rng.integers(0, 3, 12),
+                  np.repeat([0, 1, 2], [5, 6, 1]))
+    flat = lm.Network(config, token, cell).flat
+    flat = (flat + rng.normal(0, 0.3, len(flat))).astype(float)
 
     def loss(flat):
-        return -(lm.Network(config, flat).log_probabilities(left, right) * counts).sum() / counts.sum()
+        return -lm.Network(config, token, cell, flat).log_probabilities(t).mean()
 
-    for i in range(0, len(net.flat), 7):
-        step = np.zeros(len(net.flat))
-        step[i] = 1e-5
-        assert abs((loss(net.flat + step) - loss(net.flat - step)) / 2e-5 - slope[i]) < 1e-6
+    slope = lm.Network(config, token, cell, flat).gradient(t, np.arange(12))
+    for i in range(len(flat)):
+        step = np.zeros(len(flat))
+        step[i] = 1e-3
+        assert abs((loss(flat + step) - loss(flat - step)) / 2e-3 - slope[i]) < 1e-3
 
 
 def test_word_hashes_tell_apart_what_sums_of_powers_do_not():
