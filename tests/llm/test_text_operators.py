@@ -303,6 +303,44 @@ def test_lm_learns_from_both_sides(spark):
     assert mean[1] > mean[0] + 1000
 
 
+def test_lm_trains_on_every_position(spark):
+    """Each single word of each document changes the weights, whatever its place and the document's round."""
+    config = replace(LM, rounds=2, stride=4, batch=8)
+    texts = ["one two three four five six seven eight nine", "ten", "eleven twelve thirteen fourteen fifteen"]
+    cell = np.zeros((config.buckets, config.codes))
+
+    def trained(rows):
+        docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").coalesce(1)
+        return lm.train(lm.dealt(docs, config), np.zeros(0, np.int64), np.zeros(config.size), cell, config).flat
+
+    whole = trained(texts)
+    for i, place in [(0, 0), (0, 3), (0, 6), (0, 8), (1, 0), (2, 1), (2, 4)]:
+        words = texts[i].split()
+        words[place] = "another"
+        assert not np.array_equal(trained([*texts[:i], " ".join(words), *texts[i + 1:]]), whole), (i, place)
+
+
+def test_lm_gradient_equals_differences():
+    """Over two runs of positions, one of them cut by the end, with a document's border inside."""
+    config = replace(LM, words=2, stride=4)
+    text = "a few words of the first text and some of the other"
+    data = np.frombuffer(text.encode(), np.uint8)
+    t = lm.tokens(data, np.array([0, 20, len(data)]), np.zeros(0, np.int64), config)
+    rng, cell = np.random.default_rng(3), np.full((config.buckets, config.codes), 3.0)
+    net = lm.Network(config, np.full(config.size, 3.0), cell)
+    net.flat += rng.normal(0, 0.1, len(net.flat)).astype(np.float32)
+    starts = np.array([4, len(t.row) - 2])
+    at = [4, 5, 6, 7, len(t.row) - 2, len(t.row) - 1]
+    got, count = net.gradient(t, starts)
+    assert count == len(at)
+    for i in rng.choice(np.flatnonzero(got), 40, replace=False):
+        low, high = (lm.Network(config, np.full(config.size, 3.0), cell, net.flat.astype(float)) for _ in range(2))
+        low.flat[i] -= 1e-4
+        high.flat[i] += 1e-4
+        want = -(high.log_probabilities(t)[at].mean() - low.log_probabilities(t)[at].mean()) / 2e-4
+        assert abs(got[i] - want) < 1e-3, i
+
+
 def test_softmax_without_and_with_a_common_bound():
     rng = np.random.default_rng(3)
     h = rng.uniform(-1, 1, (50, 6))

@@ -12,7 +12,8 @@ its words' log-probabilities (natural logarithm).
 Documents are written in blocks of consecutive rows. Each block names its distinct words, counts come back to
 it by a join on the word (only those of two and more; a word without one occurs once), and a worker holds the
 counts of one block at a time. Training takes numpy mini-batches inside partitions: each document in one of
-the rounds, one position in ``stride`` of it; after a round the weights are averaged by a distributed sum.
+the rounds, every position of it once, drawn in runs of ``stride``; after a round the weights are averaged by a
+distributed sum.
 
 Nulls: a null or blank text has no token, log-probability 0 and a null mean. An empty table trains
 nothing and gives an empty result. Repeated rows and ids are scored row by row.
@@ -41,7 +42,7 @@ class LmConfig:
     dim: int = 16           # of embeddings and hidden layer
     reach: int = 2          # words of context a side
     rounds: int = 6
-    stride: int = 16        # one position in so many is trained on
+    stride: int = 16        # neighbouring positions that are drawn together; all are trained on
     batch: int = 1024       # positions of a step
     rate: float = 0.02
     seed: int = 7
@@ -170,13 +171,6 @@ class Network:
         n = np.uint64(self.config.rows)
         return (h % n).astype(np.int64), ((h >> np.uint64(32)) % n).astype(np.int64)
 
-    def contexts(self, t: Tokens, at: np.ndarray):
-        """(positions of the context's words, whether they are in the same text), a column a place."""
-        near = at[:, None] + np.array(self.config.shifts)
-        inside = (near >= 0) & (near < len(t.row))
-        near = np.where(inside, near, at[:, None])
-        return near, inside & (t.row[near] == t.row[at][:, None])
-
     def hidden(self, t: Tokens, a: int, b: int) -> np.ndarray:
         """Of the positions from a to b, a column each, and a row of ones for the bias. (Long rows are what numpy
         is fast with.)"""
@@ -213,36 +207,87 @@ class Network:
             out[a + other] += _log_softmax_at(z, t.code[a:a + step][other], safe_codes)
         return out
 
-    def gradient(self, t: Tokens, at: np.ndarray) -> np.ndarray:
-        """Of the mean negative log-probability at the positions ``at``."""
-        table, scale, bias, weights, out_bias, codes = self.parts
-        near, inside = self.contexts(t, at)
-        a, b = self.rows_of(t.hash[near])
-        word = (table[a] + table[b]) * inside[:, :, None].astype(np.float32)
-        h = np.tanh((word * scale).sum(1) + bias)
-        token, each = t.token[at], np.arange(len(at))
-        g = _softmax(h @ weights + out_bias)
-        g[each, token] -= 1
-        back = g @ weights.T
-        other = np.flatnonzero(token > self.config.words)
-        k = _softmax(h[other] @ codes + self.base[token[other] - 1 - self.config.words])
-        k[np.arange(len(other)), t.code[at[other]]] -= 1
-        back[other] += k @ codes.T
-        back *= 1 - h * h
-        to_word = back[:, None, :] * scale * inside[:, :, None]
-        d = self.config.dim
-        cells = (np.stack([a, b])[..., None] * d + np.arange(d)).ravel()
-        table_g = np.bincount(cells, np.stack([to_word, to_word]).ravel(), minlength=table.size)
-        parts = [table_g, (word * back[:, None, :]).sum(0).ravel(), back.sum(0), (h.T @ g).ravel(), g.sum(0),
-                 (h[other].T @ k).ravel()]
-        return (np.concatenate(parts) / len(at)).astype(np.float32)
-
-
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(1, keepdims=True)
-    np.exp(z, z)
-    z /= z.sum(1, keepdims=True)
-    return z
+    def gradient(self, t: Tokens, starts: np.ndarray) -> tuple[np.ndarray, int]:
+        """Of the mean negative log-probability at the positions of the runs of ``stride`` words from ``starts``
+        (up to the last word), and the number of positions. Arrays are (dim, place in the run, run)."""
+        config, (table, scale, bias, weights, out_bias, codes) = self.config, self.parts
+        d, n, reach, length = config.dim, len(t.row), config.reach, config.stride
+        near = np.arange(-reach, length + reach)[:, None] + starts
+        inside = (near >= 0) & (near < n)
+        near = np.clip(near, 0, n - 1)
+        here, row = slice(reach, reach + length), t.row[near]
+        left, right = (x.ravel() for x in self.rows_of(t.hash[near]))
+        word = np.take(table, left, 0)
+        word += np.take(table, right, 0)
+        word = word.T.copy().reshape(d, *near.shape)
+        word *= inside
+        h = np.ones((d + 1, length, len(starts)), np.float32)      # the last row is for the bias of the tokens
+        h[:-1] = bias[:, None, None]
+        same = {}
+        for s, j in zip(scale, config.shifts):
+            same[j] = (row[here] == row[reach + j:reach + j + length]).astype(np.float32)
+            sent = word[:, reach + j:reach + j + length] * same[j]
+            sent *= s[:, None, None]
+            h[:-1] += sent
+        np.tanh(h[:-1], h[:-1])
+        known, at, flat = inside[here].ravel(), near[here].ravel(), h.reshape(d + 1, -1)
+        count, both, token = int(known.sum()), np.hstack([weights, codes]), t.token[at]
+        bucket = token - 1 - config.words
+        g = self._both_softmax(flat[:-1].T @ both, bucket)
+        other = np.flatnonzero(bucket >= 0)
+        g[np.arange(len(at)), token] -= 1
+        g[other, config.size + t.code[at[other]]] -= 1
+        if count < len(at):
+            g[~known] = 0
+        back, out_g = both @ g.T, flat @ g
+        np.multiply(flat[:-1], flat[:-1], flat[:-1])
+        back *= np.subtract(1, flat[:-1], flat[:-1])
+        back = back.reshape(d, length, -1)
+        to_word, scale_g = np.zeros_like(word), np.zeros_like(scale)
+        for i, j in enumerate(config.shifts):
+            sent, place = back * same[j], slice(reach + j, reach + j + length)
+            scale_g[i] = (sent * word[:, place]).reshape(d, -1).sum(1)
+            sent *= scale[i][:, None, None]
+            to_word[:, place] += sent
+        to_word *= inside
+        hit, to_word = np.concatenate([left, right]), to_word.reshape(d, -1).astype(float)
+        table_g = np.array([np.bincount(hit, np.concatenate([x, x]), config.rows) for x in to_word], np.float32).T
+        tokens_g, codes_g = out_g[:, :config.size], out_g[:-1, config.size:]
+        parts = [table_g.ravel(), scale_g.ravel(), back.sum((1, 2)), tokens_g.ravel(), codes_g.ravel()]
+        out = np.concatenate(parts)
+        out *= np.float32(1 / max(count, 1))
+        return out, count
+
+    def _both_softmax(self, z: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """Probabilities of the tokens, and beside them of the codes (0 where ``bucket`` is negative), in place."""
+        weights, out_bias, codes = self.parts[3:]
+        token, safe = _lowered(weights, out_bias[None])
+        code, safe_codes = _lowered(codes, self.base)
+        z += np.hstack([np.broadcast_to(token, (len(code), token.shape[1])), code])[np.maximum(bucket, 0)]
+        parts = z[:, :self.config.size], z[:, self.config.size:]
+        for part, ok in zip(parts, (safe, safe_codes)):
+            if not ok:
+                part -= part.max(1, keepdims=True)
+        np.exp(z, z)
+        for part, takes_part in zip(parts, (1, bucket >= 0)):
+            part *= (takes_part / (part @ np.ones(part.shape[1], z.dtype))).astype(z.dtype)[:, None]
+        return z
+
+    def step(self, g: np.ndarray, mean: np.ndarray, square: np.ndarray, steps: int, rate: float) -> None:
+        """Against the gradient ``g``, by its running mean over the root of its running square. In place: the
+        arrays are large enough that new ones would cost more than the sums."""
+        mean *= np.float32(0.9)
+        square *= np.float32(0.98)
+        much = g * np.float32(0.1)
+        mean += much
+        np.multiply(g, g, g)
+        g *= np.float32(0.02)
+        square += g
+        np.sqrt(square, g)
+        g += np.float32(1e-6 * (1 - 0.98 ** steps) ** 0.5)
+        np.divide(mean, g, much)
+        much *= np.float32(rate * (1 - 0.98 ** steps) ** 0.5 / (1 - 0.9 ** steps))
+        self.flat -= much
 
 
 def _lowered(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, bool]:
@@ -261,8 +306,9 @@ def _log_softmax_at(z: np.ndarray, column: np.ndarray, safe: bool) -> np.ndarray
 
 
 def train(table: DataFrame, words: np.ndarray, token: np.ndarray, cell: np.ndarray, config: LmConfig = LmConfig()) -> Network:
-    """The network after ``rounds`` rounds over the partitions of ``table``; each row is in one round."""
-    net, pieces = Network(config, token, cell), 32
+    """The network after ``rounds`` rounds over the partitions of ``table``; each row is in one round, with all its
+    positions."""
+    net, pieces, runs = Network(config, token, cell), 32, max(1, config.batch // config.stride)
     C.ship(table.sparkSession)
     for r in range(config.rounds):
         flat, rate = net.flat, config.rate / (1 + r / 2)
@@ -274,13 +320,11 @@ def train(table: DataFrame, words: np.ndarray, token: np.ndarray, cell: np.ndarr
             for batch in batches:
                 for _, _, data, off in C.blocks(batch.column(0)):
                     t = tokens(data, off, words, config)
-                    places = np.random.default_rng(r).permutation(np.arange(r % config.stride, len(t.token), config.stride))
-                    for a in range(0, len(places), config.batch):
-                        at = places[a:a + config.batch]
-                        g, steps, seen = own.gradient(t, at), steps + 1, seen + len(at)
-                        mean += 0.1 * (g - mean)
-                        square += 0.02 * (g * g - square)
-                        own.flat -= rate * (mean / (1 - 0.9 ** steps)) / (np.sqrt(square / (1 - 0.98 ** steps)) + 1e-6)
+                    starts = np.random.default_rng(r).permutation(np.arange(0, len(t.token), config.stride))
+                    for a in range(0, len(starts), runs):
+                        g, count = own.gradient(t, starts[a:a + runs])
+                        steps, seen = steps + 1, seen + count
+                        own.step(g, mean, square, steps, rate)
             if seen:
                 parts = np.array_split(own.flat, pieces)
                 yield pa.RecordBatch.from_arrays(
