@@ -9,7 +9,7 @@ from .skew import DETECT, HeavyKeys, resolve_heavy
 
 
 def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
-                    heavy: HeavyKeys | None = DETECT) -> DataFrame:
+                    heavy: HeavyKeys | None = DETECT, by_shipment: bool = False) -> DataFrame:
     """Adds ``is_duplicate``: a valid event whose id was stored before.
 
     Expects ``valid`` (decoded and validated) and ``storable`` (would be stored if it is no
@@ -19,6 +19,9 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
     there and are spread by arrival. So are the copies of a heavy id: its first storable arrival
     comes from a map-side combined aggregate instead. ``heavy`` names such ids, if they are known
     already (None: there are none).
+
+    With ``by_shipment`` there is no shuffle if the rows are together by shipment already: ``heavy``
+    then has to name all ids that occur in several shipments (``find_shared``).
     """
     heavy = resolve_heavy(heavy, events, "event_id")
     can_repeat = F.col("valid") & F.col("event_id").isNotNull()
@@ -26,8 +29,11 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
     if heavy is not None:
         if "heavy_id" not in events.columns:
             marked = tag_heavy_ids(events, heavy)
+        leader = F.struct("arrival", "shipment_id") if by_shipment else F.struct("arrival")
         firsts = (marked.where("heavy_id").groupBy("event_id")
-                  .agg(F.min(F.when(F.col("storable"), F.col("arrival"))).alias("_heavy_first")))
+                  .agg(F.min(F.when(F.col("storable"), leader)).alias("_leader"))
+                  .select("event_id", F.col("_leader.arrival").alias("_heavy_first"),
+                          *([F.col("_leader.shipment_id").alias("_heavy_home")] if by_shipment else [])))
         if history is not None:
             firsts = firsts.join(history.select("event_id", F.lit(True).alias("_heavy_known")),
                                  "event_id", "left")
@@ -40,7 +46,7 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
             history.select("event_id", F.lit(0).cast("long").alias("_lane"), F.lit(True).alias("_known")),
             ["event_id", "_lane"], "left")
 
-    lane = Window.partitionBy("event_id", "_lane")
+    lane = Window.partitionBy(*(["shipment_id"] if by_shipment else []), "event_id", "_lane")
     first = F.min(F.when(F.col("storable"), F.col("arrival"))).over(lane)
     # the same record read twice has one arrival, so one lane; only one of the two is the first
     again = F.row_number().over(lane.orderBy(~F.col("storable"), "arrival")) > 1
@@ -48,6 +54,9 @@ def mark_duplicates(events: DataFrame, history: DataFrame | None = None, *,
     known = [c for c in ("_known", "_heavy_known") if c in marked.columns]
     if heavy is not None:
         first = F.when(F.col("heavy_id"), F.col("_heavy_first")).otherwise(first)
+        if by_shipment:     # of copies with one arrival in several shipments, one is the first
+            again = again | F.coalesce(F.col("heavy_id") & F.col("storable") & (F.col("arrival") == F.col("_heavy_first"))
+                                       & (F.col("shipment_id") != F.col("_heavy_home")), F.lit(False))
     return marked.withColumn("_first", first).withColumn("_again", again).select(
         *[c for c in events.columns if c != "heavy_id"],
         (can_repeat & (F.coalesce(*known, F.lit(False))

@@ -34,6 +34,8 @@ class SkewPolicy:
     sample_every: int = 64        # the estimate looks at one arrival in this many
     chunk_rows: int = 1_000_000   # most rows of a heavy group scanned in one piece
     broadcast_keys: int = 1_000_000
+    together_rows: int = 1_000_000  # a larger feed is shuffled once, by shipment, where its ids allow that
+    shared_ids: int = 100_000     # most ids of several shipments for which that is done
 
 
 DEFAULT = SkewPolicy()
@@ -79,6 +81,26 @@ def find_heavy(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) ->
         math.ceil(2 * found[of_key[k]]["rows"] / policy.chunk_rows)) for k in keys if of_key[k] in found}
 
 
+def find_shared(events: DataFrame, policy: SkewPolicy = DEFAULT) -> tuple[bool, HeavyKeys | None]:
+    """Whether the feed is worth bringing together by shipment alone, and the event ids that occur in
+    more than one shipment (written out; None: there are none). It is not if the feed is small, if its
+    rows without shipment would crowd one task, or if such ids are more than ``shared_ids``.
+
+    All copies of any other id lie in one shipment, so rows that are together by shipment are
+    together by id as well. Only ids and shipments are shuffled to tell, combined before the shuffle.
+    """
+    size = events.agg(F.count("*").alias("rows"), F.count_if(F.col("shipment_id").isNull()).alias("lost")).first()
+    if size["rows"] <= policy.together_rows or size["lost"] > policy.heavy_rows:
+        return False, None
+    homes = events.where(F.col("event_id").isNotNull()).groupBy("event_id").agg(
+        F.min("shipment_id").alias("_least"), F.max("shipment_id").alias("_most"))
+    shared = cut_lineage(homes.where(F.col("_least") != F.col("_most")).select("event_id"))
+    ids = shared.count()
+    if ids > policy.shared_ids:
+        return False, None
+    return True, HeavyKeys(shared, True, 1) if ids else None
+
+
 def in_pieces(df: DataFrame, key: str, heavy: HeavyKeys) -> DataFrame:
     """Heavy groups cut into pieces: adds ``_chunk``, which follows the arrival order within a group.
 

@@ -9,13 +9,21 @@ from ..operators.dedupe import mark_duplicates, tag_heavy_ids
 from ..operators.fold import ordering_fold
 from ..operators.lookup import normalize_events, resolve_shipments
 from ..operators.outcome import add_storable, classify_outcome
-from ..operators.skew import DEFAULT, SkewPolicy, find_heavy
+from ..operators.skew import DEFAULT, SkewPolicy, find_heavy, find_shared
 from ..operators.validate import validate_events
 
 
-def assess(events: DataFrame, shipments: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
-    """Everything that can be said about a delivery by itself: validation, lookups, flags."""
-    return add_storable(normalize_events(resolve_shipments(validate_events(events), shipments), vocab))
+def assess(events: DataFrame, shipments: DataFrame, vocab: DataFrame | None = None, *,
+           by_shipment: bool = False) -> DataFrame:
+    """Everything that can be said about a delivery by itself: validation, lookups, flags.
+
+    With ``by_shipment`` the rows are brought together by shipment, once their texts are reduced to flags."""
+    if not by_shipment:
+        return add_storable(normalize_events(resolve_shipments(validate_events(events), shipments), vocab))
+    checked = normalize_events(validate_events(events), vocab)
+    last = [c for c in checked.columns if c in ("carrier_supported", "normalized_event_type")]
+    resolved = resolve_shipments(checked.repartition("shipment_id"), shipments)
+    return add_storable(resolved.select(*[c for c in resolved.columns if c not in last], *last))
 
 
 def outcome_stream(events: DataFrame, shipments: DataFrame, vocab: DataFrame | None = None,
@@ -25,12 +33,21 @@ def outcome_stream(events: DataFrame, shipments: DataFrame, vocab: DataFrame | N
     Nothing is split off and unioned back: rows that are not stored are masked in the windows, so
     the whole pass costs one shuffle by event id and one by shipment id. ``shipments`` is the state
     before the batch (it seeds the fold), ``history`` the ids stored before it.
+
+    A large feed without heavy keys costs one shuffle by shipment id, which serves the look-up, the
+    redelivery check and the fold. Ids that several shipments share are found first and treated like
+    heavy ids: their first storable arrival is aggregated apart. With too many of them, or with a
+    history to compare with, the pass is as above.
     """
     # the raw events are enough to find heavy keys, and few columns of them are read
     heavy = find_heavy(events, ["event_id", "shipment_id"], policy)
-    if "event_id" in heavy:
-        events = tag_heavy_ids(events, heavy["event_id"])
-    marked = mark_duplicates(assess(events, shipments, vocab), history, heavy=heavy.get("event_id"))
+    apart, by_shipment = heavy.get("event_id"), False
+    if history is None and not heavy:
+        by_shipment, apart = find_shared(events, policy)
+    if apart is not None:
+        events = tag_heavy_ids(events, apart)
+    marked = mark_duplicates(assess(events, shipments, vocab, by_shipment=by_shipment), history, heavy=apart,
+                             by_shipment=by_shipment)
     masked = marked.withColumn("stored", F.col("storable") & ~F.col("is_duplicate"))
     return classify_outcome(ordering_fold(masked, heavy=heavy.get("shipment_id")))
 
